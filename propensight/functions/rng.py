@@ -17,7 +17,7 @@ def key(seed: int, *parts: Column | str) -> Column:
 
 def uniform(hashed: Column, part: int = 0) -> Column:
     """Uniform in [0, 1) from the ``part``-th eight hex digits."""
-    return F.conv(F.substring(hashed, 8 * part + 1, 8), 16, 10).cast("double") / F.lit(SPAN)
+    return F.conv(F.substring(hashed, 8 * part + 1, 8), 16, 10).cast("bigint") / F.lit(SPAN)
 
 
 def normal(hashed: Column) -> Column:

@@ -37,12 +37,12 @@ def _wide(stats: DataFrame, features: list[str]) -> DataFrame:
 def with_stats(frame: DataFrame, stats: DataFrame) -> DataFrame:
     """Attach ``<feature>_mean`` and ``<feature>_std`` of the step's numeric columns and of the fixed one.
 
-    Both sides hold one row per step or one row in all, so they are broadcast.
+    The statistics become one row per step, at most ``max_len`` rows, and are broadcast.
     """
     fixed = C.SPACE_FIXED[0]
     steps = _wide(stats.where(F.col("step") != FIXED_STEP), C.SPACE_NUMERIC)
     whole = _wide(stats.where(F.col("step") == FIXED_STEP), [fixed]).drop("step")
-    return frame.join(F.broadcast(steps), "step", "left").join(F.broadcast(whole), F.lit(True), "left")
+    return frame.join(F.broadcast(steps.join(F.broadcast(whole), F.lit(True))), "step", "left")
 
 
 def expand_samples(instances: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
@@ -65,15 +65,17 @@ def draw_normal(frame: DataFrame, stats: DataFrame, around: str | None = None, s
     With ``around`` naming a struct column of instance values, around these. Features that cannot be negative
     are folded at 0. A step without statistics keeps the value it has.
     """
+    features = C.SPACE_NUMERIC + C.SPACE_FIXED
+    hashed = with_stats(frame, stats).select("*", *[
+        draw_key(seed, f, F.lit(FIXED_STEP) if f in C.SPACE_FIXED else None).alias(f"_h_{f}") for f in features])
     out = {}
-    for f in C.SPACE_NUMERIC + C.SPACE_FIXED:
-        step = F.lit(FIXED_STEP) if f in C.SPACE_FIXED else None
+    for f in features:
         centre = F.col(f"{around}.{f}") if around else F.col(f"{f}_mean")
-        value = rng.normal(draw_key(seed, f, step)) * F.col(f"{f}_std") + centre
+        value = rng.normal(F.col(f"_h_{f}")) * F.col(f"{f}_std") + centre
         value = F.abs(value) if f in C.POSITIVE else value
-        out[f] = F.coalesce(value, F.col(f)) if f in frame.columns else value
+        out[f] = F.when(F.col(f"{f}_std").isNotNull(), value).otherwise(F.col(f)) if f in frame.columns else value
     kept = [c for c in frame.columns if c not in out]
-    return with_stats(frame, stats).select(*kept, *[v.alias(f) for f, v in out.items()])
+    return hashed.select(*kept, *[v.alias(f) for f, v in out.items()])
 
 
 def _by_slot(freq: DataFrame) -> DataFrame:
@@ -218,8 +220,9 @@ def background_set(stats_per_step: DataFrame, freq: DataFrame, hierarchy: DataFr
                          F.lit("background").alias("owner"))
     wide = _wide(stats_per_step, C.SPACE_NUMERIC + C.SPACE_FIXED)  # one row per step
     frame = frame.repartition(shuffle_width(stats_per_step), "step", "sample").join(F.broadcast(wide), "step")
-    value = {f: rng.normal(draw_key(seed, f)) * F.col(f"{f}_std") + F.col(f"{f}_mean")
-             for f in C.SPACE_NUMERIC + C.SPACE_FIXED}
+    features = C.SPACE_NUMERIC + C.SPACE_FIXED
+    frame = frame.select("*", *[draw_key(seed, f).alias(f"_h_{f}") for f in features])
+    value = {f: rng.normal(F.col(f"_h_{f}")) * F.col(f"{f}_std") + F.col(f"{f}_mean") for f in features}
     frame = frame.select("step", "sample", "owner", *[
         (F.abs(v) if f in C.POSITIVE else v).alias(f) for f, v in value.items()])
     frame = draw_categorical(frame, freq, seed=seed)
