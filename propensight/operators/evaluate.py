@@ -22,7 +22,7 @@ def calibration_bins(scored: DataFrame, n: int = Params.calibration_bins) -> Dat
         F.count("*").alias("n"), F.avg("label").alias("t"), F.avg("proba").alias("p"),
         F.stddev_pop("proba").alias("s"))
     every = scored.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
-    two = lambda c: F.round(F.round(c, 6), 2)
+    two = lambda c: F.floor(F.round(c, 6) * 100.0 + 0.5) / 100.0  # rounds the binary value, as 0.145 to 0.14
     return every.join(F.broadcast(found), "bin", "left").select(
         "bin", F.coalesce("n", F.lit(0)).alias("count"), two("t").alias("proba_true"),
         two("p").alias("proba_pred"), F.col("s").alias("std_err"))
