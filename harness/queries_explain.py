@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, functions as F
 
-from harness import fixtures as X
-from harness.ctes import CUT, DEPT, CAT, FIXED_SCORE, M, MAX_STEPS, P, SEED, STEP_SCORE, SUB, d, r6
+from harness.ctes import CUT, FIXED_SCORE, M, MAX_STEPS, P, SEED, STEP_SCORE, r6
+from harness.queries_sequences import _text
 from harness.registry import query
 from harness.stage import Stage
 from propensight import constants as C
-from propensight.operators import perturb as Pe, shapley as Sh, space as Sp, stats as St, surrogate as Su
+from propensight.operators import model as Mo, perturb as Pe, shapley as Sh, space as Sp, stats as St, surrogate as Su
 from propensight.sources import tables as T
 
 KEYS = "data_date, id"
@@ -113,7 +115,6 @@ SELECT {KEYS}, seq_length, {r6('inactivity')} AS inactivity,
        string_agg(array_to_string(list_transform(cat, lambda x: CAST(x AS VARCHAR)), ','), ';' ORDER BY step) AS inputs_cat
 FROM (SELECT * REPLACE (CAST(CAST(inactivity AS FLOAT) AS DOUBLE) AS inactivity) FROM steps) GROUP BY {KEYS}, seq_length, inactivity""")
 def _(s: Stage) -> DataFrame:
-    from harness.queries_sequences import _text
     back = Sp.from_explainer_space(s.space)
     return back.select("data_date", "id", "seq_length", "inactivity", _text("inputs_num", 100.0), _text("inputs_cat"))
 
@@ -232,7 +233,6 @@ def _(s: Stage) -> DataFrame:
 
 @query("score_samples_fitted")
 def _(s: Stage) -> DataFrame:
-    from propensight.operators import model as Mo
     return Su.score_samples(s.samples, Mo.fit_classifier(s.examples), Mo.score)
 
 
@@ -330,7 +330,6 @@ def _(s: Stage) -> DataFrame:
 
 @query("explain_sweep")
 def _(s: Stage) -> DataFrame:
-    import itertools
     settings = list(itertools.product([0.25, 0.5, 0.75], [5, 10, 20, 40, 80], [10, 15, 20]))
     return Su.explain_summary(Su.local_linear_fit(s.design, s.max_length, settings))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, functions as F
 
 from harness import fixtures as X
@@ -11,10 +9,9 @@ from harness.ctes import CUT, P, SUB, d, r6
 from harness.registry import query
 from harness.stage import Stage
 from propensight import constants as C
-from propensight.operators import extract as E, features as Fe, sequences as S, vocabulary as V
+from propensight.operators import extract as E, features as Fe, vocabulary as V
 from propensight.sources import tables as T
 
-EVENT_COLUMNS = ("event_id, id, event_timestamp, event_env, product_qty, product_price, product_id, key")
 EXTRACT_COLUMNS = [*E.EXTRACT_EVENT, "week_day", "month", *E.EXTRACT_VISIT, *E.EXTRACT_PRODUCT]
 # Columns compared as fractions; counts that can be missing are among them.
 FRACTIONS = {"product_price", "duration", "nb_pages", "unique_pages", "latitude", "longitude", "product_rating"}
@@ -51,6 +48,21 @@ def _(s: Stage) -> DataFrame:
     return plain(T.read_extract(s.spark, path, [X.CUTOFFS[1], CUT]).select("data_date", *EXTRACT_COLUMNS))
 
 
+@query("read_extract", f"SELECT {EXTRACT_LIST} FROM extract_{X.CUTOFFS[0]:%Y%m%d}")
+def _(s: Stage) -> DataFrame:
+    path = s.path("extract")
+    T.write_extract(s.extract_many, path)
+    return plain(T.read_extract(s.spark, path, [X.CUTOFFS[0]]).select("data_date", *EXTRACT_COLUMNS))
+
+
+@query("read_sequences", "SELECT data_date, id, seq_length, CAST(1 - label AS INTEGER) AS label FROM seqs")
+def _(s: Stage) -> DataFrame:
+    path = s.path("sequence-store")
+    T.write_sequences(s.examples, path, "training")
+    T.write_sequences(s.examples.withColumn("label", 1 - F.col("label")), path, "prediction")
+    return T.read_sequences(s.spark, path, [CUT], "prediction").select("data_date", "id", "seq_length", "label")
+
+
 @query("write_sequences", "SELECT data_date, id, seq_length, label, "
                           f"{r6('inactivity')} AS inactivity FROM seqs")
 def _(s: Stage) -> DataFrame:
@@ -68,6 +80,20 @@ def _(s: Stage) -> DataFrame:
     return T.read_vocabulary(s.spark, path)
 
 
+@query("read_vocabulary", f"SELECT value, code FROM vocab WHERE feature = '{SUB}'")
+def _(s: Stage) -> DataFrame:
+    path = s.path("vocabulary-files")
+    T.write_vocabulary(s.vocabulary, path)
+    return T.read_vocabulary(s.spark, path).where(F.col("feature") == SUB).select("value", "code")
+
+
+@query("read_slot_map", "SELECT value, code FROM slots WHERE feature = 'device'")
+def _(s: Stage) -> DataFrame:
+    path = s.path("slot-map")
+    T.write_slot_map(s.slots, path)
+    return T.read_slot_map(s.spark, path).where(F.col("feature") == "device").select("value", "code")
+
+
 @query("write_slot_map", "SELECT feature, value, code FROM slots")
 def _(s: Stage) -> DataFrame:
     path = s.path("slot-map")

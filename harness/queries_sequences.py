@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from harness import fixtures as X
-from harness.ctes import CUT, FIXED_SCORE, P, SEED, STEP_SCORE, WIDTH, _pbin, d, effective, r6
+from harness.ctes import CUT, FIXED_SCORE, P, SEED, STEP_SCORE, _pbin, d, effective, r6
 from harness.registry import query
 from harness.stage import Stage
 from propensight import constants as C
@@ -114,7 +115,6 @@ def _(s: Stage) -> DataFrame:
 @query("shuffle_examples", f"SELECT data_date, id, md5(concat_ws('|', '{SEED}', data_date, id)) AS order_key, "
                            f"row_number() OVER (ORDER BY md5(concat_ws('|', '{SEED}', data_date, id)), id) AS place FROM seqs")
 def _(s: Stage) -> DataFrame:
-    from pyspark.sql import Window as W
     place = F.row_number().over(W.partitionBy("data_date").orderBy("order_key", "id")).cast("long").alias("place")
     return S.shuffle_examples(s.examples, SEED).select("data_date", "id", "order_key", place)
 
@@ -251,7 +251,6 @@ def _(s: Stage) -> DataFrame:
 
 @query("score_with_function", f"SELECT data_date, id, {r6('1e0 / (1e0 + exp(-inactivity))')} AS purchase_proba FROM seqs")
 def _(s: Stage) -> DataFrame:
-    import numpy as np
     return M.score_with_function(s.examples, lambda batch: 1.0 / (1.0 + np.exp(-batch["inactivity"])))
 
 

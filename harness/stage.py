@@ -6,6 +6,7 @@ the samples) are written once per session and folder and read back, as its pipel
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,7 +60,6 @@ class Stage:
 
     def path(self, name: str) -> str:
         """A new folder for a round trip."""
-        import uuid
         return f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
     def extract_at(self, cutoff) -> DataFrame:
