@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from propensight.llm import contamination, language, mixing, near_dups, pii, urls
+from propensight.llm import (contamination, extraction, language, mixing, near_dups, neighbours, pii, substrings,
+                            urls, warc)
 
-MODULES = (contamination, language, mixing, near_dups, pii, urls)
+MODULES = (extraction, contamination, language, warc, pii, substrings, urls, mixing, near_dups, neighbours)
 QUERIES = {name: getattr(m, name) for m in MODULES for name in sorted(vars(m)) if name.startswith("op") and name[2].isdigit()}
 ORACLES = {name: sql for m in MODULES for name, sql in getattr(m, "SQL", {}).items()}
