@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from propensight.session import configure
@@ -31,3 +33,15 @@ def ascii_lower(text: Column) -> Column:
 def utf8(text: Column) -> Column:
     """The bytes of a text, none for null."""
     return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with all columns but ``used`` under neutral names, so that no name of theirs meets one of the operator's, and a
+    function that gives a result its columns back, in their order, followed by the named ones."""
+    names = df.columns
+    neutral = [n if n in used else f"other_{i}_column" for i, n in enumerate(names)]
+
+    def restored(out: DataFrame, *added: str) -> DataFrame:
+        return out.select(*[F.col(c).alias(n) for c, n in zip(neutral, names, strict=True)], *added)
+
+    return df.toDF(*neutral), restored

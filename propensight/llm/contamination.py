@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from propensight.llm.common import ascii_lower, table, utf8
+from propensight.llm.common import ascii_lower, shielded, table, utf8
 from propensight.session import materialize
 
 WINDOW = 10
@@ -225,12 +225,12 @@ def without(text: str, ranges: list[list[int]]) -> str:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """Drops documents with more than ``max_coverage`` of their words hit and cuts the hit words out of the others, again
     until nothing is hit (what is left may meet anew). ``n_chars``, if there, follows the text. Other columns stay."""
-    docs = docs.drop(*MATCH_TYPES)
-    names = docs.columns
+    rows, restored = shielded(docs, ("text", "n_chars"))
+    names = rows.columns
     columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in names]
-    found = materialize(find_matches(docs, items, window), "found")
-    clean = [found.filter("size(ranges) = 0").select(*names)]
-    while True:
+    found = materialize(find_matches(rows, items, window), "found")
+    clean = found.filter("size(ranges) = 0").select(*names)
+    while not found.filter("size(ranges) > 0").isEmpty():
         hit = found.filter(F.size("ranges") > 0).filter(
             F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r[1] - r[0]) <= F.col("n_words") * max_coverage)
 
@@ -243,13 +243,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
                                                   for j in range(batch.num_columns)], names=batch.schema.names)
 
         found = materialize(find_matches(hit.mapInArrow(cut, hit.schema).select(*columns), items, window), "found")
-        clean.append(found.filter("size(ranges) = 0").select(*names))
-        if found.filter("size(ranges) > 0").isEmpty():
-            break
-    out = clean[0]
-    for part in clean[1:]:
-        out = out.unionByName(part)
-    return out
+        clean = clean.unionByName(found.filter("size(ranges) = 0").select(*names))
+    return restored(clean)
 
 
 def op2_contamination(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ count for each language and trigram bucket.
 
 ``lang_pred`` is ``und`` with score 0 if the text is null or has no letter, or if nothing was learned. ``ambiguous`` is set where
 the score, the softmax of the losses, is below ``AMBIGUOUS``. Rows with null id are neither held out nor learned from.
-Repeated rows are learned as often as they occur. Other columns are not read; `keep_known` keeps them.
+Repeated rows are learned as often as they occur. Other columns are kept, but for those named like a result of ``identify``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from propensight.llm.common import table
+from propensight.llm.common import shielded, table
 
 BUCKETS = 1 << 16
 EXHAUSTIVE = 6
@@ -156,8 +156,8 @@ def learn(labelled: DataFrame, weight_rows: int = WEIGHT_ROWS) -> Model:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (with a column ``text``) and ``lang_pred, score, ambiguous`` of each whole text."""
+    docs = docs.drop("lang_pred", "score", "ambiguous", "lettered")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
     ready = docs.select("*", F.when(F.regexp_like("text", F.lit(r"\p{L}")), F.col("text").cast("binary")).alias("lettered"))
 
     def run(batches):
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array([s < AMBIGUOUS for s in score], pa.bool_())], names=[*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
 
-    schema = docs.select(*names).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
+    schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
     return ready.mapInArrow(run, schema)
 
 
@@ -189,9 +189,8 @@ def learn_split(docs: DataFrame) -> Model:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """Documents whose language can be told; those without letters go. Columns stay, ``lang`` is as it was."""
-    names = docs.columns
-    told = identify(docs.select("*", F.col("doc_id").alias("id_of_row")), learn_split(docs))
-    return told.filter("lang_pred <> 'und'").select(*names)
+    rows, restored = shielded(docs, ("text",))
+    return restored(identify(rows, learn_split(docs)).filter("lang_pred <> 'und'"))
 
 
 def op3_language(spark, sf_dir: str) -> DataFrame:

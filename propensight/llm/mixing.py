@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from propensight.llm.common import table
+from propensight.llm.common import shielded, table
 from propensight.session import materialize
 
 PART = 16.0  # largest mean drawn from one table
@@ -69,13 +69,13 @@ def poisson_mix(docs: DataFrame, weights: dict | None = None, temperature: float
     identity = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
     draw = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, j: n + F.size(
         F.filter("cumulative", lambda c: c <= uniform(F.lit(str(seed)), identity, j.cast("string")))))
-    counted = (docs.drop("copy", "n_copies", "shuffle_key")
+    rows, restored = shielded(docs.drop("copy", "n_copies", "shuffle_key"), ("doc_id", "text", "source"))
+    counted = (rows
                .join(rates, F.col("source").eqNullSafe(F.col("mix_source")), "left")
                .withColumn("n_copies", draw.cast("long")).filter("n_copies > 0"))
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), identity, F.col("copy").cast("string")))
-    mixed = copies.withColumn("shuffle_key", key).drop("mix_source", "rate", "parts", "cumulative")
-    return mixed.orderBy("shuffle_key")
+    return restored(copies.withColumn("shuffle_key", key), "n_copies", "copy", "shuffle_key").orderBy("shuffle_key")
 
 
 def op8_mix(spark, sf_dir: str) -> DataFrame:

@@ -7,15 +7,15 @@ and never step back into it, so a text of millions of characters without a blank
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are kept whatever their score; ``iban`` (mod 97) and ``ssn`` (no checksum, so
 it needs a context word) are added when the score reaches ``min_score``.
 
-Null and empty texts have no spans. Repeated rows are judged one by one. Columns besides id and text are not read by
-``find_spans``; ``mask`` keeps them.
+Null and empty texts have no spans. Repeated rows are judged one by one. Other columns are kept, but for
+``pii_`` columns in ``find_spans``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from propensight.llm.common import table
+from propensight.llm.common import shielded, table
 
 # Leftmost matches that do not overlap. Possessive quantifiers and look-behinds change the cost only, not the matches:
 # `\G` lets an address begin where the one before ended inside a run.
@@ -104,11 +104,8 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def spans_of(kind: str, text: Column, found: Column, min_score: float) -> Column:
+def spans_of(kind: str, found: Column, gaps: Column, before: Column, min_score: float) -> Column:
     """Confirmed matches of one kind with positions in code points, the end exclusive."""
-    gaps = F.split(text, PATTERNS[kind], -1)
-    sizes = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
-
     def span(z: Column) -> Column:
         gap, match = z["gap"], z["match"]
         near = F.lower(F.right(gap, F.lit(NEAR)))
@@ -120,8 +117,7 @@ def spans_of(kind: str, text: Column, found: Column, min_score: float) -> Column
                         F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 2).alias("score"),
                         confirmed(kind, match).alias("ok"))
 
-    zipped = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"),
-                          running_sum(sizes).alias("before"))
+    zipped = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), before.alias("before"))
     kept = F.filter(F.transform(zipped, span),
                     lambda s: s["ok"] if kind in BASE else s["ok"] & (s["score"] >= min_score))
     plain = F.transform(kept, lambda s: F.struct(s["kind"], s["start"], s["end"], s["score"]))
@@ -137,10 +133,17 @@ def find_spans(docs: DataFrame, text: str = "text", min_score: float = 0.5) -> D
     found = {k: F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for k, p in PATTERNS.items()}
     found = {k: F.when(F.contains(whole, F.lit(NEEDS[k])), m).otherwise(F.array().cast("array<string>")) if k in NEEDS else m
              for k, m in found.items()}
-    return (docs.withColumns({f"pii_found_{k}": m for k, m in found.items()})
-            .withColumns({f"pii_of_{k}": spans_of(k, whole, F.col(f"pii_found_{k}"), min_score) for k in PATTERNS})
-            .withColumn("pii_spans", F.concat(*[F.col(f"pii_of_{k}") for k in PATTERNS]))
-            .drop(*[f"pii_{x}_{k}" for k in PATTERNS for x in ("found", "of")]))
+    docs = docs.drop(*[c for c in docs.columns if c.startswith("pii_")])
+    # Each step is a column of its own: an expression inside a lambda would be computed for every element.
+    steps = docs.withColumns({f"pii_found_{k}": m for k, m in found.items()})
+    steps = steps.withColumns({f"pii_gaps_{k}": F.when(F.size(f"pii_found_{k}") > 0, F.split(whole, PATTERNS[k], -1)) for k in PATTERNS})
+    steps = steps.withColumns({f"pii_sizes_{k}": F.zip_with(f"pii_found_{k}", F.slice(f"pii_gaps_{k}", F.lit(1), F.size(f"pii_found_{k}")),
+                                                            lambda m, g: F.length(m) + F.length(g)) for k in PATTERNS})
+    steps = steps.withColumns({f"pii_before_{k}": running_sum(F.col(f"pii_sizes_{k}")) for k in PATTERNS})
+    steps = steps.withColumns({f"pii_of_{k}": spans_of(k, *(F.col(f"pii_{x}_{k}") for x in ("found", "gaps", "before")), min_score)
+                               for k in PATTERNS})
+    return steps.withColumn("pii_spans", F.concat(*[F.col(f"pii_of_{k}") for k in PATTERNS])).drop(
+        *[f"pii_{x}_{k}" for k in PATTERNS for x in ("found", "gaps", "sizes", "before", "of")])
 
 
 def described(spans: Column) -> Column:
@@ -170,7 +173,8 @@ def merged(spans: Column) -> Column:
 
 def mask(docs: DataFrame, text: str = "text", min_score: float = 0.5) -> DataFrame:
     """Replaces every span, overlapping ones as one, by its kind in brackets. Null texts stay null."""
-    found = find_spans(docs, text, min_score).withColumn(
+    rows, restored = shielded(docs, (text,))
+    found = find_spans(rows, text, min_score).withColumn(
         "pii_merged", F.when(F.size("pii_spans") > 0, merged(F.col("pii_spans"))))
     spans, whole = F.col("pii_merged"), F.col(text)
     parts = F.transform(spans, lambda s, i: F.concat(
@@ -179,7 +183,7 @@ def mask(docs: DataFrame, text: str = "text", min_score: float = 0.5) -> DataFra
         F.lit("["), F.upper(s["kind"]), F.lit("]")))
     last = F.get(spans, F.size(spans) - 1)["end"]
     clean = F.concat(F.array_join(parts, ""), whole.substr((last + 1).cast("int"), F.length(whole)))
-    return (found.withColumn(text, F.when(spans.isNull(), whole).otherwise(clean)).drop("pii_spans", "pii_merged"))
+    return restored(found.withColumn(text, F.when(spans.isNull(), whole).otherwise(clean)))
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:

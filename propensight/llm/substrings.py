@@ -231,13 +231,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     whole = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8(F.col("text")).alias("text")).withColumn("sha", F.sha2("text", 256))
     rows = whole.select("doc_id", "sha", F.octet_length("text").cast("bigint").alias("n_bytes"))
     firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    chosen = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("sha").alias("chosen"))
+    chosen = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("sha").alias("chosen"), F.count("*").alias("rows"))
     narrow = materialize(rows.join(firsts, "sha").join(chosen, "doc_id", "left").select(
-        "doc_id", "sha", "n_bytes", (F.col("doc_id") > F.col("first")).alias("copy"),
+        "doc_id", "sha", "n_bytes", "rows", (F.col("doc_id") > F.col("first")).alias("copy"),
         ((F.col("n_bytes") >= WINDOW) & (F.col("doc_id") == F.col("first")) & (F.col("sha") == F.col("chosen"))).alias("takes_part")), "narrow")
     # Most texts take part: those that don't are the shorter list.
     others = materialize(narrow.filter("doc_id is not null and not takes_part").select("doc_id", "sha").distinct(), "others")
     texts = only(whole.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW)), others, "left_anti")
+    repeated = materialize(narrow.filter("takes_part and rows > 1").select("doc_id", "sha").distinct(), "repeated")
+    if not repeated.isEmpty():
+        texts = only(texts, repeated, "left_anti").unionByName(only(texts, repeated, "left_semi").dropDuplicates(["doc_id"]))
     state = materialize(settled(stretches(texts.select("doc_id", "text"))), "settled")
 
     asked = state.filter("off >= 0").groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "n", "off", "hot")).alias("asked"))
