@@ -6,8 +6,10 @@
    node is listed only under its rarest ``k - ceil(floor * k) + 1`` values (prefix filter): passages that many documents have make
    no lists, values that occur once need none.
 3. Candidates: in ``leader rounds`` each member of a list is paired with one member of it, which joins large groups of near copies
-   with few pairs; then all pairs of a list whose ends are still in different components. Pairs with too different
-   sizes go, then those whose estimate over the bottom-k of the union is below ``floor``.
+   with few pairs; then all pairs of a list of at most ``LARGE`` members whose ends are still in different components. Pairs with too
+   different sizes go, then those whose estimate over the bottom-k of the union is below ``floor``. Longer lists that still hold several
+   components are texts of one mould that are just not similar enough; lists with common members form a cluster, its
+   texts are dealt to tasks in pairs of blocks of ``BLOCK``, and each task returns only links that join components.
 4. The estimate is lenient: a pair at the threshold has an expected 0.85 with deviation 0.045, ``floor`` lies six deviations below
    (probability about 1e-8). For sets of at most ``k`` shingles it is exact.
 5. Survivors are compared on the full sets. Components contract each node to the neighbour with the least hash of the round.
@@ -22,10 +24,10 @@ Repeated rows are copies of each other. Other columns are not read; `keep_one` k
 from __future__ import annotations
 
 import hashlib
-import math
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,6 +39,9 @@ K = 64
 FLOOR = 0.58
 LEADER_ROUNDS = 3
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
+LARGE = 64
+BLOCK = 400
+COLUMNS = 4_096  # shingles compared at once
 LIKE = 85  # per cent of the union
 
 
@@ -84,14 +89,77 @@ def estimated(pairs: DataFrame, nodes: DataFrame, k: int, floor: float) -> DataF
         F.size(F.array_intersect("u", "c")) >= F.ceil(F.size("u") * F.lit(floor))).select("a", "b")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = materialize(ids, "needed_ids")
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of the ids, which are broadcast if there are few enough, so that other texts are not shuffled."""
+    needed = materialize(ids.select("node").distinct(), "needed_ids")
     small = needed.count() <= BROADCAST_IDS
     chosen = docs.select(F.col("doc_id").alias("node"), utf8(F.col("text")).alias("text")).join(
         F.broadcast(needed) if small else needed, "node", "left_semi")
-    texts = materialize(chosen.dropDuplicates(["node"]) if not small else chosen, "needed_texts")
+    return materialize(chosen, "needed_texts")
+
+
+def overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``one`` with each of ``other``."""
+    owner = np.repeat(np.arange(len(one) + len(other)), [len(x) for x in [*one, *other]])
+    values = np.concatenate([*one, *other])
+    _, ids, counts = np.unique(values, return_inverse=True, return_counts=True)
+    again = counts[ids] > 1
+    ids, owner = np.unique(ids[again], return_inverse=True)[1], owner[again]
+    order = ids.argsort(kind="stable")
+    ids, owner = ids[order], owner[order]
+    out = np.zeros((len(one), len(other)), np.float32)
+    for first in range(0, int(ids[-1]) + 1 if len(ids) else 0, COLUMNS):
+        a, b = np.searchsorted(ids, [first, first + COLUMNS])
+        has = np.zeros((len(one) + len(other), COLUMNS), np.float32)
+        has[owner[a:b], ids[a:b] - first] = 1
+        out += has[:len(one)] @ has[len(one):].T
+    return out
+
+
+def links_of_blocks(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks (or within one) that join components, as few as do."""
+    group = group.sort_values("node")
+    i, j = group["i"].iloc[0], group["j"].iloc[0]
+    left = np.flatnonzero((group["block"] == i).to_numpy())
+    right = np.flatnonzero((group["block"] == j).to_numpy())
+    sets = shingle_sets(group["text"].tolist())
+    common = overlaps([sets[x] for x in left], [sets[y] for y in right])
+    size = np.array([len(x) for x in sets])
+    similar = 100 * common >= LIKE * (size[left][:, None] + size[right][None] - common)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    node, component, found = group["node"].tolist(), group["component"].tolist(), []
+    for x, y in np.argwhere(similar):
+        p, q = left[x], right[y]
+        u, v = find(component[p]), find(component[q])
+        if u != v:
+            root[max(u, v)] = min(u, v)
+            found.append((min(node[p], node[q]), max(node[p], node[q])))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def links_of_large_lists(large: DataFrame, docs: DataFrame, block: int) -> DataFrame:
+    """Links between members of common lists, from ``value, node, component``."""
+    lead = large.groupBy("value").agg(F.min("node").alias("a"))
+    stars = large.join(lead, "value").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    clusters = materialize(components(materialize(stars, "stars")).select("node", F.col("component").alias("cluster")), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = (clusters.join(sizes, "cluster").join(large.select("node", "component").distinct(), "node")
+               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    placed = members.join(texts_of(clusters, docs), "node")
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "text")
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(links_of_blocks, "a bigint, b bigint")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose full sets are similar enough."""
+    texts = texts_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))), docs)
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b"))
 
@@ -131,6 +199,11 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.join(least, "label").select("node", "component")
 
 
+def first_texts(docs: DataFrame) -> DataFrame:
+    """One row per id: its repeated rows are copies."""
+    return docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+
+
 def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     rows = materialize(sketches(docs, k), "sketches")
@@ -138,6 +211,9 @@ def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int =
         F.min("doc_id").cast("bigint").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     lists = materialize(inverted_lists(nodes, k, floor), "lists")
     placed = lists.withColumn("component", F.col("node"))
+    # Of rows that share an id only one text stands for it.
+    unique = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    whole = docs if unique else first_texts(docs)
     found: list[DataFrame] = []
     tested: list[DataFrame] = []
     for turn in range(leader_rounds + 1):
@@ -148,17 +224,21 @@ def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int =
             met = placed.join(leads, "value").filter(F.col("component") != F.col("lead_component")).filter(
                 similar_size(F.col("n"), F.col("lead_n"))).select(F.col("node").alias("x"), F.col("lead").alias("y"))
         else:  # exact: whatever is still apart
-            mixed = placed.groupBy("value").agg((F.min("component") != F.max("component")).alias("mixed")).filter("mixed")
-            apart = materialize(placed.join(mixed.select("value"), "value"), "apart")
-            other = apart.select("value", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("other"))
-            met = apart.join(other, "value").filter((F.col("component") < F.col("other")) & similar_size(F.col("n"), F.col("m"))).select(
+            mixed = placed.groupBy("value").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("members")).filter("mixed")
+            apart = materialize(placed.join(mixed.select("value", "members"), "value"), "apart")
+            short = apart.filter(F.col("members") <= LARGE)
+            other = short.select("value", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("other"))
+            met = short.join(other, "value").filter((F.col("component") < F.col("other")) & similar_size(F.col("n"), F.col("m"))).select(
                 F.col("node").alias("x"), "y")
         pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         for t in tested:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested.append(pairs)
-        new = materialize(verified(materialize(estimated(pairs, nodes, k, floor), "likely"), docs), "links")
+        new = verified(materialize(estimated(pairs, nodes, k, floor), "likely"), whole)
+        if turn == leader_rounds:
+            new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), whole, BLOCK))
+        new = materialize(new, "links")
         if new.isEmpty():
             if turn < leader_rounds - 1 and pairs.isEmpty():
                 break  # no list has two components left

@@ -84,3 +84,29 @@ def test_shingle_sets_count_distinct_shingles():
     sets = shingle_sets([t.encode() for t in texts])
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
     assert all((np.diff(s.astype(object)) > 0).all() for s in sets if len(s) > 1)
+
+
+def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
+    rnd = random.Random(4)
+    vocab = [f"v{k}" for k in range(500)]
+    base = [rnd.choice(vocab) for _ in range(90)]
+    rows = []
+    for i in range(70):  # most pairs are just below the threshold
+        copy = list(base)
+        for _ in range(rnd.choice([1, 1, 2])):
+            copy[rnd.randrange(90)] = rnd.choice(vocab)
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(N, "LARGE", 3)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: c for i, (_, c) in brute(rows).items()}
+    for rounds in (0, 2):
+        assert {r.doc_id: r.component_id for r in N.link(df, leader_rounds=rounds).collect()} == want
+    assert 1 < len(set(want.values())) < 70
+
+
+def test_overlaps_count_common_values(monkeypatch):
+    monkeypatch.setattr(N, "COLUMNS", 7)
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 5, 30, 30, 50, 1)]
+    assert (N.overlaps(sets, sets[2:]) == [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]).all()
