@@ -8,8 +8,8 @@
    distance, at most ``COPIES``, skipping a centroid that lies nearer to one already chosen than to the vector).
 4. A query searches the lists whose centroid is within ``1 + ratio`` of the nearest one's distance. The ratio is fitted on the sample
    so that ``RECALL`` of the true neighbours are in those lists; in the whole, neighbours are nearer than in the sample.
-5. Lists are dealt out in blocks of about ``BLOCK`` vectors and ``QUERIES`` queries, so that a list of many equal vectors is no single task;
-   each block gives its best for each query, computed in double precision on the original vectors.
+5. Short lists are bundled, long ones split, into blocks of about ``BLOCK`` vectors and ``QUERIES`` queries, so that a list of many
+   equal vectors is no single task; each block gives its best for each query, computed in double precision on the original vectors.
 
 Vectors that are null, zero, or hold null or non-finite values take no part, nor rows with null id or of another length than
 most. Of repeated ids each row is a candidate; a query's result lists an id once, with its least distance. Other columns are not read.
@@ -183,6 +183,19 @@ def listed(rows: DataFrame, index: Index, queries: bool) -> DataFrame:
     return placed.select(F.explode("lists").alias("list"), "vec_id", "v")
 
 
+def bundles(stored: DataFrame, looking: DataFrame) -> list[tuple[int, int, int, int]]:
+    """Per list its bundle, blocks of vectors and groups of queries: neighbouring short lists fill a bundle up to ``BLOCK`` vectors."""
+    sizes = stored.groupBy("list").agg(F.count("*").alias("n")).join(
+        looking.groupBy("list").agg(F.count("*").alias("q")), "list").orderBy("list").collect()  # at most CENTROIDS rows
+    groups: list[list] = []
+    for r in sizes:
+        if groups and sum(x.n for x in groups[-1]) + r.n <= BLOCK:
+            groups[-1].append(r)
+        else:
+            groups.append([r])
+    return [(r.list, b, -(-sum(x.n for x in own) // BLOCK), -(-max(x.q for x in own) // QUERIES)) for b, own in enumerate(groups) for r in own]
+
+
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows whose id is divisible by ``every``, against all other ids."""
     out = "query_id bigint, rank int, vec_id bigint, score double"
@@ -194,33 +207,33 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, sample: int = SAM
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
     stored = materialize(listed(rows, index, False), "lists")
     looking = materialize(listed(asked, index, True), "probes")
-    # One row per list: at most CENTROIDS.
-    parts = materialize(stored.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(
-        looking.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("groups")), "list"), "parts")
-    parts = F.broadcast(parts)
+    dealt = bundles(stored, looking)
+
+    def parts() -> DataFrame:
+        return F.broadcast(spark.createDataFrame(dealt, "list int, bundle int, blocks int, groups int"))  # at most CENTROIDS rows
+
     block, group = F.pmod(F.xxhash64("vec_id"), F.col("blocks")), F.pmod(F.xxhash64("vec_id"), F.col("groups"))
-    held = stored.join(parts, "list").withColumn("block", block.cast("int")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("list", "block", "part", "vec_id", "v")
-    wanted = looking.join(parts, "list").withColumn("part", group.cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("list", "block", "part", "vec_id", "v")
+    held = stored.join(parts(), "list").withColumn("block", block.cast("int")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("bundle", "block", "part", "list", "vec_id", "v")
+    wanted = looking.join(parts(), "list").withColumn("part", group.cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bundle", "block", "part", "list", "vec_id", "v")
 
     def best(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(own) and len(ask):
             own = own.sort_values("vec_id", kind="stable")
-            ids, x = own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy())
-            for q, v in zip(ask["vec_id"], ask["v"], strict=True):
-                d = np.sqrt(((x - v) ** 2).sum(axis=1))
-                d[ids == q] = np.inf
+            ids, x, lists = own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy()), own["list"].to_numpy()
+            for q, probes in ask.groupby("vec_id"):
+                at = np.flatnonzero(np.isin(lists, probes["list"].to_numpy()) & (ids != q))
+                d = np.sqrt(((x[at] - probes["v"].iloc[0]) ** 2).sum(axis=1))
                 order = d.argsort(kind="stable")  # ties stay in the order of ids
-                _, first = np.unique(ids[order], return_index=True)
+                _, first = np.unique(ids[at[order]], return_index=True)
                 order = order[np.sort(first)][:k]
-                order = order[np.isfinite(d[order])]
-                found.append(pd.DataFrame({"query_id": q, "vec_id": ids[order], "score": d[order]}))
+                found.append(pd.DataFrame({"query_id": q, "vec_id": ids[at[order]], "score": d[order]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    keys = ["list", "block", "part"]
+    keys = ["bundle", "block", "part"]
     partial = held.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(best, "query_id bigint, vec_id bigint, score double")
     once = partial.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
