@@ -27,6 +27,7 @@ WINDOW = 10
 BLOCK_WORDS = 200_000
 PASSES = 4  # passes between two cuts of the lineage
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_WORD = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")  # before A-Z are made lower case
 # Bytes of words keep their value or become lower case, all others become blanks; bytes above 0x7F are in words.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256))
 
@@ -214,7 +215,7 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_
 
 def without(text: str, ranges: list[list[int]]) -> str:
     """The text less the hit words and what lies between them."""
-    places = [m.span() for m in re.finditer(WORD, text)]
+    places = [m.span() for m in re.finditer(ANY_WORD, text)]
     out, at = [], 0
     for start, end in ranges:
         out.append(text[at:places[start][0]])

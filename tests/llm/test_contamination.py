@@ -59,6 +59,13 @@ def test_decontaminate_leaves_no_window_and_clean_documents_alone(spark):
     assert not any(brute(r.text, [(9, item)], 6)[1] for r in out.values())
 
 
+def test_places_of_words_are_those_of_the_scan():
+    for text in ("Ab cD, EF1é--Gh", "É ÀB x", "", "ALL CAPS HERE"):
+        assert [m[0].lower() for m in C.re.finditer(C.ANY_WORD, text) if m[0].isascii()] == [
+            w.decode() for w in C.words_of(text.encode()) if w.isascii()]
+    assert C.without("Say: ONE Two three. End", [[1, 4]]) == "Say:  . End"
+
+
 def test_longest_match_is_tracked(spark):
     got = C.find_matches(spark.createDataFrame([(1, "x a b c d y")], "doc_id long, text string"),
                          spark.createDataFrame([(1, "z a b c d w")], "item_id long, text string"), 5).select(F.col("longest")).first()
