@@ -382,7 +382,7 @@ CTES["calendar"] = (f"SELECT CAST(unnest(generate_series(first_date, execution_d
 _pbin = lambda n, p="proba": f"CAST(least(floor({p} * {n}), {n - 1}) AS INTEGER)"
 CTES["thresholds"] = """
 SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS pt, sum(neg) OVER () AS nt, pos, neg
-FROM (SELECT round(proba, 6) AS threshold, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
+FROM (SELECT proba AS threshold, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
       FROM fx_scored GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING)"""
 
 MATERIALIZED = {"extract", "extract_early", "feat", "vectors", "steps", "space", "stats", "stats_step", "freq0", "freq", "hier",

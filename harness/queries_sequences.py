@@ -195,13 +195,12 @@ def _(s: Stage) -> DataFrame:
 
 @query("needs_retrain", f"""
 SELECT age AS max_age, latest_run, {d(X.EXEC_DATE)} - latest_run > age AS retrain
-FROM (SELECT max(CAST(event_timestamp AS date)) AS latest_run FROM fx_events WHERE event_env = 'purchase'
-      AND event_timestamp < TIMESTAMP '2024-01-25') CROSS JOIN (SELECT CAST(unnest([5, 7]) AS INTEGER) AS age)""")
+FROM (SELECT max(CAST(event_timestamp AS date)) AS latest_run FROM fx_events WHERE event_env = 'purchase') CROSS JOIN (SELECT CAST(unnest([-9, 7]) AS INTEGER) AS age)""")
 def _(s: Stage) -> DataFrame:
     day = F.date_format("event_timestamp", C.DATE_FORMAT)
-    runs = (s.events.where((F.col("event_env") == C.PURCHASE) & (F.col("event_timestamp") < F.lit("2024-01-25").cast("timestamp_ntz")))
-            .select(F.concat(F.lit("model_last_execution_date_"), day).alias("name")).distinct())
-    one, two = (Cal.needs_retrain(runs, X.EXEC_DATE, age).select(F.lit(age).alias("max_age"), "*") for age in (5, 7))
+    runs = (s.events.where(F.col("event_env") == C.PURCHASE)
+            .select(F.concat(F.lit("run_"), day).alias("name")).distinct())
+    one, two = (Cal.needs_retrain(runs, X.EXEC_DATE, age).select(F.lit(age).alias("max_age"), "*") for age in (-9, 7))
     return one.unionByName(two)
 
 
@@ -311,7 +310,7 @@ def _(s: Stage) -> DataFrame:
     return Ev.class_counts(s.scored)
 
 
-@query("roc_curve", f"SELECT threshold, {r6('fp / nt')} AS fpr, {r6('tp / pt')} AS tpr FROM thresholds")
+@query("roc_curve", f"SELECT {r6('threshold')} AS threshold, {r6('fp / nt')} AS fpr, {r6('tp / pt')} AS tpr FROM thresholds")
 def _(s: Stage) -> DataFrame:
     return Ev.roc_curve(s.scored)
 
@@ -324,7 +323,7 @@ def _(s: Stage) -> DataFrame:
     return Ev.roc_auc(s.scored)
 
 
-@query("pr_curve", f"SELECT threshold, {r6('tp / (tp + fp)')} AS precision, {r6('tp / pt')} AS recall FROM thresholds "
+@query("pr_curve", f"SELECT {r6('threshold')} AS threshold, {r6('tp / (tp + fp)')} AS precision, {r6('tp / pt')} AS recall FROM thresholds "
                    "UNION ALL SELECT NULL, 1e0, 0e0")
 def _(s: Stage) -> DataFrame:
     return Ev.pr_curve(s.scored)

@@ -58,12 +58,6 @@ SPACE_CATEGORICAL = SPACE_INDICATOR + SPACE_SHIFTED + CODED_COLUMNS
 SPACE_FIXED = ["inactivity"]
 POSITIVE = ["product_price", "duration", "delta_time"]
 
-# Readable values of the event and device slots
-EVENT_SLOT_NAMES = ["None_event", "product_page", "purchase", "add_to_cart",
-                    "event_Na_0", "event_Na_1", "event_Na_2", "event_Na_3", "event_Na_4", "event_Na_5"]
-DEVICE_SLOT_NAMES = ["None_device", "tv_device", "ebook_reader", "tablet", "other",
-                     "mobile_device", "desktop", "mobile_phone", "device_Na_0", "device_Na_1"]
-
 # Feature families used when weights are summed
 FAMILIES = {
     "week_day": "week_days",

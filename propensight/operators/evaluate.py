@@ -45,15 +45,17 @@ def class_counts(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros"))
 
 
-def _cumulative_counts(scored: DataFrame, digits: int, slices: int = 1000) -> DataFrame:
+def _cumulative_counts(scored: DataFrame, slices: int = 200) -> DataFrame:
     """Positives and negatives at or above every distinct probability.
 
-    Rows shrink to one per rounded probability first. The running sums are taken inside ``slices`` ranges
-    of the probability in parallel; a second sum runs over one row per range.
+    Rows shrink to one per probability first. The running sums are taken in parallel inside ``slices`` ranges that
+    are cut at quantiles, so that many small probabilities are no hot range; a second sum runs over one row per range.
     """
-    counts = (scored.groupBy(F.round("proba", digits).alias("threshold"))
-              .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-              .withColumn("_slice", probability_bin(F.col("threshold"), slices)))
+    counts = scored.groupBy(F.col("proba").alias("threshold")).agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    cuts = sorted(set(counts.approxQuantile("threshold", [k / slices for k in range(1, slices)], 0.001)))
+    position = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("threshold"))) if cuts else F.lit(0)
+    counts = counts.withColumn("_slice", position)
     above = W.partitionBy(F.lit(0)).orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     totals = W.partitionBy(F.lit(0))
     ranges = counts.groupBy("_slice").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -67,13 +69,13 @@ def _cumulative_counts(scored: DataFrame, digits: int, slices: int = 1000) -> Da
         (F.sum("neg").over(within) + F.col("_n_above")).alias("fp"))
 
 
-def roc_curve(scored: DataFrame, digits: int = 6) -> DataFrame:
+def roc_curve(scored: DataFrame) -> DataFrame:
     """False and true positive rate at every distinct threshold."""
-    return _cumulative_counts(scored, digits).select(
+    return _cumulative_counts(scored).select(
         "threshold", (F.col("fp") / F.col("neg_total")).alias("fpr"), (F.col("tp") / F.col("pos_total")).alias("tpr"))
 
 
-def roc_auc(scored: DataFrame, digits: int = 6) -> DataFrame:
+def roc_auc(scored: DataFrame) -> DataFrame:
     """Area under the ROC curve by trapezoids.
 
     A trapezoid needs only its own threshold: its width is the threshold's negatives, and the mean of its two
@@ -81,12 +83,12 @@ def roc_auc(scored: DataFrame, digits: int = 6) -> DataFrame:
     """
     height = F.col("tp") - F.col("pos") / 2
     area = F.sum(F.col("neg") * height) / F.max(F.col("pos_total") * F.col("neg_total"))
-    return _cumulative_counts(scored, digits).agg(area.alias("roc_auc"))
+    return _cumulative_counts(scored).agg(area.alias("roc_auc"))
 
 
-def pr_curve(scored: DataFrame, digits: int = 6) -> DataFrame:
+def pr_curve(scored: DataFrame) -> DataFrame:
     """Precision and recall at every distinct threshold, and the end point (1, 0) without one."""
-    points = _cumulative_counts(scored, digits).select(
+    points = _cumulative_counts(scored).select(
         "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         (F.col("tp") / F.col("pos_total")).alias("recall"))
     end = scored.sparkSession.range(1).select(

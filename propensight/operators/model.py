@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, functions as F
 
 from propensight import constants as C
@@ -81,7 +82,7 @@ def hyperparameter_sweep(train: DataFrame, evaluation: DataFrame, grid: list[dic
         try:
             scored = score(fit_classifier(train, **params), evaluation).withColumnRenamed("purchase_proba", "proba")
             loss = classification_losses(scored).first()["cross_entropy"]
-        except Exception:  # any failing fit is ranked last, the sweep goes on
+        except (IllegalArgumentException, TypeError, ValueError):  # parameters that the fit refuses; a lost cluster is an error
             loss = None
         rows.append((json.dumps(params, sort_keys=True), FAILED_LOSS if loss is None or loss != loss else float(loss)))
     return train.sparkSession.createDataFrame(rows, "params string, loss double").orderBy("loss", "params")

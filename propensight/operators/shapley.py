@@ -89,6 +89,13 @@ def spread_steps(space: DataFrame, keep: list[str]) -> DataFrame:
     return real.select(*STEP_KEYS, *keep).repartition(shuffle_width(space), *STEP_KEYS)
 
 
+def _every_step(joined: DataFrame) -> DataFrame:
+    """Rows of a left join on the step; a step without background is an error, not a lost row."""
+    there = F.when(F.col("_there"), True).otherwise(
+        F.raise_error(F.concat(F.lit("the background has no rows for step "), F.col("step").cast("string"))).cast("boolean"))
+    return joined.where(there).drop("_there")
+
+
 def mask_expand(instances: DataFrame, background: DataFrame, groups: dict[str, list[str]] = GROUPS,
                 chosen: DataFrame | None = None) -> DataFrame:
     """Every instance step under every coalition and background row of its step.
@@ -106,7 +113,7 @@ def mask_expand(instances: DataFrame, background: DataFrame, groups: dict[str, l
                 .withColumn("coalition", F.explode(both_ends)).drop("_masks"))
     other = background.select("step", F.col("sample").alias("background_row"),
                               *[F.col(f).alias(f"_b_{f}") for f in C.SPACE_ALL])
-    joined = rows.join(F.broadcast(other), "step")
+    joined = _every_step(rows.join(F.broadcast(other.withColumn("_there", F.lit(True))), "step", "left"))
     values = {f: F.when(_present(groups, f), F.col(f)).otherwise(F.col(f"_b_{f}")) for f in C.SPACE_ALL}
     return joined.withColumns(values).drop(*[f"_b_{f}" for f in C.SPACE_ALL])
 
@@ -153,7 +160,7 @@ def background_value(background: DataFrame, scorer: MeanPoolScorer, label: int =
 
 def with_background_base(values: DataFrame, base: DataFrame) -> DataFrame:
     """Take the value of the empty coalition from the background with its own context (one row per step)."""
-    return (values.join(F.broadcast(base), "step")
+    return (_every_step(values.join(F.broadcast(base.withColumn("_there", F.lit(True))), "step", "left"))
             .withColumn("value", F.when(F.col("coalition") == 0, F.col("base_value")).otherwise(F.col("value")))
             .drop("base_value"))
 

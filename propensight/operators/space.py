@@ -95,7 +95,8 @@ def flat_names(length: int) -> list[str]:
 
 def flatten_wide(space: DataFrame, length: int) -> DataFrame:
     """One row per sequence with all flat columns; an output format only."""
-    return flatten_steps(space).groupBy(*ID_KEYS).pivot("name", flat_names(length)).agg(F.first("value"))
+    known = F.when(F.col("step") < length, True).otherwise(F.raise_error(F.lit("a step beyond the length of the flat form")).cast("boolean"))
+    return flatten_steps(space.where(known)).groupBy(*ID_KEYS).pivot("name", flat_names(length)).agg(F.first("value"))
 
 
 def flatten_per_step(space: DataFrame) -> DataFrame:
@@ -103,24 +104,21 @@ def flatten_per_step(space: DataFrame) -> DataFrame:
     return space.select(*ID_KEYS, "step", *C.SPACE_ALL)
 
 
-def _label_table(spark, vocabulary: DataFrame, slots: DataFrame | None) -> DataFrame:
-    fixed = {"week_day": C.WEEK_DAYS, "month": C.MONTH_NAMES,
-             "event_env": C.EVENT_SLOT_NAMES, "device": C.DEVICE_SLOT_NAMES}
-    rows = [(f, 0, "PAD") for f in fixed]
-    rows += [(f, i + 1, n) for f, names in fixed.items() for i, n in enumerate(names)
-             if slots is None or f not in C.INDICATOR_COLUMNS]
+def _label_table(spark, vocabulary: DataFrame, slots: DataFrame) -> DataFrame:
+    fixed = {"week_day": C.WEEK_DAYS, "month": C.MONTH_NAMES}
+    rows = [(f, 0, "PAD") for f in (*fixed, *C.INDICATOR_COLUMNS)]
+    rows += [(f, i + 1, n) for f, names in fixed.items() for i, n in enumerate(names)]
     table = constant_table(spark, rows, ["feature", "code", "text"])
-    if slots is not None:
-        none = F.concat(F.lit("None_"), F.col("feature"))
-        table = table.unionByName(slots.select("feature", (F.col("code") + 1).alias("code"), F.when(
-            F.col("value") == C.SLOT_SEED[0], none).otherwise(F.col("value")).alias("text")))
+    none = F.concat(F.lit("None_"), F.col("feature"))
+    table = table.unionByName(slots.select("feature", (F.col("code") + 1).alias("code"), F.when(
+        F.col("value") == C.SLOT_SEED[0], none).otherwise(F.col("value")).alias("text")))
     return table.unionByName(vocabulary.select("feature", "code", F.col("value").alias("text")))
 
 
-def category_labels(space: DataFrame, vocabulary: DataFrame, slots: DataFrame | None = None) -> DataFrame:
+def category_labels(space: DataFrame, vocabulary: DataFrame, slots: DataFrame) -> DataFrame:
     """Readable value and display name of every named category cell.
 
-    Event and device names come from the slot map, else from the fixed lists.
+    Event and device names come from the slot map.
     """
     named = to_long(space, C.SPACE_INDICATOR + C.CODED_COLUMNS)
     table = _label_table(space.sparkSession, vocabulary, slots)

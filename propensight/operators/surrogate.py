@@ -155,13 +155,16 @@ def _fit_one(group: pd.DataFrame, settings: list[tuple[float, int | None, int]],
     return pd.concat(parts, ignore_index=True)
 
 
+ALL_SAMPLES = 2 ** 31 - 1  # a setting may ask for a prefix of the samples
+
+
 def local_linear_fit(design: DataFrame, max_length: int, settings: list[tuple[float, int | None, int]] | None = None,
                      label: int = 1, alpha: float = 1.0, rank_alpha: float = 0.01) -> DataFrame:
     """Weighted ridge fit of the probability per instance, for each ``(kernel width, complexity, samples)``.
 
-    A group is one instance: at most ``samples`` rows of ``17 * max_len + 1`` numbers, whatever the data size.
+    A group is one instance: its samples, each a row of ``17 * max_len + 1`` numbers, whatever the data size.
     """
-    settings = settings or [(Params.kernel_width, None, Params.samples)]
+    settings = settings or [(Params.kernel_width, None, ALL_SAMPLES)]
     wanted = max(n for _, _, n in settings)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:

@@ -21,7 +21,7 @@ from propensight.operators import surrogate as Su, vocabulary as V
 from propensight.session import configure, materialize
 from propensight.sources import tables as T
 
-RUN_PREFIX = "model_last_execution_date_"
+RUN_PREFIX = "run_"
 DATES_PER_JOB = 20
 
 
@@ -77,7 +77,8 @@ def _grown_slots(spark: SparkSession, store: Store, spec: DataFrame) -> DataFram
 
 
 def prepare(inputs: Inputs, store: Store, execution_date: dt.date, action: str = "train",
-            params: Params = Params(), known_only: bool = True, last_only: bool = False) -> list[dt.date]:
+            params: Params = Params(), known_only: bool = True, last_only: bool = False,
+            unknown: str = "error") -> list[dt.date]:
     """Write the sequences of all dates the action needs and that are not there yet; returns these dates.
 
     Dates are processed in blocks, which bounds how often an event is copied within one job.
@@ -100,7 +101,7 @@ def prepare(inputs: Inputs, store: Store, execution_date: dt.date, action: str =
                                                      lacking, params, known_only), store.path("extracts"))
         extract = T.read_extract(spark, store.path("extracts"), block)
         features = Fe.event_features(extract, _grown_vocabulary(spark, store, extract),
-                                     _grown_slots(spark, store, spec))
+                                     _grown_slots(spark, store, spec), unknown=unknown)
         T.write_sequences(S.sequence_examples(features, params.max_len, params.horizon),
                           store.path("sequences"), purpose)
     return todo
@@ -122,27 +123,48 @@ def check_model(spark: SparkSession, store: Store, execution_date: dt.date, max_
 
 
 def train(spark: SparkSession, store: Store, execution_date: dt.date, params: Params = Params(), **fit) -> DataFrame:
-    """Fit on the first share of the prepared days, store the model, and return its losses on the others."""
+    """Fit on the first share of the prepared days, store the model, and return its losses on the others.
+
+    Days count from the training history up to the last one whose labels were complete at the execution date, whatever
+    else is stored.
+    """
     path = store.path("sequences")
-    parts = Cal.split_by_date(T.written_dates(spark, path, "training"), params.train_share).collect()
+    day, end = F.col("data_date"), F.lit(execution_date)
+    known = T.written_dates(spark, path, "training").where(
+        (day <= F.date_sub(end, params.horizon)) & (day > F.date_sub(end, params.training_history + 1)))
+    parts = Cal.split_by_date(known, params.train_share).collect()
     days = lambda part: [r["data_date"] for r in parts if r["part"] == part]
+    if not days("train") or not days("evaluate"):
+        raise ValueError(f"{len(parts)} prepared days up to {execution_date} do not give training and held-out days")
     model = M.fit_classifier(T.read_sequences(spark, path, days("train")), **fit)
     model.write().overwrite().save(store.path(f"models/{RUN_PREFIX}{execution_date:%Y%m%d}"))
-    held_out = days("evaluate") or days("train")
+    held_out = days("evaluate")
     scored = M.score(model, T.read_sequences(spark, path, held_out)).withColumnRenamed("purchase_proba", "proba")
     return Ev.classification_losses(scored)
 
 
-def latest_model(spark: SparkSession, store: Store) -> PipelineModel:
-    name = model_runs(spark, store).agg(F.max("name")).first()[0]
+def latest_model(spark: SparkSession, store: Store, execution_date: dt.date) -> PipelineModel:
+    """The newest model that is not later than the date."""
+    stamp = F.regexp_extract("name", "([0-9]{8})$", 1)
+    name = model_runs(spark, store).where((stamp != "") & (stamp <= f"{execution_date:%Y%m%d}")).agg(F.max_by("name", stamp)).first()[0]
+    if name is None:
+        raise FileNotFoundError(f"no model up to {execution_date}")
     return PipelineModel.load(store.path(f"models/{name}"))
 
 
 def predict(spark: SparkSession, store: Store, execution_date: dt.date, data_date: dt.date | None = None) -> DataFrame:
-    """Score all sequences of the date with the latest model and store the predictions."""
-    examples = T.read_sequences(spark, store.path("sequences"), [data_date or execution_date], "prediction")
+    """Score all sequences of the date with the latest model and store the predictions.
+
+    ``prepare`` moves the date back by a day where the data ends the day before; so does this.
+    """
+    wanted = [data_date] if data_date else [execution_date, execution_date - dt.timedelta(days=1)]
+    stored = _written(spark, store.path("sequences"), "prediction").where(F.col("data_date").isin(wanted))
+    day = stored.agg(F.max("data_date")).first()[0]
+    if day is None:
+        raise ValueError(f"no sequences to predict for {wanted[0]}: run prepare first")
+    examples = T.read_sequences(spark, store.path("sequences"), [day], "prediction")
     path = store.path("predictions")
-    T.write_predictions(M.score(latest_model(spark, store), examples), path, execution_date)
+    T.write_predictions(M.score(latest_model(spark, store, execution_date), examples), path, execution_date)
     return T.read_predictions(spark, path, execution_date)
 
 
@@ -151,7 +173,7 @@ def evaluate(spark: SparkSession, store: Store, available: DataFrame, execution_
     """Evaluation tables over the most recent dates with complete labels."""
     days = _dates(Cal.evaluation_dates(available, execution_date, params.horizon))
     examples = T.read_sequences(spark, store.path("sequences"), days)
-    scored = M.score(latest_model(spark, store), examples).withColumnRenamed("purchase_proba", "proba")
+    scored = M.score(latest_model(spark, store, execution_date), examples).withColumnRenamed("purchase_proba", "proba")
     scored = materialize(scored.select("id", "label", "proba"), "scored")
     return {"calibration": Ev.calibration_bins(scored, params.calibration_bins),
             "calibration_curve": Ev.calibration_curve(scored, params.calibration_bins),

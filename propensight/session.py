@@ -27,14 +27,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach. A private one is made only where the session names none."""
+    """Folder every executor can reach. A private one is made only in local mode, where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        require_local(spark.sparkContext.master)
         named = tempfile.mkdtemp(prefix="propensight-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def require_local(master: str) -> None:
+    """Executors of a cluster do not see the driver's folders."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("name a folder all executors share in spark.checkpoint.dir")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: short lineage that survives lost executors."""
     spark = df.sparkSession

@@ -69,18 +69,22 @@ def written_dates(spark: SparkSession, path: str, purpose: str | None = None) ->
     return df.select("data_date").distinct()
 
 
+# Blanks, quotes, tabs and line breaks come back as they were.
+EXACT_TEXT = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
     """Tab-separated text with a header, one folder per feature."""
     value, code = C.VOCABULARY_FILE_COLUMNS
     (vocabulary.select("feature", F.col("value").alias(value), F.col("code").alias(code))
      .hint("rebalance", "feature").write.mode("overwrite").partitionBy("feature")
-     .option("sep", "\t").option("header", True).option("encoding", "UTF-8").option("emptyValue", "")
+     .options(**EXACT_TEXT).option("encoding", "UTF-8").option("emptyValue", "").option("quoteAll", True)
      .csv(path))
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     value, code = C.VOCABULARY_FILE_COLUMNS
-    df = (spark.read.option("sep", "\t").option("header", True)
+    df = (spark.read.options(**EXACT_TEXT).option("multiLine", True)
           .schema(f"{value} string, {code} int, feature string").csv(path))
     return df.select("feature", F.col(value).alias("value"), F.col(code).alias("code"))
 

@@ -56,3 +56,12 @@ def test_histogram_covers_all_rows(scored):
     got = {r["subset"]: (r["n"], r["bins"]) for r in hist.collect()}
     ones = scored.where("label = 1").count()
     assert got == {"all": (400, 15), "label1": (ones, 15), "label0": (400 - ones, 15)}
+
+
+def test_thresholds_that_differ_in_the_ninth_digit_stay_apart(spark):
+    rows = [(k % 3 == 0, 0.1 + k * 1e-9) for k in range(50)]
+    scored = spark.createDataFrame([(int(a), b) for a, b in rows], "label int, proba double")
+    assert Ev.roc_curve(scored).count() == 50
+    pos, neg = [p for a, p in rows if a], [p for a, p in rows if not a]
+    area = sum(p > n for p in pos for n in neg) / len(pos) / len(neg)
+    assert abs(Ev.roc_auc(scored).first()[0] - area) < 1e-12

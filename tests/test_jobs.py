@@ -33,6 +33,16 @@ def test_from_events_to_explanations(spark, small, tmp_path):
     predictions = J.predict(spark, store, EXEC)
     assert predictions.columns == ["id", "purchase_proba"] and predictions.count() > 0
 
+    day_after = EXEC + dt.timedelta(days=1)                                  # the normal daily run: data end yesterday
+    assert small.events.agg(F.max(F.to_date("event_timestamp"))).first()[0] == EXEC
+    assert J.predict(spark, store, day_after).count() == predictions.count()
+    with pytest.raises(ValueError, match="prepare first"):
+        J.predict(spark, store, day_after + dt.timedelta(days=5))
+    with pytest.raises(ValueError, match="held-out"):
+        J.train(spark, store, dt.date(2024, 1, 26), PARAMS)                  # later sequences are in the store
+    with pytest.raises(FileNotFoundError):
+        J.latest_model(spark, store, EXEC - dt.timedelta(days=1))
+
     report = J.evaluate(spark, store, E.available_dates(small.events), EXEC, PARAMS)
     assert report["calibration"].agg(F.sum("count")).first()[0] > 0 and report["roc_auc"].count() == 1
 

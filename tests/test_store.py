@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from harness import catalog
 from harness.check import connect, difference
 from propensight.operators import model as M
+from propensight.session import require_local
 from propensight.sources import tables as T
 from tests.conftest import SF
 
@@ -46,7 +47,7 @@ def test_spec_is_written_once(small, spark, tmp_path):
 
 
 def test_value_lists_keep_special_values(spark, tmp_path):
-    rows = spark.createDataFrame([("f", "0", 0), ("f", "a b", 1), ("g", "é", 2)], "feature string, value string, code int")
+    rows = spark.createDataFrame([("f", "0", 0), ("f", "a b", 1), ("g", "é", 2), ("g", " a b ", 3), ("g", 'q "x"', 4), ("g", "t\tz", 5), ("g", "l\nm", 6)], "feature string, value string, code int")
     T.write_vocabulary(rows, str(tmp_path / "v"))
     assert sorted(T.read_vocabulary(spark, str(tmp_path / "v")).collect()) == sorted(rows.collect())
     slots = spark.createDataFrame([("f", "", 0), ("f", "x", 1)], "feature string, value string, code int")
@@ -85,3 +86,10 @@ def test_against_duckdb(spark, name):
     mine = catalog.QUERIES[name](spark, SF).toPandas()
     twin = connect(SF).sql(catalog.ORACLES[name]).df()
     assert difference(mine, twin) == ""
+
+
+def test_machine_local_folders_are_for_local_mode_only():
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            require_local(master)
+    require_local("local[8]")
