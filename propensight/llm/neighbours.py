@@ -32,6 +32,7 @@ DEGREE, FAR, ENTRIES = 16, 4, 32
 CLOSE, COPIES = 0.02, 4
 RECALL, PROBES = 0.97, 256
 BLOCK, QUERIES = 4_096, 512
+ROWS = 1_000
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -86,7 +87,12 @@ class Index:
         return float(np.quantile(ratios, RECALL))
 
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best-first over the graph with a list of ``width`` candidates for each row: their ids and distances, nearest first."""
+        """Best-first over the graph with a list of ``width`` candidates for each row: their ids and distances, nearest first.
+        ``ROWS`` rows at a time, which bounds the memory."""
+        parts = [self._search(x[i:i + ROWS], width) for i in range(0, len(x), ROWS)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         rows, k = len(x), len(self.centroids)
         width = min(width, k)
         seen = np.zeros((rows, k), bool)
@@ -100,7 +106,8 @@ class Index:
             open_ = ~done & np.isfinite(dist)
             live = np.flatnonzero(open_.any(axis=1))
             if not len(live):
-                return ids, dist
+                fill = min(width, k) - ids.shape[1]  # so that all parts are of one width
+                return np.pad(ids, ((0, 0), (0, fill))), np.pad(dist, ((0, 0), (0, fill)), constant_values=np.inf)
             nxt = open_[live].argmax(axis=1)
             done[live, nxt] = True
             to = self.links[ids[live, nxt]]
