@@ -22,20 +22,14 @@ FAILED_LOSS = 1e9
 
 
 def pool_sequences(examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
-    """A vector of fixed length per sequence: last step, means, sums, length and inactivity.
-
-    Steps are spread over rows and combined in the same task before anything is shuffled.
-    """
+    """A vector of fixed length per sequence: last step, means, sums, length and inactivity. Nothing is shuffled."""
     label = ["label"] if "label" in examples.columns else []
-    steps = examples.select(*keys, "seq_length", "inactivity", *label,
-                            F.element_at("inputs_num", -1).cast("array<double>").alias("last"),
-                            F.explode("inputs_num").alias("num"))
-    sums = F.array(*[F.sum(F.get("num", F.lit(i)).cast("double")) for i in range(C.N_INPUT)])
-    pooled = steps.groupBy(*keys).agg(
-        sums.alias("total"), *[F.first(c).alias(c) for c in ["last", "seq_length", "inactivity", *label]])
-    mean = F.transform("total", lambda s: s / F.col("seq_length"))
+    add = lambda s, v: F.zip_with(s, v, lambda x, y: x + F.coalesce(y.cast("double"), F.lit(0.0)))
+    pooled = examples.withColumn("_total", F.aggregate("inputs_num", F.array_repeat(F.lit(0.0), C.N_INPUT), add))
+    last = F.element_at("inputs_num", -1).cast("array<double>")
+    mean = F.transform("_total", lambda s: s / F.col("seq_length"))
     rest = F.array(F.col("seq_length").cast("double"), F.col("inactivity").cast("double"))
-    return pooled.select(*keys, *label, F.concat("last", mean, "total", rest).alias("pooled"))
+    return pooled.select(*keys, *label, F.concat(last, mean, "_total", rest).alias("pooled"))
 
 
 def fit_classifier(examples: DataFrame, reg_param: float = 0.01, elastic_net: float = 0.0,
@@ -49,13 +43,16 @@ def fit_classifier(examples: DataFrame, reg_param: float = 0.01, elastic_net: fl
     return Pipeline(stages=stages).fit(train)
 
 
-def score(model: PipelineModel | MeanPoolScorer, examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
+def score(model: PipelineModel | MeanPoolScorer | Callable, examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
     """Probability of a purchase for every sequence.
 
-    A classifier of this module reads sequence records; a scorer with given coefficients reads explainer rows.
+    A classifier of this module and a function of batches read sequence records; a scorer with given coefficients
+    reads explainer rows.
     """
     if isinstance(model, MeanPoolScorer):
         return model.score_steps(examples, keys)
+    if not isinstance(model, PipelineModel):
+        return score_with_function(examples, model, keys)
     pooled = pool_sequences(examples, keys)
     scored = model.transform(pooled.withColumn("features", array_to_vector("pooled")))
     label = ["label"] if "label" in pooled.columns else []

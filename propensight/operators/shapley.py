@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -12,8 +13,10 @@ from propensight import constants as C
 from propensight.config import Params
 from propensight.functions import rng
 from propensight.functions.scoring import MeanPoolScorer, logit, sigmoid
+from propensight.operators import model as M
 from propensight.operators.perturb import shuffle_width
 from propensight.operators.sequences import ID_KEYS
+from propensight.operators.space import model_inputs
 from propensight.operators.vocabulary import constant_table
 
 STEP_KEYS = ID_KEYS + ["step"]
@@ -143,6 +146,35 @@ def contextual_probability(scorer: MeanPoolScorer) -> Column:
     return sigmoid(mean + scorer.fixed_score())
 
 
+def with_past_inputs(rows: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
+    """Model inputs of the steps before each step, in time order; at most ``max_len``."""
+    before = W.partitionBy(*keys).orderBy("step").rowsBetween(W.unboundedPreceding, -1)
+    past = model_inputs(rows).withColumn("past", F.collect_list(F.struct("num", "cat")).over(before))
+    return past.select(*rows.columns, "past")
+
+
+def ending_records(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sequence records that end in the (masked) step of the row, after its past as it was."""
+    return model_inputs(rows).select(
+        *keys, (F.col("step") + 1).cast("int").alias("seq_length"), F.concat("past.num", F.array("num")).alias("inputs_num"),
+        F.concat("past.cat", F.array("cat")).alias("inputs_cat"), "inactivity")
+
+
+def masked_probabilities(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
+                         chosen: DataFrame | None = None, score: Callable = M.score) -> DataFrame:
+    """Probability of every real step under every coalition and background row.
+
+    With given coefficients the past is one number; any other model is called by ``score(model, records, keys)``.
+    """
+    real = space.where(~F.col("is_pad"))
+    if isinstance(model, MeanPoolScorer):
+        rows = spread_steps(with_past_score(real, model), [*C.SPACE_ALL, "past_score"])
+        return mask_expand(rows, background, groups, chosen).withColumn("purchase_proba", contextual_probability(model))
+    rows = spread_steps(with_past_inputs(real), [*C.SPACE_ALL, "past"])
+    keys = [*STEP_KEYS, "coalition", "background_row"]
+    return score(model, ending_records(mask_expand(rows, background, groups, chosen), keys), keys)
+
+
 def coalition_value(expanded: DataFrame, keys: list[str] = STEP_KEYS, label: int = 1) -> DataFrame:
     """Mean probability of each coalition over the background rows, on the logit scale."""
     p = F.col("purchase_proba") if label == 1 else 1 - F.col("purchase_proba")
@@ -150,12 +182,14 @@ def coalition_value(expanded: DataFrame, keys: list[str] = STEP_KEYS, label: int
     return mean.withColumn("value", logit(F.col("mean_proba")))
 
 
-def background_value(background: DataFrame, scorer: MeanPoolScorer, label: int = 1) -> DataFrame:
+def background_value(background: DataFrame, model, label: int = 1, score: Callable = M.score) -> DataFrame:
     """Logit of the mean probability of the background itself, with the background's own earlier steps."""
-    rows = with_past_score(background, scorer, ["sample"])
-    p = contextual_probability(scorer)
-    p = p if label == 1 else 1 - p
-    return rows.withColumn("_p", p).groupBy("step").agg(logit(F.avg("_p")).alias("base_value"))
+    if isinstance(model, MeanPoolScorer):
+        scored = with_past_score(background, model, ["sample"]).withColumn("purchase_proba", contextual_probability(model))
+    else:
+        scored = score(model, ending_records(with_past_inputs(background, ["sample"]), ["sample", "step"]), ["sample", "step"])
+    p = F.col("purchase_proba") if label == 1 else 1 - F.col("purchase_proba")
+    return scored.groupBy("step").agg(logit(F.avg(p)).alias("base_value"))
 
 
 def with_background_base(values: DataFrame, base: DataFrame) -> DataFrame:
@@ -212,30 +246,24 @@ def shapley_regression(values: DataFrame, weights: DataFrame, groups: dict[str,
             .applyInPandas(solve, "data_date date, id string, step int, feature string, phi double"))
 
 
-def shap_values_of(space: DataFrame, background: DataFrame, scorer: MeanPoolScorer,
-                   groups: dict[str, list[str]] = GROUPS, base: str = "instance", label: int = 1) -> DataFrame:
+def shap_values_of(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
+                   base: str = "instance", label: int = 1, score: Callable = M.score) -> DataFrame:
     """Values of all coalitions of every real step."""
-    steps = with_past_score(space.where(~F.col("is_pad")), scorer)
-    rows = spread_steps(steps, [*C.SPACE_ALL, "past_score"])
-    expanded = mask_expand(rows, background, groups)
-    values = coalition_value(expanded.withColumn("purchase_proba", contextual_probability(scorer)), label=label)
+    values = coalition_value(masked_probabilities(space, background, model, groups, score=score), label=label)
     if base == "background":
-        values = with_background_base(values, background_value(background, scorer, label))
+        values = with_background_base(values, background_value(background, model, label, score))
     return values
 
 
-def shap_instances(space: DataFrame, background: DataFrame, scorer: MeanPoolScorer,
-                   groups: dict[str, list[str]] = GROUPS, base: str = "instance", label: int = 1) -> DataFrame:
+def shap_instances(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
+                   base: str = "instance", label: int = 1, score: Callable = M.score) -> DataFrame:
     """Shapley values of every step of every instance in one job, exact over feature groups."""
-    return shapley_values(shap_values_of(space, background, scorer, groups, base, label), groups)
+    return shapley_values(shap_values_of(space, background, model, groups, base, label, score), groups)
 
 
-def shap_instances_sampled(space: DataFrame, background: DataFrame, scorer: MeanPoolScorer, budget: int,
-                           seed: int = Params.seed, label: int = 1) -> DataFrame:
+def shap_instances_sampled(space: DataFrame, background: DataFrame, model, budget: int, seed: int = Params.seed,
+                           label: int = 1, score: Callable = M.score) -> DataFrame:
     """Shapley values per single feature, over a budget of coalitions."""
     chosen = sampled_coalitions(space.sparkSession, len(SINGLE), budget, seed)
-    steps = with_past_score(space.where(~F.col("is_pad")), scorer)
-    rows = spread_steps(steps, [*C.SPACE_ALL, "past_score"])
-    expanded = mask_expand(rows, background, SINGLE, chosen)
-    values = coalition_value(expanded.withColumn("purchase_proba", contextual_probability(scorer)), label=label)
+    values = coalition_value(masked_probabilities(space, background, model, SINGLE, chosen, score), label=label)
     return shapley_regression(values, chosen)

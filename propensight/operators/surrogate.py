@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from propensight import constants as C
 from propensight.config import Params
-from propensight.functions.scoring import MeanPoolScorer
+from propensight.functions.scoring import MeanPoolScorer, sigmoid
+from propensight.operators import model as M
 from propensight.operators.perturb import neighborhood, with_stats
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.space import from_explainer_space
 from propensight.operators.stats import FIXED_STEP
+from propensight.session import materialize
 
 SAMPLE_KEYS = ID_KEYS + ["sample"]
 WIDTH = len(C.SPACE_STEP)
@@ -26,7 +28,7 @@ FIT_SCHEMA = ("data_date date, id string, label int, kernel_width double, comple
               "real_pred double")
 
 
-def score_samples(samples: DataFrame, model, score: Callable | None = None) -> DataFrame:
+def score_samples(samples: DataFrame, model, score: Callable = M.score) -> DataFrame:
     """Probabilities ``(p0, p1)`` of every perturbed sequence; they must sum to 1.
 
     A scorer with given coefficients reads the sample rows; any other model is called by ``score(model, records)``
@@ -80,12 +82,16 @@ def kernel_weights(distances: DataFrame, max_length: int, width: float = Params.
     return distances.withColumn("weight", kernel(F.col("distance"), scaled))
 
 
-def design_rows(samples: DataFrame, stats: DataFrame, scorer: MeanPoolScorer) -> DataFrame:
+def design_rows(samples: DataFrame, stats: DataFrame, model, score: Callable = M.score) -> DataFrame:
     """One row per sample with its interpretable vector ``x``, distance and probability.
 
-    The samples are generated once: score, distance and vector come from the same aggregation, and the steps of
-    a sample lie in one task before it.
+    The samples are generated once. With given coefficients, score, distance and vector come from the same aggregation,
+    and the steps of a sample lie in one task before it; any other model is called by ``score(model, records, keys)``
+    on the samples as written.
     """
+    given = isinstance(model, MeanPoolScorer)
+    if not given:
+        samples = materialize(samples, "samples")
     fixed = C.SPACE_FIXED[0]
     known = with_stats(samples, stats)
     scale = lambda f: F.when(F.col(f"{f}_std") > 0, F.col(f"{f}_std")).otherwise(F.lit(1.0))
@@ -95,14 +101,15 @@ def design_rows(samples: DataFrame, stats: DataFrame, scorer: MeanPoolScorer) ->
     x = F.array(*[std(f) for f in C.SPACE_NUMERIC], *[same[f] for f in C.SPACE_CATEGORICAL])
     near = sum((gap(f) for f in C.SPACE_NUMERIC), F.lit(0.0)) + sum((1 - c for c in same.values()), F.lit(0.0))
     rows = known.select(*SAMPLE_KEYS, "step", x.alias("x"), near.alias("near"), gap(fixed).alias("fixed_gap"),
-                        std(fixed).alias("fixed_x"), scorer.step_score().alias("score"),
-                        scorer.fixed_score().alias("fixed_score"))
+                        std(fixed).alias("fixed_x"), *([model.step_score().alias("score"),
+                                                        model.fixed_score().alias("fixed_score")] if given else []))
     grouped = rows.groupBy(*SAMPLE_KEYS).agg(
         F.sort_array(F.collect_list(F.struct("step", "x"))).alias("steps"),
         F.sqrt(F.sum("near") + F.first("fixed_gap")).alias("distance"), F.first("fixed_x").alias("fixed_x"),
-        (F.avg("score") + F.first("fixed_score")).alias("logit"))
-    return grouped.select(*SAMPLE_KEYS, F.concat(F.flatten("steps.x"), F.array("fixed_x")).alias("x"), "distance",
-                          (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit")))).alias("p1"))
+        *([sigmoid(F.avg("score") + F.first("fixed_score")).alias("p1")] if given else []))
+    if not given:
+        grouped = grouped.join(score_samples(samples, model, score).select(*SAMPLE_KEYS, "p1"), SAMPLE_KEYS)
+    return grouped.select(*SAMPLE_KEYS, F.concat(F.flatten("steps.x"), F.array("fixed_x")).alias("x"), "distance", "p1")
 
 
 def ridge(x: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
@@ -264,18 +271,18 @@ def explain_summary(explained: DataFrame) -> DataFrame:
 
 
 def explain_instances(instances: DataFrame, stats: DataFrame, freq: DataFrame, hierarchy: DataFrame,
-                      scorer: MeanPoolScorer, max_length: int, params: Params = Params(),
-                      complexity: int | None = None, label: int = 1) -> DataFrame:
+                      model, max_length: int, params: Params = Params(), complexity: int | None = None, label: int = 1,
+                      score: Callable = M.score) -> DataFrame:
     """Explanations of a table of instances (explainer rows)."""
     samples = neighborhood(instances, stats, freq, hierarchy, params.samples, params.seed)
-    return local_linear_fit(design_rows(samples, stats, scorer), max_length,
+    return local_linear_fit(design_rows(samples, stats, model, score), max_length,
                             [(params.kernel_width, complexity, params.samples)], label)
 
 
 def explain_sweep(instances: DataFrame, stats: DataFrame, freq: DataFrame, hierarchy: DataFrame,
-                  scorer: MeanPoolScorer, max_length: int, kernels: list[float], complexities: list[int],
-                  samples: list[int], seed: int = Params.seed, label: int = 1) -> DataFrame:
+                  model, max_length: int, kernels: list[float], complexities: list[int], samples: list[int],
+                  seed: int = Params.seed, label: int = 1, score: Callable = M.score) -> DataFrame:
     """Every combination of kernel width, complexity and sample size, from one set of draws."""
     drawn = neighborhood(instances, stats, freq, hierarchy, max(samples), seed)
-    return local_linear_fit(design_rows(drawn, stats, scorer), max_length,
+    return local_linear_fit(design_rows(drawn, stats, model, score), max_length,
                             list(itertools.product(kernels, complexities, samples)), label)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from propensight import constants as C
 from propensight.config import Params
-from propensight.functions.scoring import MeanPoolScorer
 from propensight.operators import calendar as Cal, evaluate as Ev, extract as E, features as Fe, model as M
 from propensight.operators import perturb as Pe, sequences as S, shapley as Sh, space as Sp, stats as St
 from propensight.operators import surrogate as Su, vocabulary as V
@@ -197,14 +196,17 @@ def _statistics(spark: SparkSession, store: Store, name: str) -> DataFrame:
     return spark.read.parquet(store.path(f"explainer/{name}"))
 
 
-def explain_surrogate(examples: DataFrame, store: Store, scorer: MeanPoolScorer, params: Params = Params(),
+def explain_surrogate(examples: DataFrame, store: Store, model, params: Params = Params(),
                       complexity: int | None = None, label: int = 1) -> DataFrame:
-    """Explain a table of sequences by local linear surrogates and store the weights."""
+    """Explain the model's scores of a table of sequences by local linear surrogates and store the weights.
+
+    The model is a stored pipeline, a function of batches of records or a scorer with given coefficients.
+    """
     spark = examples.sparkSession
     space = Sp.to_explainer_space(S.step_rows(examples))
     longest = _statistics(spark, store, "max_length").first()[0]
     explained = Su.explain_instances(space, *[_statistics(spark, store, n) for n in ("stats", "frequencies", "hierarchy")],
-                                     scorer, longest, params, complexity, label)
+                                     model, longest, params, complexity, label)
     path = store.path("explanations")
     T.write_explanations(explained, path)
     return spark.read.parquet(path)
@@ -217,15 +219,15 @@ def build_background(spark: SparkSession, store: Store, params: Params = Params(
     background.write.mode("overwrite").parquet(store.path("explainer/background"))
 
 
-def explain_shapley(examples: DataFrame, store: Store, scorer: MeanPoolScorer, label: int = 1) -> DataFrame:
-    """Shapley values of every step of a table of sequences; needs a stored background."""
+def explain_shapley(examples: DataFrame, store: Store, model, label: int = 1) -> DataFrame:
+    """Shapley values of every step of a table of sequences, for any model; needs a stored background."""
     spark = examples.sparkSession
     if not T.path_exists(spark, store.path("explainer/background")):
         raise FileNotFoundError("no background rows: run build_background first")
     space = Sp.to_explainer_space(S.step_rows(examples))
     background = _statistics(spark, store, "background")
     path = store.path("shapley")
-    T.write_explanations(Sh.shap_instances(space, background, scorer, label=label), path)
+    T.write_explanations(Sh.shap_instances(space, background, model, label=label), path)
     return spark.read.parquet(path)
 
 

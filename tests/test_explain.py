@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensight import constants as C
+from propensight.functions.scoring import MeanPoolScorer
 from propensight.operators import perturb as Pe, shapley as Sh, surrogate as Su
 
 DEPT, CAT, SUB = C.CODED_COLUMNS
@@ -185,3 +186,23 @@ def test_no_cartesian_product_in_the_explainers(small, capsys):
     Sh.shap_instances(small.space, small.background, small.scorer).explain()
     Su.design_rows(small.samples_lazy, small.stats, small.scorer).explain()
     assert "CartesianProduct" not in capsys.readouterr().out
+
+
+def test_any_function_explains_as_its_coefficients_do(small):
+    scorer = MeanPoolScorer("0.002 * product_price + 0.01 * latitude", "0.05 * abs(inactivity) - 0.4")  # records hold no negative inactivity
+    price, latitude = (C.NUMERIC_POSITION[c] for c in ("product_price", "latitude"))
+
+    def predict(batch):
+        mean = np.array([np.mean([0.002 * float(v[price]) + 0.01 * float(v[latitude]) for v in x]) for x in batch["inputs_num"]])
+        return 1 / (1 + np.exp(-(mean + 0.05 * batch["inactivity"] - 0.4)))
+
+    few = small.space.where(F.col("step") < 4)
+    given, called = (Su.design_rows(small.samples, small.stats, m).select("id", "sample", "p1", "distance") for m in (scorer, predict))
+    gap = given.join(called.toDF("id", "sample", "q1", "d2"), ["id", "sample"]).agg(
+        F.max(F.abs(F.col("p1") - F.col("q1"))), F.max(F.abs(F.col("distance") - F.col("d2"))), F.count("*")).first()
+    assert gap[0] < 1e-5 and gap[1] < 1e-9 and gap[2] == given.count() == called.count() > 0
+    for base in ("instance", "background"):
+        one, two = (Sh.shap_instances(few, small.background, m, base=base) for m in (scorer, predict))
+        gap = one.join(two.withColumnRenamed("phi", "psi"), ["id", "step", "feature"]).agg(
+            F.max(F.abs(F.col("phi") - F.col("psi"))), F.count("*")).first()
+        assert gap[0] < 1e-4 and gap[1] == few.count() * len(Sh.GROUPS)

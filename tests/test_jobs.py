@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from harness import fixtures as X
 from propensight.operators import extract as E
 from propensight.plans import jobs as J
+from propensight.session import materialize
 from propensight.sources import tables as T
 
 EXEC = dt.date(2024, 1, 30)
@@ -57,6 +58,13 @@ def test_from_events_to_explanations(spark, small, tmp_path):
     phi = J.explain_shapley(examples, store, small.scorer)
     assert phi.select("id", "step").distinct().count() == examples.agg(F.sum("seq_length")).first()[0]
 
+    few = materialize(examples.orderBy("id").limit(2), "few")                # the trained model itself
+    trained, mine = J.latest_model(spark, store, EXEC), J.Store(f"{tmp_path}/trained")
+    J.build_statistics(examples, mine)
+    J.build_background(spark, mine, PARAMS)
+    assert J.explain_surrogate(few, mine, trained, PARAMS).select("id").distinct().count() == 2
+    assert J.explain_shapley(few, mine, trained).select("id", "step").distinct().count() == few.agg(F.sum("seq_length")).first()[0]
+
     dropped = J.purge(spark, store, EXEC, days=4)
     assert "data_date=2024-01-24" in dropped and T.written_dates(spark, store.path("extracts")).count() < 6
 
