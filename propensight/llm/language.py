@@ -28,7 +28,7 @@ BUCKETS = 1 << 16
 EXHAUSTIVE = 6
 WEIGHT_ROWS = 1000
 AMBIGUOUS = 0.6
-SLICE = 1 << 20  # characters whose weights are in memory at once
+SLICE = 1 << 16  # characters whose weights are in memory at once
 # ASCII letters in lower case, bytes above 0x7F as they are, all others blank.
 FOLD = np.array([b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256)], np.uint8)
 
