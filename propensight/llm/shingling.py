@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
-SLICE = 1 << 22  # bytes whose word hashes are computed at once; a longer word makes a longer slice
+SLICE = 1 << 18  # bytes whose shingles are computed at once; a longer text is taken whole, its word hashes in slices that end with words
 FOLD = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 BLANK = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -52,6 +52,17 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its shingles; fewer words than ``words`` are one shingle, none give an empty set."""
+    out: list[np.ndarray] = []
+    first = size = 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) > SLICE:
+            out += _sets_of(texts[first:i], words)
+            first, size = i, 0
+        size += len(t)
+    return out + _sets_of(texts[first:], words)
+
+
+def _sets_of(texts: list[bytes], words: int) -> list[np.ndarray]:
     data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
     hashes, starts = word_hashes(data)
     limits = np.cumsum([1] + [len(t) + 1 for t in texts])

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from propensight.llm import near_dups as N
+from propensight.llm import near_dups as N, shingling
 from propensight.llm.shingling import shingle_sets
 
 
@@ -110,3 +110,11 @@ def test_overlaps_count_common_values(monkeypatch):
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 5, 30, 30, 50, 1)]
     assert (N.overlaps(sets, sets[2:]) == [[len(np.intersect1d(a, b)) for b in sets[2:]] for a in sets]).all()
+
+
+def test_sets_do_not_depend_on_slices(monkeypatch):
+    texts = [b"", b"a b", b"  A b\tc d e f ", b"x" * 50 + b" " + b" ".join(b"w%d" % (i % 40) for i in range(300)), b"a b c d e f"] * 3
+    whole = [s.tolist() for s in shingling.shingle_sets(texts)]
+    monkeypatch.setattr(shingling, "SLICE", 40)
+    assert [s.tolist() for s in shingling.shingle_sets(texts)] == whole
+    assert whole[2] == whole[4] and whole[0] == []
