@@ -11,6 +11,7 @@ from propensight.session import configure
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Rows handed to a Python worker at once; long texts make larger rows, so this is kept far below Spark's default.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -18,6 +19,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Adaptive execution with skew handling, and Arrow batches that stay small when texts are long."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
