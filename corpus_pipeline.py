@@ -12,6 +12,8 @@ from propensight.llm import contamination, language, mixing, near_dups, pii
 from propensight.llm.common import DOCUMENT_COLUMNS, prepare, table
 from propensight.session import materialize
 
+LIKE = 80  # per cent of the union from which two documents are near copies here; op9 has its own
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without letters go."""
@@ -20,9 +22,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicates: the document with the least id of each group stays."""
+    """Near-duplicates at a similarity of 0.80: the document with the least id of each group stays."""
     prepare(spark)
-    return near_dups.keep_one(docs.select(*DOCUMENT_COLUMNS))
+    return near_dups.keep_one(docs.select(*DOCUMENT_COLUMNS), LIKE)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,10 +10,12 @@
    different sizes go, then those whose estimate over the bottom-k of the union is below ``floor``. Longer lists that still hold several
    components are texts of one mould that are just not similar enough; lists with common members form a cluster, its
    texts are dealt to tasks in pairs of blocks of ``BLOCK``, and each task returns only links that join components.
-4. The estimate is lenient: a pair at the threshold has an expected 0.85 with deviation 0.045, ``floor`` lies six deviations below
-   (probability about 1e-8). For sets of at most ``k`` shingles it is exact.
+4. The estimate is lenient: ``floor`` follows from the similarity asked for, so that a pair just at it is lost with a probability of at
+   most ``LOSS`` (binomial tail of ``k`` values: 3.5e-8 at 0.85, 8.2e-8 at 0.80). For sets of at most ``k`` shingles it is exact.
 5. Survivors are compared on the full sets. Components contract each node to the neighbour with the least hash of the round.
 
+The similarity is a parameter, ``like`` per cent of the union: op9 links at ``LIKE``, the pipeline's stage at its own value.
+
 Only pairs and ids are shuffled, texts for the ends of surviving pairs. Those ids are broadcast if there are at most ``BROADCAST_IDS`` of
 them, so the scan drops other texts before the shuffle; else both sides are shuffled.
 
@@ -24,6 +26,7 @@ Repeated rows are copies of each other. Other columns are not read; `keep_one` k
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import reduce
 
 import numpy as np
@@ -36,7 +39,7 @@ from propensight.llm.shingling import WORDS, shingle_sets
 from propensight.session import materialize
 
 K = 64
-FLOOR = 0.58
+LOSS = 1e-7  # probability to lose a pair just at the similarity asked for
 LEADER_ROUNDS = 3
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
 LARGE = 64
@@ -45,6 +48,15 @@ COLUMNS = 4_096  # shingles compared at once
 LIKE = 85  # per cent of the union
 
 
+def floor_of(like: int, k: int = K) -> float:
+    """The greatest share of ``k`` values that a pair with a similarity of ``like`` per cent misses with probability ``LOSS`` at most."""
+    p, below, need = like / 100, 0.0, 0
+    while need < k and below + math.comb(k, need) * p**need * (1 - p)**(k - need) <= LOSS:
+        below += math.comb(k, need) * p**need * (1 - p)**(k - need)
+        need += 1
+    return max(0.0, need - 0.5) / k  # between two counts, so that rounding does not matter
+
+
 def sketches(docs: DataFrame, k: int = K) -> DataFrame:
     """``doc_id, n_shingles, set_id, sketch`` per row; set_id is null for empty sets."""
     def run(batches):
@@ -72,8 +84,8 @@ def inverted_lists(nodes: DataFrame, k: int, floor: float) -> DataFrame:
     return chosen.select(F.explode(F.slice("rare", F.lit(1), F.col("length"))).alias("r"), "node", "n").select("r.value", "node", "n")
 
 
-def similar_size(a, b):
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * LIKE)
+def similar_size(a, b, like: int):
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * like)
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, k: int, floor: float) -> DataFrame:
@@ -116,7 +128,7 @@ def overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links_of_blocks(group: pd.DataFrame) -> pd.DataFrame:
+def links_of_blocks(group: pd.DataFrame, like: int) -> pd.DataFrame:
     """Links between two blocks (or within one) that join components, as few as do."""
     group = group.sort_values("node")
     i, j = group["i"].iloc[0], group["j"].iloc[0]
@@ -125,7 +137,7 @@ def links_of_blocks(group: pd.DataFrame) -> pd.DataFrame:
     sets = shingle_sets(group["text"].tolist())
     common = overlaps([sets[x] for x in left], [sets[y] for y in right])
     size = np.array([len(x) for x in sets])
-    similar = 100 * common >= LIKE * (size[left][:, None] + size[right][None] - common)
+    similar = 100 * common >= like * (size[left][:, None] + size[right][None] - common)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -143,7 +155,7 @@ def links_of_blocks(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
-def links_of_large_lists(large: DataFrame, docs: DataFrame, block: int) -> DataFrame:
+def links_of_large_lists(large: DataFrame, docs: DataFrame, block: int, like: int) -> DataFrame:
     """Links between members of common lists, from ``value, node, component``."""
     lead = large.groupBy("value").agg(F.min("node").alias("a"))
     stars = large.join(lead, "value").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
@@ -154,10 +166,10 @@ def links_of_large_lists(large: DataFrame, docs: DataFrame, block: int) -> DataF
     placed = members.join(texts_of(clusters, docs), "node")
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "text")
-    return dealt.groupBy("cluster", "i", "j").applyInPandas(links_of_blocks, "a bigint, b bigint")
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(lambda group: links_of_blocks(group, like), "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, like: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     texts = texts_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))), docs)
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
@@ -171,7 +183,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             good = []
             for p, q in zip(a, b, strict=True):
                 common = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
-                good.append(100 * common >= LIKE * (len(sets[p]) + len(sets[q]) - common))
+                good.append(100 * common >= like * (len(sets[p]) + len(sets[q]) - common))
             kept = [i for i, g in enumerate(good) if g]
             yield pa.RecordBatch.from_arrays([pa.array([v[i] for i in kept], pa.int64()) for v in (a, b)], names=["a", "b"])
 
@@ -204,8 +216,9 @@ def first_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").dropDuplicates(["doc_id"])
 
 
-def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
+def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``; ``like`` per cent of the union of two sets links them."""
+    floor = floor_of(like, k)
     rows = materialize(sketches(docs, k), "sketches")
     nodes = materialize(rows.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").cast("bigint").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
@@ -222,22 +235,22 @@ def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int =
                              F.col("n").alias("lead_n"))
             leads = placed.groupBy("value").agg(F.min(order).alias("l")).select("value", "l.lead", "l.lead_component", "l.lead_n")
             met = placed.join(leads, "value").filter(F.col("component") != F.col("lead_component")).filter(
-                similar_size(F.col("n"), F.col("lead_n"))).select(F.col("node").alias("x"), F.col("lead").alias("y"))
+                similar_size(F.col("n"), F.col("lead_n"), like)).select(F.col("node").alias("x"), F.col("lead").alias("y"))
         else:  # exact: whatever is still apart
             mixed = placed.groupBy("value").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("members")).filter("mixed")
             apart = materialize(placed.join(mixed.select("value", "members"), "value"), "apart")
             short = apart.filter(F.col("members") <= LARGE)
             other = short.select("value", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("other"))
-            met = short.join(other, "value").filter((F.col("component") < F.col("other")) & similar_size(F.col("n"), F.col("m"))).select(
+            met = short.join(other, "value").filter((F.col("component") < F.col("other")) & similar_size(F.col("n"), F.col("m"), like)).select(
                 F.col("node").alias("x"), "y")
         pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         for t in tested:
             pairs = pairs.join(t, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested.append(pairs)
-        new = verified(materialize(estimated(pairs, nodes, k, floor), "likely"), whole)
+        new = verified(materialize(estimated(pairs, nodes, k, floor), "likely"), whole, like)
         if turn == leader_rounds:
-            new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), whole, BLOCK))
+            new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), whole, BLOCK, like))
         new = materialize(new, "links")
         if new.isEmpty():
             if turn < leader_rounds - 1 and pairs.isEmpty():
@@ -256,9 +269,9 @@ def link(docs: DataFrame, k: int = K, floor: float = FLOOR, leader_rounds: int =
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, like: int = LIKE) -> DataFrame:
     """The document with the least id of each component, one row of each repeated id, and all rows without an id."""
-    gone = materialize(link(docs).filter("not kept").select("doc_id").distinct(), "gone")
+    gone = materialize(link(docs, like).filter("not kept").select("doc_id").distinct(), "gone")
     repeated = materialize(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null")
                            .select("doc_id"), "repeated_ids")
 
@@ -273,7 +286,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op9_near_dups(spark, sf_dir: str) -> DataFrame:
-    return link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return link(table(spark, sf_dir, "documents").select("doc_id", "text"), LIKE)
 
 
 SQL = {"op9_near_dups": f"""

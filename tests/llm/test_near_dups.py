@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -118,3 +119,58 @@ def test_sets_do_not_depend_on_slices(monkeypatch):
     monkeypatch.setattr(shingling, "SLICE", 40)
     assert [s.tolist() for s in shingling.shingle_sets(texts)] == whole
     assert whole[2] == whole[4] and whole[0] == []
+
+
+def linked(rows, like):
+    """Components of brute force at any similarity."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    label = {i: i for i, _ in rows}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= like * len(a | b):
+                low, high = sorted((label[i], label[j]))
+                label = {x: low if c == high else c for x, c in label.items()}
+    return label
+
+
+def pairs_of_similarity(lows, n=60):
+    """Two texts of ``n`` distinct words for each number of words that the second has new at its end."""
+    rows = []
+    for k, new in enumerate(lows):
+        base = [f"p{k}w{i}" for i in range(n)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:n - new] + [f"p{k}x{i}" for i in range(new)]))]
+    return rows
+
+
+def test_the_stage_links_at_its_own_similarity(spark):
+    import corpus_pipeline as P
+
+    rows = corpus(11) + [(20_000 + i, t) for i, t in pairs_of_similarity(range(3, 10), 64)]
+    df = spark.createDataFrame([(i, t, "a", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    at_80, at_85 = linked(rows, 80), linked(rows, 85)
+    assert {r.doc_id for r in P.one_of_each(spark, df, "").collect()} == {i for i, c in at_80.items() if i == c}
+    assert {r.doc_id: r.component_id for r in N.link(df, 80).collect()} == at_80
+    assert {r.doc_id: r.component_id for r in N.link(df).collect()} == at_85
+    assert at_80 != at_85
+
+
+def test_long_lists_at_a_lower_similarity(spark, monkeypatch):
+    rnd = random.Random(6)
+    base = [f"v{k}" for k in range(90)]
+    rows = []
+    for i in range(50):
+        copy = list(base)
+        for _ in range(rnd.choice([1, 2, 3])):
+            copy[rnd.randrange(90)] = f"n{rnd.randrange(500)}"
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(N, "LARGE", 3)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    got = N.link(spark.createDataFrame(rows, "doc_id long, text string"), 80, leader_rounds=0).collect()
+    assert {r.doc_id: r.component_id for r in got} == linked(rows, 80) != linked(rows, 85)
+
+
+def test_floor_follows_the_similarity():
+    for like in (80, 85, 95):
+        need = math.ceil(N.floor_of(like) * N.K)
+        tail = lambda m: sum(math.comb(N.K, i) * (like / 100)**i * (1 - like / 100)**(N.K - i) for i in range(m))  # noqa: E731, B023
+        assert tail(need) <= N.LOSS < tail(need + 1)
