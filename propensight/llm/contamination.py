@@ -154,9 +154,10 @@ class Automaton:
 
 
 def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items with words, in blocks whose number of words is checked before they are fetched."""
+    """Items with words, in blocks whose number of words is checked before they are fetched. Repeated rows, which no number of parts
+    would separate, are dropped first."""
     rows = materialize(items.select(F.col("item_id").cast("string").alias("item_id"), utf8(F.col("text")).alias("text"))
-                       .withColumn("n", F.size(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0))))
+                       .distinct().withColumn("n", F.size(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0))))
                        .filter("n > 0").withColumn("h", F.xxhash64("item_id", "text")), "items")
     total, widest = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     parts = max(1, -(-total // block_words))

@@ -70,3 +70,13 @@ def test_longest_match_is_tracked(spark):
     got = C.find_matches(spark.createDataFrame([(1, "x a b c d y")], "doc_id long, text string"),
                          spark.createDataFrame([(1, "z a b c d w")], "item_id long, text string"), 5).select(F.col("longest")).first()
     assert got.longest == 4
+
+
+def test_a_row_repeated_past_the_limit_counts_once(spark):
+    rows = [(1, "a b c")] * 50 + [(None, "d e")] * 50 + [(2, "f g h"), (2, "f g h i"), (3, "a b c"), (4, None), (4, "")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = list(C.item_blocks(items, 4))
+    assert sorted((str(i), len(w)) for b in blocks for i, w in b) == [("1", 3), ("2", 3), ("2", 4), ("3", 3), ("None", 2)]
+    assert all(sum(len(w) for _, w in b) <= 8 for b in blocks)
+    docs = spark.createDataFrame([(1, "x a b c y")], "doc_id long, text string")
+    assert C.find_matches(docs, items, 3, 4).first()["items"] == ["1", "3"]
