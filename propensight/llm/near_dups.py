@@ -216,6 +216,12 @@ def first_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").dropDuplicates(["doc_id"])
 
 
+def mixed_lists(placed: DataFrame) -> DataFrame:
+    """``value, members`` of the lists that hold several components."""
+    return placed.groupBy("value").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("members")).filter(
+        "mixed").select("value", "members")
+
+
 def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``; ``like`` per cent of the union of two sets links them."""
     floor = floor_of(like, k)
@@ -237,8 +243,7 @@ def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEA
             met = placed.join(leads, "value").filter(F.col("component") != F.col("lead_component")).filter(
                 similar_size(F.col("n"), F.col("lead_n"), like)).select(F.col("node").alias("x"), F.col("lead").alias("y"))
         else:  # exact: whatever is still apart
-            mixed = placed.groupBy("value").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("members")).filter("mixed")
-            apart = materialize(placed.join(mixed.select("value", "members"), "value"), "apart")
+            apart = materialize(placed.join(mixed_lists(placed), "value"), "apart")
             short = apart.filter(F.col("members") <= LARGE)
             other = short.select("value", F.col("node").alias("y"), F.col("n").alias("m"), F.col("component").alias("other"))
             met = short.join(other, "value").filter((F.col("component") < F.col("other")) & similar_size(F.col("n"), F.col("m"), like)).select(
@@ -253,8 +258,8 @@ def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEA
             new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), whole, BLOCK, like))
         new = materialize(new, "links")
         if new.isEmpty():
-            if turn < leader_rounds - 1 and pairs.isEmpty():
-                break  # no list has two components left
+            if turn < leader_rounds and pairs.isEmpty() and mixed_lists(placed).isEmpty():
+                break
             continue
         found.append(new)
         places = materialize(components(reduce(DataFrame.unionAll, found)), "components")

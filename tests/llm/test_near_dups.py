@@ -174,3 +174,14 @@ def test_floor_follows_the_similarity():
         need = math.ceil(N.floor_of(like) * N.K)
         tail = lambda m: sum(math.comb(N.K, i) * (like / 100)**i * (1 - like / 100)**(N.K - i) for i in range(m))  # noqa: E731, B023
         assert tail(need) <= N.LOSS < tail(need + 1)
+
+
+def test_members_meet_although_their_leader_has_another_size(spark):
+    words_ = [f"w{i}" for i in range(49)]
+    more = [f"a{i}" for i in range(15)]
+    order = [r.id for r in spark.range(1, 12).selectExpr("id", "xxhash64(0, id) AS h").orderBy("h").collect()]
+    rows = [(order[0], " ".join(words_ + more)), (order[1], " ".join(words_)), (order[2], " ".join([*words_, "c"]))]
+    rows += [(i, " ".join([f"d{i}x{k}" for k in range(30)] + words_[-4:] + more)) for i in order[3:7]]
+    got = N.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = linked(rows, 85)
+    assert {r.doc_id: r.component_id for r in got} == want and want[order[1]] == want[order[2]]
