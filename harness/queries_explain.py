@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from harness.ctes import CUT, FIXED_SCORE, M, MAX_STEPS, P, SEED, STEP_SCORE, r6
@@ -399,3 +401,27 @@ def _(s: Stage) -> DataFrame:
 @query("shap_instances_sampled")
 def _(s: Stage) -> DataFrame:
     return Sh.shap_instances_sampled(s.space, s.background, s.scorer, budget=100, seed=SEED)
+
+
+# ---- any model: the given coefficients as a function of sequence records
+
+def given_function(batch: pd.DataFrame) -> pd.Series:
+    """What the scorer with given coefficients says, from the records alone."""
+    at = {c: C.NUMERIC_POSITION[c] for c in C.NUMERIC_COLUMNS}
+    block = lambda x, b, i: x[:, C.INDICATOR_BLOCKS[b][0] + i]
+    lengths = batch["seq_length"].to_numpy()
+    x = np.array([step for nums in batch["inputs_num"] for step in nums], float)
+    codes = np.array([step for cats in batch["inputs_cat"] for step in cats])
+    quantity = x[:, at["product_qty"]]
+    score = (0.03 * x[:, at["product_price"]] + 0.6 * block(x, "event_env", 3) - 0.4 * block(x, "event_env", 0)
+             + 0.05 * np.where(quantity < 0, quantity - 2, quantity + 1) + 0.02 * (x[:, at["nb_pages"]] + 1)
+             - 0.03 * (x[:, at["unique_pages"]] + 1) - 0.000002 * x[:, at["delta_time"]] + 0.00001 * x[:, at["duration"]]
+             + 0.15 * block(x, "week_day", 6) + 0.002 * x[:, at["latitude"]] - 0.001 * x[:, at["longitude"]]
+             + 0.2 * block(x, "device", 3) + 0.04 * (x[:, at["product_rating"]] + 1) + 0.1 * (codes[:, 0] == 2) - 0.01 * codes[:, 1])
+    mean = np.add.reduceat(score, np.cumsum(lengths) - lengths) / lengths
+    return 1 / (1 + np.exp(-(mean + 0.1 - 0.35 * batch["inactivity"])))
+
+
+@query("shap_with_function", f"SELECT {KEYS}, step, feature, {r6('phi')} AS phi FROM phi")
+def _(s: Stage) -> DataFrame:
+    return Sh.shap_instances(s.space, s.background, given_function)

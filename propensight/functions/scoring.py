@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SATURATED = 1e-15
+
 
 @dataclass(frozen=True)
 class MeanPoolScorer:
@@ -31,4 +33,6 @@ def sigmoid(x: Column) -> Column:
 
 
 def logit(p: Column) -> Column:
-    return F.ln(p / (F.lit(1.0) - p))
+    """Finite also for models that return exactly 0 or 1."""
+    inside = F.greatest(F.lit(SATURATED), F.least(F.lit(1.0 - SATURATED), p))
+    return F.ln(inside / (F.lit(1.0) - inside))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -12,14 +11,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from propensight import constants as C
 from propensight.config import Params
 from propensight.functions import rng
+from propensight.functions.prefix import PrefixScorer, prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer, logit, sigmoid
-from propensight.operators import model as M
 from propensight.operators.perturb import shuffle_width
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.space import model_inputs
 from propensight.operators.vocabulary import constant_table
 
 STEP_KEYS = ID_KEYS + ["step"]
+CELLS = 1 << 22  # cells of masked steps made at once
 
 # Feature groups small enough in number for exact enumeration: 2^7 coalitions.
 GROUPS = {
@@ -146,33 +146,77 @@ def contextual_probability(scorer: MeanPoolScorer) -> Column:
     return sigmoid(mean + scorer.fixed_score())
 
 
-def with_past_inputs(rows: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
-    """Model inputs of the steps before each step, in time order; at most ``max_len``."""
-    before = W.partitionBy(*keys).orderBy("step").rowsBetween(W.unboundedPreceding, -1)
-    past = model_inputs(rows).withColumn("past", F.collect_list(F.struct("num", "cat")).over(before))
-    return past.select(*rows.columns, "past")
+def masked_probabilities(space: DataFrame, background: DataFrame, model: MeanPoolScorer, groups: dict[str, list[str]] = GROUPS,
+                         chosen: DataFrame | None = None) -> DataFrame:
+    """Probability of every real step under every coalition and background row; the past of a step is one number."""
+    rows = spread_steps(with_past_score(space.where(~F.col("is_pad")), model), [*C.SPACE_ALL, "past_score"])
+    return mask_expand(rows, background, groups, chosen).withColumn("purchase_proba", contextual_probability(model))
+
+
+def input_groups(groups: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray, int]:
+    """The group that each position of the numeric inputs, of the codes, and inactivity belong to."""
+    num, cat, fixed = np.zeros(C.N_INPUT, int), np.zeros(len(C.CODED_COLUMNS), int), 0
+    for g, features in enumerate(groups.values()):
+        for f in features:
+            if f in C.INDICATOR_BLOCKS:
+                offset, width = C.INDICATOR_BLOCKS[f]
+                num[offset:offset + width] = g
+            elif f in C.CODED_COLUMNS:
+                cat[C.CODED_COLUMNS.index(f)] = g
+            elif f in C.SPACE_FIXED:
+                fixed = g
+            else:
+                num[C.NUMERIC_POSITION[f]] = g
+    return num, cat, fixed
+
+
+def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.stack(rows["num"].to_numpy()).astype(float), np.stack(rows["cat"].to_numpy()).astype(int), rows["inactivity"].to_numpy(float)
 
 
-def ending_records(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sequence records that end in the (masked) step of the row, after its past as it was."""
-    return model_inputs(rows).select(
-        *keys, (F.col("step") + 1).cast("int").alias("seq_length"), F.concat("past.num", F.array("num")).alias("inputs_num"),
-        F.concat("past.cat", F.array("cat")).alias("inputs_cat"), "inactivity")
+def background_inputs(background: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Model inputs of the background rows of each step: ``rows per step * max_len`` in all, whatever the data size."""
+    rows = model_inputs(background, "double").select("step", "sample", "num", "cat", "inactivity").toPandas().sort_values(["step", "sample"])
+    return {int(step): _arrays(own) for step, own in rows.groupby("step")}
 
 
-def masked_probabilities(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
-                         chosen: DataFrame | None = None, score: Callable = M.score) -> DataFrame:
-    """Probability of every real step under every coalition and background row.
+def prefix_values(space: DataFrame, background: DataFrame, scorer: PrefixScorer, groups: dict[str, list[str]] = GROUPS,
+                  chosen: DataFrame | None = None, label: int = 1) -> DataFrame:
+    """Value of every coalition of every real step for a scorer that goes step by step.
 
-    With given coefficients the past is one number; any other model is called by ``score(model, records, keys)``.
+    A group is one sequence, at most ``max_len`` steps, and is read once in order: the state after the steps so far goes on with the step
+    under every coalition and background row, made inside the task a bounded number of cells at a time. Only values leave it.
     """
-    real = space.where(~F.col("is_pad"))
-    if isinstance(model, MeanPoolScorer):
-        rows = spread_steps(with_past_score(real, model), [*C.SPACE_ALL, "past_score"])
-        return mask_expand(rows, background, groups, chosen).withColumn("purchase_proba", contextual_probability(model))
-    rows = spread_steps(with_past_inputs(real), [*C.SPACE_ALL, "past"])
-    keys = [*STEP_KEYS, "coalition", "background_row"]
-    return score(model, ending_records(mask_expand(rows, background, groups, chosen), keys), keys)
+    spark, m = space.sparkSession, len(groups)
+    masks = [0, 2 ** m - 1] + [r["coalition"] for r in chosen.select("coalition").collect()] if chosen is not None else list(range(2 ** m))
+    present = np.array([[mask >> g & 1 for g in range(m)] for mask in masks], bool)
+    in_num, in_cat, in_fixed = input_groups(groups)
+    shared = spark.sparkContext.broadcast(background_inputs(background))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("step")
+        num, cat, inactivity = _arrays(group)
+        state, out = scorer.start(), []
+        for t, step in enumerate(group["step"].tolist()):
+            if step not in shared.value:
+                raise ValueError(f"the background has no rows for step {step}")
+            other_num, other_cat, other_inactivity = shared.value[step]
+            n = len(other_num)
+            at_once = max(1, CELLS // (n * (len(in_num) + len(in_cat))))
+            for i in range(0, len(present), at_once):
+                there = present[i:i + at_once]
+                mixed = [np.where(there[:, None, where], own, other).reshape(len(there) * n, -1)
+                         for where, own, other in ((in_num, num[t], other_num), (in_cat, cat[t], other_cat))]
+                fixed = np.where(there[:, in_fixed, None], inactivity[t], other_inactivity).ravel()
+                p = scorer.finish(scorer.step(state, *mixed), step + 1, fixed).reshape(len(there), n).mean(axis=1)
+                out.append(pd.DataFrame({"step": step, "coalition": masks[i:i + at_once], "mean_proba": p if label == 1 else 1 - p}))
+            state = scorer.step(state, num[t:t + 1], cat[t:t + 1])
+        return pd.concat(out).assign(data_date=group["data_date"].iloc[0], id=group["id"].iloc[0])
+
+    rows = model_inputs(space.where(~F.col("is_pad")), "double").select(*STEP_KEYS, "num", "cat", "inactivity")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*STEP_KEYS).schema)
+    scored = rows.repartition(shuffle_width(space), *ID_KEYS).groupBy(*ID_KEYS).applyInPandas(run, f"{schema}, coalition bigint, mean_proba double")
+    return scored.withColumn("value", logit(F.col("mean_proba")))
 
 
 def coalition_value(expanded: DataFrame, keys: list[str] = STEP_KEYS, label: int = 1) -> DataFrame:
@@ -182,12 +226,24 @@ def coalition_value(expanded: DataFrame, keys: list[str] = STEP_KEYS, label: int
     return mean.withColumn("value", logit(F.col("mean_proba")))
 
 
-def background_value(background: DataFrame, model, label: int = 1, score: Callable = M.score) -> DataFrame:
+def background_value(background: DataFrame, model, label: int = 1) -> DataFrame:
     """Logit of the mean probability of the background itself, with the background's own earlier steps."""
     if isinstance(model, MeanPoolScorer):
         scored = with_past_score(background, model, ["sample"]).withColumn("purchase_proba", contextual_probability(model))
     else:
-        scored = score(model, ending_records(with_past_inputs(background, ["sample"]), ["sample", "step"]), ["sample", "step"])
+        scorer = prefix_scorer(model)
+
+        def run(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("step")
+            num, cat, inactivity = _arrays(group)
+            state, p = scorer.start(), []
+            for t, step in enumerate(group["step"].tolist()):
+                state = scorer.step(state, num[t:t + 1], cat[t:t + 1])
+                p.append(float(scorer.finish(state, step + 1, inactivity[t:t + 1])[0]))
+            return pd.DataFrame({"step": group["step"], "purchase_proba": p})
+
+        rows = model_inputs(background, "double").select("sample", "step", "num", "cat", "inactivity")
+        scored = rows.groupBy("sample").applyInPandas(run, "step int, purchase_proba double")
     p = F.col("purchase_proba") if label == 1 else 1 - F.col("purchase_proba")
     return scored.groupBy("step").agg(logit(F.avg(p)).alias("base_value"))
 
@@ -247,23 +303,29 @@ def shapley_regression(values: DataFrame, weights: DataFrame, groups: dict[str,
 
 
 def shap_values_of(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
-                   base: str = "instance", label: int = 1, score: Callable = M.score) -> DataFrame:
-    """Values of all coalitions of every real step."""
-    values = coalition_value(masked_probabilities(space, background, model, groups, score=score), label=label)
+                   base: str = "instance", label: int = 1, chosen: DataFrame | None = None) -> DataFrame:
+    """Values of all coalitions of every real step, or of the chosen ones.
+
+    The model is a scorer with given coefficients, a fitted pipeline, a function of batches of records, or a scorer that goes
+    step by step.
+    """
+    if isinstance(model, MeanPoolScorer):
+        values = coalition_value(masked_probabilities(space, background, model, groups, chosen), label=label)
+    else:
+        values = prefix_values(space, background, prefix_scorer(model), groups, chosen, label)
     if base == "background":
-        values = with_background_base(values, background_value(background, model, label, score))
+        values = with_background_base(values, background_value(background, model, label))
     return values
 
 
 def shap_instances(space: DataFrame, background: DataFrame, model, groups: dict[str, list[str]] = GROUPS,
-                   base: str = "instance", label: int = 1, score: Callable = M.score) -> DataFrame:
+                   base: str = "instance", label: int = 1) -> DataFrame:
     """Shapley values of every step of every instance in one job, exact over feature groups."""
-    return shapley_values(shap_values_of(space, background, model, groups, base, label, score), groups)
+    return shapley_values(shap_values_of(space, background, model, groups, base, label), groups)
 
 
 def shap_instances_sampled(space: DataFrame, background: DataFrame, model, budget: int, seed: int = Params.seed,
-                           label: int = 1, score: Callable = M.score) -> DataFrame:
+                           label: int = 1) -> DataFrame:
     """Shapley values per single feature, over a budget of coalitions."""
     chosen = sampled_coalitions(space.sparkSession, len(SINGLE), budget, seed)
-    values = coalition_value(masked_probabilities(space, background, model, SINGLE, chosen, score), label=label)
-    return shapley_regression(values, chosen)
+    return shapley_regression(shap_values_of(space, background, model, SINGLE, label=label, chosen=chosen), chosen)

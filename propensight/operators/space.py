@@ -139,7 +139,7 @@ def _inverse(column: str) -> Column:
     return value
 
 
-def model_inputs(space: DataFrame) -> DataFrame:
+def model_inputs(space: DataFrame, number: str = "float") -> DataFrame:
     """Step rows as the classifier reads them: ``num`` vector, ``cat`` codes and inactivity."""
     pieces = []
     for block in C.SPACE_INDICATOR:
@@ -147,7 +147,7 @@ def model_inputs(space: DataFrame) -> DataFrame:
         pieces += [(index == i).cast("double") for i in range(C.INDICATOR_BLOCKS[block][1])]
     pieces += [_inverse(c) for c in C.NUMERIC_COLUMNS]
     pad = F.coalesce(F.col("is_pad"), F.lit(False)) if "is_pad" in space.columns else F.lit(False)
-    num = F.when(pad, F.array_repeat(F.lit(C.PAD_NUMERIC), C.N_INPUT)).otherwise(F.array(*pieces)).cast("array<float>")
+    num = F.when(pad, F.array_repeat(F.lit(C.PAD_NUMERIC), C.N_INPUT)).otherwise(F.array(*pieces)).cast(f"array<{number}>")
     return space.withColumns({"num": num, "cat": F.array(*[F.col(c).cast("int") for c in C.CODED_COLUMNS]),
                               "inactivity": _inverse("inactivity")})
 

@@ -3,12 +3,14 @@ import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from propensight import constants as C
+from propensight.functions.prefix import prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer
-from propensight.operators import perturb as Pe, shapley as Sh, surrogate as Su
+from propensight.operators import model as Mo, perturb as Pe, shapley as Sh, surrogate as Su
 
 DEPT, CAT, SUB = C.CODED_COLUMNS
 
@@ -206,3 +208,64 @@ def test_any_function_explains_as_its_coefficients_do(small):
         gap = one.join(two.withColumnRenamed("phi", "psi"), ["id", "step", "feature"]).agg(
             F.max(F.abs(F.col("phi") - F.col("psi"))), F.count("*")).first()
         assert gap[0] < 1e-4 and gap[1] == few.count() * len(Sh.GROUPS)
+
+
+class Counted:
+    """A step-by-step scorer that is not a function of pooled inputs: a leaky sum."""
+
+    def start(self):
+        return np.zeros(1)
+
+    def step(self, state, num, cat):
+        return 0.5 * state + 0.01 * num[:, C.NUMERIC_POSITION["product_price"]] + 0.1 * (cat[:, 0] > 1)
+
+    def finish(self, state, length, inactivity):
+        return 1 / (1 + np.exp(-(state - 0.2 * inactivity - 0.01 * length)))
+
+
+def whole_records(batch):
+    """The same from whole records."""
+    out = []
+    for nums, cats, length, inactivity in zip(batch["inputs_num"], batch["inputs_cat"], batch["seq_length"], batch["inactivity"], strict=True):
+        scorer, state = Counted(), np.zeros(1)
+        for num, cat in zip(nums, cats, strict=True):
+            state = scorer.step(state, np.asarray(num)[None], np.asarray(cat)[None])
+        out.append(scorer.finish(state, length, inactivity)[0])
+    return pd.Series(out)
+
+
+@pytest.mark.parametrize("base, label", [("instance", 0), ("background", 1)])
+def test_a_step_by_step_scorer_explains_as_its_function_does(small, base, label):
+    few = small.space.where(F.col("step") < 5)
+    one, two = (Sh.shap_instances(few, small.background, m, base=base, label=label) for m in (Counted(), whole_records))
+    gap = one.join(two.withColumnRenamed("phi", "psi"), ["id", "step", "feature"]).agg(
+        F.max(F.abs(F.col("phi") - F.col("psi"))), F.count("*")).first()
+    assert gap[0] < 1e-9 and gap[1] == few.count() * len(Sh.GROUPS)
+
+
+def test_a_fitted_pipeline_goes_step_by_step(small, monkeypatch):
+    model = Mo.fit_classifier(small.examples)
+    scorer = prefix_scorer(model)
+    rows = small.examples.orderBy("id").limit(5).collect()
+    want = {r["id"]: r["purchase_proba"] for r in Mo.score(model, small.examples).collect()}
+    for r in rows:
+        state = scorer.start()
+        for num, cat in zip(r["inputs_num"], r["inputs_cat"], strict=True):
+            state = scorer.step(state, np.array([num], float), np.array([cat]))
+        assert abs(scorer.finish(state, r["seq_length"], np.array([r["inactivity"]]))[0] - want[r["id"]]) < 1e-6
+    few = small.space.where(F.col("step") < 3)
+    whole = Sh.shap_values_of(few, small.background, model)
+    monkeypatch.setattr(Sh, "CELLS", 2_000)  # a few coalitions at a time
+    parts = Sh.shap_values_of(few, small.background, model)
+    gap = whole.join(parts.withColumnRenamed("value", "other"), ["id", "step", "coalition"]).agg(
+        F.max(F.abs(F.col("value") - F.col("other"))), F.count("*")).first()
+    assert gap[0] < 1e-9 and gap[1] == few.count() * 2 ** len(Sh.GROUPS)
+
+
+def test_no_row_carries_the_past(small, capsys):
+    Sh.shap_instances(small.space, small.background, whole_records).explain()
+    plan = capsys.readouterr().out
+    assert "collect_list" not in plan and "Window" not in plan and "past" not in plan
+    long = small.space.where("step = 0").withColumn("step", F.lit(77))
+    with pytest.raises(Exception, match="no rows for step 77"):
+        Sh.shap_instances(long, small.background, whole_records).collect()
