@@ -3,11 +3,11 @@
 1. Components become integers, ``floor(256 * x)``. Vectors are dealt to blocks of about ``BLOCK`` by a hash. A block's index is
    written as posting segments: one row per (dimension, quantised impact ``value >> SHIFT``) with the members and the least and
    greatest value among them, dimensions and impacts in order. Every component is posted, zeros too.
-2. A query takes the segments of a block in descending impact: the most a segment's members can gain over the least of their
-   dimension. Members' accumulators are raised by it. What a vector may still gain is at most the sum of the heads of all
-   dimensions; what an accumulator may be too high by is at most the sum of the widest segments.
-3. From both follows which vectors can still be among the ``k`` best of the block (a vector whose upper bound is below the ``k``-th best
-   lower bound cannot). The query stops when these are few, or at the end of the postings, and only these are scored
+2. Queries take the segments of a block by descending impact, ``TOGETHER`` at a time; a segment's members get the weight times the middle of
+   its values. From the widths of the segments taken and the greatest values not taken follows how far an accumulator can be
+   off, and from that which vectors can still be among the ``k`` best of the block: one whose upper bound is below the ``k``-th best lower
+   bound cannot.
+3. The search stops when for every query these are few, or at the end of the postings, and only these are scored
    exactly on the integer vectors. So a stop is always backed by a proof, and the result is exact.
 4. The bests of all blocks are merged by a ranked limit that Spark applies before the shuffle.
 
@@ -31,7 +31,7 @@ from propensight.session import materialize
 
 SCALE, SHIFT = 256, 3
 BLOCK, QUERIES = 16_384, 512
-CHECKS, FEW = 16, 64
+TOGETHER, CHECKS, FEW = 64, 4, 64
 LONG = 2 ** 63 - 1
 
 
@@ -93,24 +93,25 @@ def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """One block's index in memory."""
+    """One block's index in memory, its segments by descending impact."""
 
     def __init__(self, segments: pa.Table):
         segments = segments.sort_by([("dim", "ascending"), ("level", "ascending")])
-        own = segments.slice(0, 1)
+        own, rest = segments.slice(0, 1), segments.slice(1)
         self.ids = np.array(own["ids"][0].as_py(), np.int64)
         self.x = matrix(pa.chunked_array([own["v"].combine_chunks().flatten()]))
-        rest = segments.slice(1)
-        self.dim, self.low, self.high = (rest[c].to_numpy() for c in ("dim", "low", "high"))
-        self.low, self.high = self.low.astype(np.float64), self.high.astype(np.float64)
+        level = rest["level"].to_numpy()
+        order = np.argsort(-np.maximum(level, -1 - level), kind="stable")  # as far from zero on both sides
+        self.dim, self.low, self.high = (rest[c].to_numpy()[order].astype(t) for c, t in (("dim", np.int64), ("low", float), ("high", float)))
         members = rest["members"].combine_chunks()
-        self.sizes = members.value_lengths().to_numpy(zero_copy_only=False)
-        self.members = np.split(members.flatten().to_numpy(zero_copy_only=False), np.cumsum(self.sizes)[:-1]) if len(rest) else []
+        sizes = members.value_lengths().to_numpy(zero_copy_only=False)
+        own = np.split(members.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)[:-1]) if len(rest) else []
+        self.members = [own[i] for i in order]
+        self.sizes = sizes[order]
         self.repeated = len(self.ids) - len(np.unique(self.ids))
 
-    def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best of the block but for the query's own."""
-        possible = self.possible(q, k)
+    def best(self, query_id: int, q: np.ndarray, possible: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the ``k`` best of ``possible`` but for the query's own."""
         possible = possible[self.ids[possible] != query_id]
         width = min(len(q), self.x.shape[1])
         score = exact(self.x[possible, :width], q[:width])
@@ -120,41 +121,40 @@ class Postings:
         first = np.sort(first)[:k]
         return ids[first], score[order][first]
 
-    def possible(self, q: np.ndarray, k: int) -> np.ndarray:
-        """The vectors that can be among the ``k`` best, proven by bounds."""
-        n = len(self.ids)
+    def possible(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each of a few queries the vectors that can be among its ``k`` best, proven by bounds.
+
+        An accumulator holds twice the score, as if every member of a segment taken had the middle of its least and greatest value and
+        every other component were 0. Per dimension a vector is off by no more than the widest segment taken or twice the
+        greatest value not taken, times the weight.
+        """
+        n, dims = self.x.shape
         needed = k + 1 + self.repeated  # the query itself and further vectors of an id do not count
         if n <= needed or not len(self.dim):
-            return np.arange(n)
-        weight = np.zeros(max(len(q), self.x.shape[1]))
-        weight[:len(q)] = q
-        w = weight[self.dim]
-        up, down = np.maximum(w * self.low, w * self.high), np.minimum(w * self.low, w * self.high)
-        dims = self.x.shape[1]
-        least, widest = np.full(dims, np.inf), np.zeros(dims)
-        np.minimum.at(least, self.dim, down)
-        np.maximum.at(widest, self.dim, up - down)
-        gain = up - least[self.dim]
-        order = np.argsort(-gain, kind="stable")
-        order = order[gain[order] > 0]
-        total = np.zeros(n)
-        error = widest.sum()
-        head = np.zeros(dims)
-        np.maximum.at(head, self.dim, gain)
-        # Sums of doubles: room for their rounding where numbers are beyond 2^53.
-        room = 1e-12 * (np.abs(up).sum() + np.abs(down).sum()) if max(np.abs(up).max(), np.abs(down).max()) > 2 ** 40 else 0.0
-        after = {int(s) for s in np.searchsorted(np.cumsum(self.sizes[order]), np.linspace(0, self.sizes[order].sum(), CHECKS + 1)[1:])}
-        alive = np.arange(n)
-        for i, s in enumerate(order):
-            total[self.members[s]] += gain[s]
-            if i in after or i + 1 == len(order):
-                left = order[i + 1:]
-                head[:] = 0
-                np.maximum.at(head, self.dim[left], gain[left])
-                floor = np.partition(total, n - needed)[n - needed] - error
-                alive = np.flatnonzero(total + head.sum() + 2 * room >= floor)
-                if len(alive) <= max(FEW, n >> 6):
-                    break
+            return [np.arange(n)] * len(queries)
+        weight = np.zeros((dims, len(queries)))
+        width = min(dims, queries.shape[1])
+        weight[:width] = queries[:, :width].T
+        most = 2 * (np.abs(weight).sum(axis=0) * max(np.abs(self.low).max(), np.abs(self.high).max())).max()
+        kind = np.float32 if most < 2 ** 24 else np.float64  # sums of whole numbers are exact below
+        room = 0.0 if most < 2 ** 52 else 1e-12 * most * dims
+        middle = weight.astype(kind)
+        total = np.zeros((n, len(queries)), kind)
+        taken, left = np.zeros(dims), np.zeros(dims)
+        checks = {int(i) for i in np.searchsorted(np.cumsum(self.sizes), np.linspace(0, self.sizes.sum(), CHECKS + 1)[1:])}
+        alive = [np.arange(n)] * len(queries)
+        for s, members in enumerate(self.members):
+            d = self.dim[s]
+            total[members] += middle[d] * kind(self.low[s] + self.high[s])
+            taken[d] = max(taken[d], self.high[s] - self.low[s])
+            if s in checks or s + 1 == len(self.members):
+                left[:] = 0
+                np.maximum.at(left, self.dim[s + 1:], 2 * np.maximum(np.abs(self.low[s + 1:]), np.abs(self.high[s + 1:])))
+                off = np.abs(weight).T @ np.maximum(taken, left)
+                bound = np.partition(total, n - needed, axis=0)[n - needed] - 2 * (off + room)
+                there = total >= bound
+                if s + 1 == len(self.members) or there.sum(axis=0).max() <= max(FEW, n >> 5):
+                    return [np.flatnonzero(own) for own in there.T]
         return alive
 
 
@@ -174,9 +174,12 @@ def search(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, grou
         found: list[pa.Table] = []
         if own.num_rows and ask.num_rows:
             postings = Postings(own)
-            for q, v in zip(ask["vec_id"].to_pylist(), matrix(ask["v"]), strict=True):
-                ids, score = postings.best(q, v, k)
-                found.append(pa.table([pa.array(np.full(len(ids), q)), pa.array(ids), pa.array(score)], schema=FOUND))
+            asked_ids, asked_v = ask["vec_id"].to_pylist(), matrix(ask["v"])
+            for i in range(0, len(asked_ids), TOGETHER):
+                some = asked_v[i:i + TOGETHER]
+                for q, v, possible in zip(asked_ids[i:i + TOGETHER], some, postings.possible(some, k), strict=True):
+                    ids, score = postings.best(q, v, possible, k)
+                    found.append(pa.table([pa.array(np.full(len(ids), q)), pa.array(ids), pa.array(score)], schema=FOUND))
         return pa.concat_tables(found) if found else FOUND.empty_table()
 
     keys = ["block", "part"]
