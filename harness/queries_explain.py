@@ -13,7 +13,7 @@ from harness.queries_sequences import _text
 from harness.registry import query
 from harness.stage import Stage
 from propensight import constants as C
-from propensight.operators import model as Mo, perturb as Pe, shapley as Sh, space as Sp, stats as St, surrogate as Su
+from propensight.operators import model as Mo, moments as Mm, perturb as Pe, shapley as Sh, space as Sp, stats as St, surrogate as Su
 from propensight.sources import tables as T
 
 KEYS = "data_date, id"
@@ -332,8 +332,49 @@ def _(s: Stage) -> DataFrame:
 
 @query("explain_sweep")
 def _(s: Stage) -> DataFrame:
-    settings = list(itertools.product([0.25, 0.5, 0.75], [5, 10, 20, 40, 80], [10, 15, 20]))
-    return Su.explain_summary(Su.local_linear_fit(s.design, s.max_length, settings))
+    return Su.explain_summary(Su.explain_sweep(s.space, s.stats, s.frequencies, s.hierarchy, s.scorer, s.max_length,
+                                               [0.25, 0.5, 0.75], [5, 10, 20, 40, 80], [10, 15, 20], seed=SEED))
+
+
+@query("fit_each_column", f"""
+SELECT {KEYS}, CAST(label AS INTEGER) AS label, step, feature, {r6('CASE WHEN label = 1 THEN weight ELSE -weight END')} AS weight, {r6('x0')} AS x0
+FROM slopes CROSS JOIN (VALUES (0), (1)) l(label)""")
+def _(s: Stage) -> DataFrame:
+    """A second regressor, both labels from one pass over merged moments."""
+    fits = Su.local_linear_fit(s.design, s.max_length, [(P.kernel_width, None, P.samples)], label=(1, 0), regressor=Mm.marginal())
+    return fits.select("data_date", "id", "label", "step", "feature", "weight", "x0")
+
+
+@query("fit_top_label", f"""
+SELECT {KEYS}, CAST(CASE WHEN p.p1 >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS label, step, feature,
+       {r6('CASE WHEN p.p1 >= 0.5 THEN weight ELSE -weight END')} AS weight, {r6('greatest(p.p1, 1 - p.p1)')} AS real_pred
+FROM slopes JOIN (SELECT {KEYS}, p1 FROM scored_samples WHERE sample = 0) p USING ({KEYS})""")
+def _(s: Stage) -> DataFrame:
+    fits = Su.local_linear_fit(s.design, s.max_length, [(P.kernel_width, None, P.samples)], regressor=Mm.marginal(), top_labels=1)
+    return fits.select("data_date", "id", "label", "step", "feature", "weight", "real_pred")
+
+
+@query("fit_regression", f"""
+SELECT {KEYS}, CAST(label AS INTEGER) AS label, step, feature, {r6('CASE WHEN label = 1 THEN weight ELSE -weight END')} AS weight,
+       {r6('predicted_value')} AS predicted_value, {r6('min_value')} AS min_value, {r6('max_value')} AS max_value
+FROM slopes CROSS JOIN (VALUES (0), (1)) l(label) JOIN (
+  SELECT {KEYS}, max(CASE WHEN sample = 0 THEN p1 END) AS predicted_value, min(p1) AS min_value, max(p1) AS max_value
+  FROM scored_samples GROUP BY {KEYS}) r USING ({KEYS})""")
+def _(s: Stage) -> DataFrame:
+    fits = Su.local_linear_fit(s.design, s.max_length, [(P.kernel_width, None, P.samples)], regressor=Mm.marginal(), mode="regression")
+    return fits.select("data_date", "id", "label", "step", "feature", "weight", "predicted_value", "min_value", "max_value")
+
+
+_products = lambda a, b: " + ".join(f"{a}.{f} * {b}.{f}" for f in C.SPACE_STEP)
+_dot = lambda a, b: f"(sum({_products(a, b)}) + any_value({a}.inactivity * {b}.inactivity))"
+
+
+@query("design_rows_cosine", f"""
+SELECT i.data_date, i.id, i.sample, {r6(f"CASE WHEN {_dot('i', 'i')} * {_dot('o', 'o')} > 0 THEN 1 - {_dot('i', 'o')} / sqrt({_dot('i', 'i')} * {_dot('o', 'o')}) ELSE 1e0 END")} AS distance
+FROM interp i JOIN interp o ON o.data_date = i.data_date AND o.id = i.id AND o.step = i.step AND o.sample = 0
+GROUP BY i.data_date, i.id, i.sample""")
+def _(s: Stage) -> DataFrame:
+    return Su.design_rows(s.samples, s.stats, s.scorer, metric="cosine").select("data_date", "id", "sample", "distance")
 
 
 @query("write_explanations", f"SELECT {KEYS}, step, feature, {r6('weight')} AS weight FROM slopes")

@@ -49,14 +49,13 @@ def expand_samples(instances: DataFrame, n: int, block: int = BLOCK) -> DataFram
     """``n`` sample rows per instance step.
 
     Blocks of samples are spread over the tasks before they are unfolded: the input is small and the output is
-    not, and all steps of one sample stay in one task.
+    not, and all steps of one sample stay in one task; ``block`` stays in the rows, so later work by block needs no shuffle.
     """
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))).alias("_block")
-    spread = instances.select("*", blocks).repartition(shuffle_width(instances), *ID_KEYS, "_block")
-    first = F.col("_block") * block
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))).alias("block")
+    spread = instances.select("*", blocks).repartition(shuffle_width(instances), *ID_KEYS, "block")
+    first = F.col("block") * block
     last = F.least(first + block - 1, F.lit(n - 1))
-    return (spread.withColumn("sample", F.explode(F.sequence(first, last))).drop("_block")
-            .withColumn("owner", F.concat_ws("|", *ID_KEYS)))
+    return spread.withColumn("sample", F.explode(F.sequence(first, last))).withColumn("owner", F.concat_ws("|", *ID_KEYS))
 
 
 def draw_normal(frame: DataFrame, stats: DataFrame, around: str | None = None, seed: int = Params.seed) -> DataFrame:
@@ -198,7 +197,7 @@ def neighborhood(instances: DataFrame, stats: DataFrame, freq: DataFrame, hierar
     frame = draw_categorical(frame, freq, seed=seed)
     frame = resample_pages(resample_hierarchy(frame, hierarchy, freq, seed), seed)
     first = F.col("sample") == 0
-    return frame.select(*ID_KEYS, "sample", "step", "seq_length", "origin", *[
+    return frame.select(*ID_KEYS, "block", "sample", "step", "seq_length", "origin", *[
         F.when(first, F.col(f"origin.{f}")).otherwise(F.col(f)).alias(f) for f in C.SPACE_ALL])
 
 

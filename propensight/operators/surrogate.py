@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from propensight import constants as C
 from propensight.config import Params
 from propensight.functions.scoring import MeanPoolScorer, sigmoid
-from propensight.operators import model as M
-from propensight.operators.perturb import neighborhood, with_stats
+from propensight.operators import model as M, moments as M_
+from propensight.operators.perturb import neighborhood, shuffle_width, with_stats
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.space import from_explainer_space
 from propensight.operators.stats import FIXED_STEP
 from propensight.session import materialize
 
 SAMPLE_KEYS = ID_KEYS + ["sample"]
+BLOCK_KEYS = ID_KEYS + ["block"]
 WIDTH = len(C.SPACE_STEP)
 
 FIT_SCHEMA = ("data_date date, id string, label int, kernel_width double, complexity int, n_samples int, step int, "
@@ -82,48 +83,80 @@ def kernel_weights(distances: DataFrame, max_length: int, width: float = Params.
     return distances.withColumn("weight", kernel(F.col("distance"), scaled))
 
 
-def design_rows(samples: DataFrame, stats: DataFrame, model, score: Callable = M.score) -> DataFrame:
+class SumMetric:
+    """A distance that is a function of sums over the columns, so that it never leaves the JVM: ``terms`` of a column's value and
+    the instance's, and ``finish`` of their sums."""
+
+    def __init__(self, terms: Callable[[Column, Column], list[Column]], finish: Callable[..., Column]):
+        self.terms, self.finish = terms, finish
+
+
+def _one_minus_cosine(product: Column, a: Column, b: Column) -> Column:
+    return F.when(a * b > 0, 1 - product / F.sqrt(a * b)).otherwise(F.lit(1.0))
+
+
+METRICS = {"euclidean": SumMetric(lambda x, o: [F.pow(x - o, F.lit(2.0))], F.sqrt),
+           "manhattan": SumMetric(lambda x, o: [F.abs(x - o)], lambda total: total),
+           "cosine": SumMetric(lambda x, o: [x * o, x * x, o * o], _one_minus_cosine)}
+Metric = str | SumMetric | Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def design_rows(samples: DataFrame, stats: DataFrame, model, score: Callable = M.score, metric: Metric = "euclidean") -> DataFrame:
     """One row per sample with its interpretable vector ``x``, distance and probability.
 
-    The samples are generated once. With given coefficients, score, distance and vector come from the same aggregation,
-    and the steps of a sample lie in one task before it; any other model is called by ``score(model, records, keys)``
-    on the samples as written.
+    The samples are generated once, and blocks of them stay where they were made. With given coefficients, score, distance and vector come from
+    the same aggregation; any other model is called by ``score(model, records, keys)`` on the samples as written. The metric is a name,
+    a function of sums over the columns, or a function of a batch of vectors and of the instances' vectors.
     """
     given = isinstance(model, MeanPoolScorer)
     if not given:
         samples = materialize(samples, "samples")
+    measure = METRICS[metric] if isinstance(metric, str) else metric
+    summed = isinstance(measure, SumMetric)
     fixed = C.SPACE_FIXED[0]
     known = with_stats(samples, stats)
     scale = lambda f: F.when(F.col(f"{f}_std") > 0, F.col(f"{f}_std")).otherwise(F.lit(1.0))
-    std = lambda f: (F.col(f) - F.coalesce(f"{f}_mean", F.lit(0.0))) / scale(f)
-    gap = lambda f: F.pow((F.col(f) - F.col(f"origin.{f}")) / scale(f), F.lit(2.0))
-    same = {f: (F.col(f) == F.col(f"origin.{f}")).cast("double") for f in C.SPACE_CATEGORICAL}
-    x = F.array(*[std(f) for f in C.SPACE_NUMERIC], *[same[f] for f in C.SPACE_CATEGORICAL])
-    near = sum((gap(f) for f in C.SPACE_NUMERIC), F.lit(0.0)) + sum((1 - c for c in same.values()), F.lit(0.0))
-    rows = known.select(*SAMPLE_KEYS, "step", x.alias("x"), near.alias("near"), gap(fixed).alias("fixed_gap"),
-                        std(fixed).alias("fixed_x"), *([model.step_score().alias("score"),
-                                                        model.fixed_score().alias("fixed_score")] if given else []))
-    grouped = rows.groupBy(*SAMPLE_KEYS).agg(
-        F.sort_array(F.collect_list(F.struct("step", "x"))).alias("steps"),
-        F.sqrt(F.sum("near") + F.first("fixed_gap")).alias("distance"), F.first("fixed_x").alias("fixed_x"),
+    std = lambda f, c: (F.col(c) - F.coalesce(f"{f}_mean", F.lit(0.0))) / scale(f)
+    one = F.lit(1.0)
+    pairs = [(std(f, f), std(f, f"origin.{f}")) for f in C.SPACE_NUMERIC]
+    pairs += [((F.col(f) == F.col(f"origin.{f}")).cast("double"), one) for f in C.SPACE_CATEGORICAL]
+    ends = (std(fixed, fixed), std(fixed, f"origin.{fixed}"))
+    n_terms = len(measure.terms(one, one)) if summed else 0
+    near = [sum((measure.terms(*p)[i] for p in pairs), F.lit(0.0)).alias(f"near_{i}") for i in range(n_terms)]
+    gap = [measure.terms(*ends)[i].alias(f"gap_{i}") for i in range(n_terms)]
+    vectors = [F.array(*[x for x, _ in pairs]).alias("x")] + ([] if summed else [F.array(*[o for _, o in pairs]).alias("o")])
+    rows = known.select(*BLOCK_KEYS, "sample", "step", *vectors, *near, *gap, ends[0].alias("fixed_x"), ends[1].alias("fixed_o"),
+                        *([model.step_score().alias("score"), model.fixed_score().alias("fixed_score")] if given else []))
+    steps = F.sort_array(F.collect_list(F.struct("step", "x", *([] if summed else ["o"])))).alias("steps")
+    distance = [measure.finish(*[F.sum(f"near_{i}") + F.first(f"gap_{i}") for i in range(n_terms)]).alias("distance")] if summed else []
+    grouped = rows.groupBy(*BLOCK_KEYS, "sample").agg(
+        steps, *distance, F.first("fixed_x").alias("fixed_x"), F.first("fixed_o").alias("fixed_o"),
         *([sigmoid(F.avg("score") + F.first("fixed_score")).alias("p1")] if given else []))
     if not given:
         grouped = grouped.join(score_samples(samples, model, score).select(*SAMPLE_KEYS, "p1"), SAMPLE_KEYS)
-    return grouped.select(*SAMPLE_KEYS, F.concat(F.flatten("steps.x"), F.array("fixed_x")).alias("x"), "distance", "p1")
+    whole = grouped.select(*BLOCK_KEYS, "sample", F.concat(F.flatten("steps.x"), F.array("fixed_x")).alias("x"), "p1", *(
+        ["distance"] if summed else [F.concat(F.flatten("steps.o"), F.array("fixed_o")).alias("o")]))
+    return (whole if summed else _measured(whole, measure)).select(*BLOCK_KEYS, "sample", "x", "distance", "p1")
+
+
+def _measured(rows: DataFrame, metric: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Distances by a function, called for the rows of a batch that have vectors of one length."""
+    def run(batches):
+        for batch in batches:
+            distance = np.empty(len(batch))
+            for _, at in batch.groupby(batch["x"].map(len)).indices.items():
+                distance[at] = metric(np.stack(batch["x"].iloc[at]), np.stack(batch["o"].iloc[at]))
+            yield batch.drop(columns="o").assign(distance=distance)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("o").schema)
+    return rows.mapInPandas(run, f"{schema}, distance double")
 
 
 def ridge(x: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
-    """Weighted ridge regression with intercept; solved in the smaller of rows and columns."""
-    total = w.sum()
-    mx, my = (w @ x) / total, (w @ y) / total
-    root = np.sqrt(w)[:, None]
-    xc, yc = (x - mx) * root, (y - my) * root[:, 0]
-    n, d = xc.shape
-    if d <= n:
-        beta = np.linalg.solve(xc.T @ xc + alpha * np.eye(d), xc.T @ yc)
-    else:
-        beta = xc.T @ np.linalg.solve(xc @ xc.T + alpha * np.eye(n), yc)
-    return beta, float(my - mx @ beta)
+    """Weighted ridge regression with intercept."""
+    xc, yc, mx, my = M_.centred(M_.factor(x, y, w), 1)
+    beta = M_.ridge(alpha)(xc, yc)[:, 0]
+    return beta, float(my[0] - mx @ beta)
 
 
 def _column_of(index: int, width: int) -> tuple[int, str]:
@@ -133,52 +166,136 @@ def _column_of(index: int, width: int) -> tuple[int, str]:
     return index // WIDTH, C.SPACE_STEP[index % WIDTH]
 
 
-def _fit_one(group: pd.DataFrame, settings: list[tuple[float, int | None, int]], max_length: int, label: int,
-             alpha: float, rank_alpha: float) -> pd.DataFrame:
-    """All settings of one instance: samples are a prefix of the same draws."""
-    group = group.sort_values("sample")
-    x_all = np.stack(group["x"].to_numpy())
-    y_all = group["p1"].to_numpy() if label == 1 else 1.0 - group["p1"].to_numpy()
-    distance = group["distance"].to_numpy()
-    columns = [_column_of(i, x_all.shape[1]) for i in range(x_all.shape[1])]
-    parts = []
-    for width, complexity, n in settings:
-        x, y = x_all[:n], y_all[:n]
-        scale = width * math.sqrt(max_length * WIDTH + 1)
-        w = np.sqrt(np.exp(-(distance[:n] ** 2) / scale ** 2))
-        kept = np.arange(x.shape[1])
-        if complexity is not None and complexity < len(kept):
-            rank = np.abs(ridge(x, y, w, rank_alpha)[0] * x[0])
-            kept = np.sort(np.argsort(-rank, kind="stable")[:complexity])
-        beta, intercept = ridge(x[:, kept], y, w, alpha)
-        fitted = x[:, kept] @ beta + intercept
-        spread = float(w @ (y - (w @ y) / w.sum()) ** 2)
-        r2 = 1.0 - float(w @ (y - fitted) ** 2) / spread if spread > 0 else 0.0
-        parts.append(pd.DataFrame({
-            "data_date": group["data_date"].iloc[0], "id": group["id"].iloc[0], "label": label,
-            "kernel_width": width, "complexity": len(kept), "n_samples": len(y),
-            "step": [columns[i][0] for i in kept], "feature": [columns[i][1] for i in kept], "weight": beta,
-            "x0": x[0, kept], "intercept": intercept, "r2": r2, "local_pred": fitted[0], "real_pred": y[0]}))
-    return pd.concat(parts, ignore_index=True)
+ALL_SAMPLES = 2 ** 31 - 1  # a setting may ask for a prefix of the samples
+PART_SCHEMA = ("data_date date, id string, first int, kernel_width double, n int, width int, data binary, origin binary, "
+               "low double, high double")
 
 
-ALL_SAMPLES = 2 ** 31 - 1  # a setting may ask for a prefix of the samples
+def kernel_of(distance: np.ndarray, width: float) -> np.ndarray:
+    """Exponential kernel."""
+    return np.sqrt(np.exp(-(distance * distance) / (width * width)))
 
 
-def local_linear_fit(design: DataFrame, max_length: int, settings: list[tuple[float, int | None, int]] | None = None,
-                     label: int = 1, alpha: float = 1.0, rank_alpha: float = 0.01) -> DataFrame:
-    """Weighted ridge fit of the probability per instance, for each ``(kernel width, complexity, samples)``.
+def _parts(group: pd.DataFrame, ends: list[int], widths: list[float], scale: float, kernel: Callable) -> pd.DataFrame:
+    """A block of samples, cut where a setting's prefix ends, as factors: one per kernel width where the samples are more than the columns,
+    else the samples themselves, which all widths share."""
+    group = group.sort_values("sample")
+    x, y, distance, sample = np.stack(group["x"].to_numpy()), *(group[c].to_numpy(float) for c in ("p1", "distance")), group["sample"].to_numpy()
+    out = []
+    for at in np.split(np.arange(len(sample)), np.searchsorted(sample, ends)):
+        if not len(at):
+            continue
+        origin = np.append(x[at[0]], y[at[0]]).tobytes() if sample[at[0]] == 0 else None
+        common = {"data_date": group["data_date"].iloc[0], "id": group["id"].iloc[0], "first": int(sample[at[0]]), "n": len(at),
+                  "width": x.shape[1], "low": float(y[at].min()), "high": float(y[at].max())}
+        if len(at) <= x.shape[1] + 2:
+            data = [(None, np.column_stack([distance[at], x[at], y[at]]))]
+        else:
+            data = [(w, M_.factor(x[at], y[at], kernel(distance[at], w * scale))) for w in widths]
+        out += [{**common, "kernel_width": w, "data": d.tobytes(), "origin": origin if i == 0 else None} for i, (w, d) in enumerate(data)]
+    return pd.DataFrame(out)[["data_date", "id", "first", "kernel_width", "n", "width", "data", "origin", "low", "high"]]
+
+
+class _Fits:
+    """Moments of one instance's samples so far, and the fits of the settings whose prefix is complete."""
+
+    def __init__(self, key: tuple, settings: list, max_length: int, kernel: Callable, options: dict):
+        self.key, self.settings, self.options, self.kernel = key, settings, options, kernel
+        self.scale = math.sqrt(max_length * WIDTH + 1)
+        self.widths = sorted({w for w, _, _ in settings})
+        self.state: dict[float, np.ndarray] = {}
+        self.n, self.low, self.high, self.origin = 0, math.inf, -math.inf, None
+
+    def add(self, row) -> None:
+        if row.origin is not None:
+            self.origin = np.frombuffer(row.origin)
+        data = np.frombuffer(row.data).reshape(-1, row.width + 2)
+        for w in self.widths if pd.isna(row.kernel_width) else [row.kernel_width]:
+            new = data if not pd.isna(row.kernel_width) else M_.factor(data[:, 1:-1], data[:, -1], self.kernel(data[:, 0], w * self.scale))
+            self.state[w] = M_.merged([self.state[w], new]) if w in self.state else new
+        if pd.isna(row.kernel_width) or row.kernel_width == self.widths[0]:
+            self.n += row.n
+            self.low, self.high = min(self.low, row.low), max(self.high, row.high)
+
+    def labels(self) -> list[int]:
+        if self.options["top_labels"] is None:
+            return list(self.options["labels"])
+        p = self.origin[-1]
+        return [label for _, label in sorted([(p, 1), (1 - p, 0)], reverse=True)][:self.options["top_labels"]]
+
+    def fitted(self, settings: list) -> Iterator[pd.DataFrame]:
+        """One frame per setting and label. Both labels are right-hand sides of one factorisation."""
+        x0, y0, labels, o = self.origin[:-1], self.origin[-1], self.labels(), self.options
+        sign = np.array([1.0 if label == 1 else -1.0 for label in labels])
+        columns = [_column_of(i, len(x0)) for i in range(len(x0))]
+        for width, complexity, _ in settings:
+            x, y, mx, my = M_.centred(self.state[width], 1)
+            y, my = y * sign, np.where(sign > 0, my, 1 - my)
+            kept = M_.selected(x, y[:, 0], x0, complexity, o["selection"], o["rank_alpha"])
+            beta = o["regressor"](x[:, kept], y)
+            intercept = my - mx[kept] @ beta
+            rest = y - x[:, kept] @ beta
+            spread = (y * y).sum(axis=0)
+            for i, label in enumerate(labels):
+                yield pd.DataFrame({
+                    "data_date": self.key[0], "id": self.key[1], "label": label, "kernel_width": width, "complexity": len(kept),
+                    "n_samples": self.n, "step": [columns[j][0] for j in kept], "feature": [columns[j][1] for j in kept],
+                    "weight": beta[:, i], "x0": x0[kept], "intercept": intercept[i],
+                    "r2": 1 - (rest[:, i] @ rest[:, i]) / spread[i] if spread[i] > 0 else 0.0,
+                    "local_pred": x0[kept] @ beta[:, i] + intercept[i], "real_pred": y0 if label == 1 else 1 - y0,
+                    "predicted_value": y0, "min_value": self.low, "max_value": self.high})
+
 
-    A group is one instance: its samples, each a row of ``17 * max_len + 1`` numbers, whatever the data size.
+def local_linear_fit(design: DataFrame, max_length: int, settings: list[tuple[float, int | None, int]] | None = None,
+                     label: int | tuple[int, ...] = 1, alpha: float = 1.0, rank_alpha: float = 0.01, selection: str = "highest_weights",
+                     regressor: M_.Regressor | None = None, kernel: Callable[[np.ndarray, float], np.ndarray] = kernel_of,
+                     top_labels: int | None = None, mode: str = "classification") -> DataFrame:
+    """Weighted linear fit of the probability per instance, for each ``(kernel width, complexity, samples)``.
+
+    Blocks of samples become mergeable moments in the tasks that hold them. The parts of an instance come to one task in order of their samples and
+    are merged one by one: the state is at most as many rows as columns, whatever the number of samples, and is solved wherever the
+    prefix of a setting ends. Columns are chosen by ``selection`` (see ``moments.selected``), the weights come from ``regressor`` (ridge
+    with ``alpha``). Labels are given, or the ``top_labels`` most probable ones of the instance; ``mode="regression"`` explains the
+    value itself, with its opposite as label 0, and adds the predicted value and the range over the samples.
     """
     settings = settings or [(Params.kernel_width, None, ALL_SAMPLES)]
-    wanted = max(n for _, _, n in settings)
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        return _fit_one(group, settings, max_length, label, alpha, rank_alpha)
-
-    return (design.where(F.col("sample") < wanted).select(*SAMPLE_KEYS, "x", "p1", "distance")
-            .groupBy(*ID_KEYS).applyInPandas(fit, FIT_SCHEMA))
+    labels = (1, 0) if mode == "regression" else (label,) if isinstance(label, int) else tuple(label)
+    options = {"labels": labels, "top_labels": top_labels, "selection": selection, "rank_alpha": rank_alpha,
+               "regressor": regressor or M_.ridge(alpha)}
+    ends = sorted({n for _, _, n in settings})
+    widths, scale = sorted({w for w, _, _ in settings}), math.sqrt(max_length * WIDTH + 1)
+    columns = [c.split()[0] for c in FIT_SCHEMA.split(", ")] + (["predicted_value", "min_value", "max_value"] if mode == "regression" else [])
+
+    def parts(group: pd.DataFrame) -> pd.DataFrame:
+        return _parts(group, ends, widths, scale, kernel)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, todo = None, []
+
+        def solved(until: float) -> list[pd.DataFrame]:
+            now = [s for s in todo if s[2] <= until]
+            todo[:] = [s for s in todo if s[2] > until]
+            return [f[columns] for f in own.fitted(now)] if now else []
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                key, out = (row.data_date, row.id), []
+                if own is None or own.key != key:
+                    out += solved(math.inf) if own else []
+                    own, todo = _Fits(key, settings, max_length, kernel, options), list(settings)
+                else:
+                    out += solved(row.first)
+                own.add(row)
+                if out:
+                    yield pd.concat(out, ignore_index=True)
+        if own and todo:
+            yield pd.concat(solved(math.inf), ignore_index=True)
+
+    made = (design.where(F.col("sample") < ends[-1]).select(*BLOCK_KEYS, "sample", "x", "p1", "distance")
+            .groupBy(*BLOCK_KEYS).applyInPandas(parts, PART_SCHEMA))
+    ordered = made.repartition(shuffle_width(design), *ID_KEYS).sortWithinPartitions(*ID_KEYS, "first", "kernel_width")
+    extra = ", predicted_value double, min_value double, max_value double" if mode == "regression" else ""
+    return ordered.mapInPandas(run, FIT_SCHEMA + extra)
 
 
 def single_feature_fit(design: DataFrame, max_length: int, width: float = Params.kernel_width,
@@ -271,18 +388,19 @@ def explain_summary(explained: DataFrame) -> DataFrame:
 
 
 def explain_instances(instances: DataFrame, stats: DataFrame, freq: DataFrame, hierarchy: DataFrame,
-                      model, max_length: int, params: Params = Params(), complexity: int | None = None, label: int = 1,
-                      score: Callable = M.score) -> DataFrame:
-    """Explanations of a table of instances (explainer rows)."""
+                      model, max_length: int, params: Params = Params(), complexity: int | None = None, label: int | tuple[int, ...] = 1,
+                      score: Callable = M.score, metric: Metric = "euclidean", **fit) -> DataFrame:
+    """Explanations of a table of instances (explainer rows). ``fit`` goes to ``local_linear_fit``: selection, regressor, kernel,
+    top_labels, mode."""
     samples = neighborhood(instances, stats, freq, hierarchy, params.samples, params.seed)
-    return local_linear_fit(design_rows(samples, stats, model, score), max_length,
-                            [(params.kernel_width, complexity, params.samples)], label)
+    return local_linear_fit(design_rows(samples, stats, model, score, metric), max_length,
+                            [(params.kernel_width, complexity, params.samples)], label, **fit)
 
 
 def explain_sweep(instances: DataFrame, stats: DataFrame, freq: DataFrame, hierarchy: DataFrame,
                   model, max_length: int, kernels: list[float], complexities: list[int], samples: list[int],
-                  seed: int = Params.seed, label: int = 1, score: Callable = M.score) -> DataFrame:
+                  seed: int = Params.seed, label: int | tuple[int, ...] = 1, score: Callable = M.score, metric: Metric = "euclidean", **fit) -> DataFrame:
     """Every combination of kernel width, complexity and sample size, from one set of draws."""
     drawn = neighborhood(instances, stats, freq, hierarchy, max(samples), seed)
-    return local_linear_fit(design_rows(drawn, stats, model, score), max_length,
-                            list(itertools.product(kernels, complexities, samples)), label)
+    return local_linear_fit(design_rows(drawn, stats, model, score, metric), max_length,
+                            list(itertools.product(kernels, complexities, samples)), label, **fit)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from propensight import constants as C
 from propensight.functions.prefix import prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer
-from propensight.operators import model as Mo, perturb as Pe, shapley as Sh, surrogate as Su
+from propensight.operators import model as Mo, moments as Mm, perturb as Pe, shapley as Sh, surrogate as Su
 
 DEPT, CAT, SUB = C.CODED_COLUMNS
 
@@ -269,3 +269,115 @@ def test_no_row_carries_the_past(small, capsys):
     long = small.space.where("step = 0").withColumn("step", F.lit(77))
     with pytest.raises(Exception, match="no rows for step 77"):
         Sh.shap_instances(long, small.background, whole_records).collect()
+
+
+# ---- mergeable moments
+
+@pytest.mark.parametrize("n, d", [(400, 9), (30, 40)])
+def test_merged_moments_equal_one_fit(n, d):
+    rng = np.random.default_rng(n)
+    x, y, w = rng.normal(size=(n, d)), rng.normal(size=n), rng.uniform(0.1, 1, n)
+    state = Mm.factor(x[:7], y[:7], w[:7])
+    for i in range(7, n, 50):
+        state = Mm.merged([state, Mm.factor(x[i:i + 50], y[i:i + 50], w[i:i + 50])])
+    assert len(state) <= max(d + 2, n if n < d + 2 else 0)
+    xc, yc, mx, my = Mm.centred(state, 1)
+    full = np.hstack([x, np.ones((n, 1))])
+    want = np.linalg.solve(full.T @ (w[:, None] * full) + np.diag([0.7] * d + [0.0]), full.T @ (w * y))
+    beta = Mm.ridge(0.7)(xc, yc)[:, 0]
+    assert np.allclose(beta, want[:-1], atol=1e-8) and abs(my[0] - mx @ beta - want[-1]) < 1e-8
+    assert np.allclose(Mm.ridge(0.7)(xc, np.hstack([yc, -yc])), np.column_stack([beta, -beta]))
+
+
+def weighted(seed, n=60, d=8):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x[:, 3] = x[:, 0] + 0.1 * rng.normal(size=n)
+    x[:, 6] = 0.0
+    y, w = x @ rng.normal(size=d) + rng.normal(size=n), rng.uniform(0.1, 1, n)
+    mean = lambda v: (w @ v) / w.sum()
+    return Mm.centred(Mm.factor(x, y, w), 1)[:2], np.sqrt(w)[:, None] * (x - mean(x)), np.sqrt(w) * (y - mean(y))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forward_selection_equals_fits_of_every_candidate(seed):
+    (x, y), xw, yw = weighted(seed)
+    chosen = []
+    for _ in range(6):
+        def loss(j):
+            own = xw[:, chosen + [j]]
+            return ((yw - own @ np.linalg.lstsq(own, yw, rcond=None)[0]) ** 2).sum()
+        chosen.append(min((j for j in range(8) if j not in chosen and j != 6), key=loss))
+    assert Mm.forward(x, y[:, 0], 6) == chosen
+    assert len(Mm.forward(x, y[:, 0], 8)) == 7                 # an empty column gains nothing
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lasso_path_keeps_its_conditions(seed):
+    (x, y), xw, yw = weighted(seed)
+    path = Mm.lasso_path(x, y[:, 0])
+    seen = []
+    for beta in path[1:]:
+        c = xw.T @ (yw - xw @ beta)
+        penalty = np.abs(c).max()
+        on = np.abs(beta) > 1e-12
+        assert np.allclose(c[on], penalty * np.sign(beta[on]), atol=1e-7) or penalty < 1e-7
+        seen.append(penalty)
+        if penalty > 1e-6:
+            assert np.allclose(Mm.lasso(penalty, 20_000)(x, y)[:, 0], beta, atol=1e-5)
+    assert seen == sorted(seen, reverse=True) and seen[-1] < 1e-6
+    least = np.linalg.lstsq(xw, yw, rcond=None)[0]
+    assert np.allclose(xw @ path[-1], xw @ least, atol=1e-6)
+    kept = Mm.selected(x, y[:, 0], np.ones(8), 3, "lasso_path", 0.01)
+    assert len(kept) <= 3 and any(set(np.flatnonzero(b)) == set(kept) for b in path)
+
+
+@pytest.mark.parametrize("block", [3, 7, 250])
+def test_fits_do_not_depend_on_blocks(small, block):
+    d = small.max_length * 17 + 1
+    settings = list(itertools.product([0.25, 0.75], [None, 4], [6, 11, 20]))
+    narrow = small.design.withColumn("x", F.slice("x", 1, 5)).where("size(x) = 5")        # more samples than columns
+    for design in (small.design, narrow):
+        cut = design.withColumn("block", F.floor(F.col("sample") / block).cast("int"))
+        fits = Su.local_linear_fit(cut, small.max_length, settings, selection="auto").toPandas()
+        rows = design.orderBy("id", "sample").toPandas()
+        for one in sorted(rows["id"].unique())[:3]:
+            own = rows[rows.id == one]
+            for width, complexity, n in settings:
+                x, y = np.stack(own["x"])[:n], own["p1"].to_numpy()[:n]
+                w = np.sqrt(np.exp(-own["distance"].to_numpy()[:n] ** 2 / (width ** 2 * d)))
+                mine = fits[(fits.id == one) & (fits.kernel_width == width) & (fits.n_samples == n)]
+                mine = mine[mine.complexity == (x.shape[1] if complexity is None else complexity)]
+                if complexity is None:
+                    beta, intercept = Su.ridge(x, y, w, 1.0)
+                    assert np.allclose(mine["weight"], beta, atol=1e-8) and np.allclose(mine["intercept"], intercept, atol=1e-8)
+                    fitted = x @ beta + intercept
+                    r2 = 1 - w @ (y - fitted) ** 2 / (w @ (y - (w @ y) / w.sum()) ** 2)
+                    assert mine["r2"].iloc[0] == pytest.approx(r2) and mine["local_pred"].iloc[0] == pytest.approx(fitted[0])
+                else:
+                    assert len(mine) <= 4
+
+
+def test_labels_modes_and_hooks(small):
+    settings = [(0.75, None, 20)]
+    both = Su.local_linear_fit(small.design, small.max_length, settings, label=(1, 0)).toPandas()
+    one, zero = (both[both.label == k].sort_values(["id", "step", "feature"]) for k in (1, 0))
+    assert np.allclose(one["weight"], -zero["weight"].to_numpy()) and np.allclose(one["local_pred"], 1 - zero["local_pred"].to_numpy())
+    top = Su.local_linear_fit(small.design, small.max_length, settings, top_labels=1).toPandas()
+    assert (top["real_pred"] >= 0.5).all() and top.groupby("id")["label"].nunique().max() == 1
+    flat = Su.local_linear_fit(small.design, small.max_length, settings, kernel=lambda d, w: np.ones(len(d))).toPandas()
+    assert not np.allclose(flat.sort_values(["id", "step", "feature"])["weight"].to_numpy(), one["weight"])
+    few = small.samples.where("sample < 6")
+    told = Su.design_rows(few, small.stats, small.scorer, metric="manhattan").select("id", "sample", "distance")
+    asked = Su.design_rows(few, small.stats, small.scorer, metric=lambda x, o: np.abs(x - o).sum(axis=1)).select("id", "sample", F.col("distance").alias("d"))
+    gap = told.join(asked, ["id", "sample"]).agg(F.max(F.abs(F.col("distance") - F.col("d"))), F.count("*")).first()
+    assert gap[0] < 1e-9 and gap[1] == told.count() > 0
+
+
+def test_blocks_are_fitted_where_they_were_made(small, capsys):
+    Su.explain_instances(small.space, small.stats, small.frequencies, small.hierarchy, small.scorer, small.max_length).explain()
+    plan = capsys.readouterr().out
+    made, merged = plan.index("FlatMapGroupsInPandas"), plan.index("MapInPandas")
+    assert merged < made                                       # from the top: merge, one exchange of factors, blocks
+    assert plan[merged:made].count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in plan[made:plan.index("Generate explode(sequence", made)].replace("BroadcastExchange", "").split("Join")[0]
