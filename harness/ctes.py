@@ -218,17 +218,31 @@ CTES["hier"] = f"""
 SELECT CAST({DEPT} AS INTEGER) AS dept, CAST({CAT} AS INTEGER) AS cat,
        list_sort(list(DISTINCT CAST({SUB} AS INTEGER))) AS subcats FROM space GROUP BY 1, 2"""
 CTES["depts"] = "SELECT dept, list_sort(list(cat)) AS cats FROM hier GROUP BY dept"
-CTES["cond_cat"] = f"""
-SELECT step, dept, cat, sum(cnt) OVER (PARTITION BY step, dept ORDER BY cat ROWS UNBOUNDED PRECEDING) - cnt AS c_lo,
-       sum(cnt) OVER (PARTITION BY step, dept ORDER BY cat ROWS UNBOUNDED PRECEDING) AS c_hi,
-       sum(cnt) OVER (PARTITION BY step, dept) AS total
-FROM hier JOIN freq0 ON feature = '{CAT}' AND value = cat"""
-CTES["cond_sub"] = f"""
-SELECT step, dept, cat, sub,
-       sum(cnt) OVER (PARTITION BY step, dept, cat ORDER BY sub ROWS UNBOUNDED PRECEDING) - cnt AS c_lo,
-       sum(cnt) OVER (PARTITION BY step, dept, cat ORDER BY sub ROWS UNBOUNDED PRECEDING) AS c_hi,
-       sum(cnt) OVER (PARTITION BY step, dept, cat) AS total
-FROM (SELECT dept, cat, unnest(subcats) AS sub FROM hier) JOIN freq0 ON feature = '{SUB}' AND value = sub"""
+def alias_sql(name: str, counts: str, by: str) -> None:
+    """Alias tables of the distributions ``by`` of ``counts`` (value, cnt): cells, the share each keeps, and what fills the rest."""
+    CTES[f"{name}_spare"] = f"""
+SELECT *, cnt * size - total AS spare, cnt * size > total AS heavy FROM (
+  SELECT {by}, value, cnt, count(*) OVER p AS size, CAST(sum(cnt) OVER p AS BIGINT) AS total,
+         row_number() OVER (PARTITION BY {by} ORDER BY value) - 1 AS cell
+  FROM ({counts}) WINDOW p AS (PARTITION BY {by}))"""
+    CTES[f"{name}_axis"] = f"""
+SELECT *, CAST(sum(abs(spare)) OVER (PARTITION BY {by}, heavy ORDER BY value ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+       lead(value) OVER (PARTITION BY {by}, heavy ORDER BY value) AS following FROM {name}_spare"""
+    CTES[f"{name}_light"] = f"""
+SELECT *, first_value(CASE WHEN heavy THEN value END IGNORE NULLS) OVER (
+    PARTITION BY {by} ORDER BY CASE WHEN heavy THEN upto ELSE upto + spare END, heavy DESC, value
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filler,
+  first_value(CASE WHEN NOT heavy THEN upto END IGNORE NULLS) OVER (
+    PARTITION BY {by} ORDER BY upto, heavy DESC, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS used FROM {name}_axis"""
+    CTES[name] = f"""
+SELECT {by}, cell, size, value, CASE WHEN heavy THEN total - (used - upto) ELSE total + spare END / total AS keep,
+       CASE WHEN heavy THEN following ELSE filler END AS other FROM {name}_light"""
+
+
+alias_sql("alias", "SELECT * FROM freq0", "step, feature")
+alias_sql("alias_cat", f"SELECT step, dept, cat AS value, cnt FROM hier JOIN freq0 ON feature = '{CAT}' AND value = cat", "step, dept")
+alias_sql("alias_sub", f"""SELECT step, dept, cat, sub AS value, cnt FROM (SELECT dept, cat, unnest(subcats) AS sub FROM hier)
+  JOIN freq0 ON feature = '{SUB}' AND value = sub""", "step, dept, cat")
 _wide_stat = lambda f: (f"max(CASE WHEN feature = '{f}' THEN mean END) AS {f}_mean, "
                            f"max(CASE WHEN feature = '{f}' THEN std END) AS {f}_std")
 CTES["wide_stats"] = (f"SELECT step, {', '.join(_wide_stat(f) for f in C.SPACE_NUMERIC)} FROM stats "
@@ -242,29 +256,27 @@ def _categorical(p: str, frame: str, keep: str) -> None:
     """Categorical draws, then consistent products and pages, over ``frame``."""
     us = ", ".join(f"{u(f)} AS u_{f}" for f in C.SPACE_CATEGORICAL)
     CTES[f"{p}_u"] = f"SELECT *, {us} FROM {frame}"
-    joins = " ".join(f"LEFT JOIN freq q_{f} ON q_{f}.feature = '{f}' AND q_{f}.step = t.step "
-                     f"AND floor(t.u_{f} * q_{f}.total) >= q_{f}.c_lo AND floor(t.u_{f} * q_{f}.total) < q_{f}.c_hi"
+    joins = " ".join(f"LEFT JOIN alias q_{f} ON q_{f}.feature = '{f}' AND q_{f}.step = t.step AND q_{f}.cell = floor(t.u_{f} * q_{f}.size)"
                      for f in C.SPACE_CATEGORICAL)
-    values = ", ".join(f"coalesce(q_{f}.value, {'t.' + f if keep else '0e0'}) AS {f}" for f in C.SPACE_CATEGORICAL)
+    at = lambda q, x: f"CASE WHEN {x} * {q}.size - floor({x} * {q}.size) < {q}.keep THEN {q}.value ELSE {q}.other END"
+    values = ", ".join(f"coalesce({at(f'q_{f}', f't.u_{f}')}, {'t.' + f if keep else '0e0'}) AS {f}" for f in C.SPACE_CATEGORICAL)
     drop = ", ".join([f"u_{f}" for f in C.SPACE_CATEGORICAL] + (C.SPACE_CATEGORICAL if keep else []))
     CTES[f"{p}_drawn"] = f"SELECT t.* EXCLUDE ({drop}), {values} FROM {p}_u t {joins}"
     CTES[f"{p}_cat"] = f"""
 SELECT t.* REPLACE (CASE WHEN list_contains(s.cats, CAST(t.{CAT} AS INTEGER)) THEN t.{CAT}
          WHEN s.cats IS NULL THEN t.{CAT}
-         ELSE coalesce(CAST(k.cat AS DOUBLE), CAST(s.cats[CAST(floor(t.uc * len(s.cats)) AS INTEGER) + 1] AS DOUBLE))
+         ELSE coalesce(CAST({at('k', 't.uc')} AS DOUBLE), CAST(s.cats[CAST(floor(t.uc * len(s.cats)) AS INTEGER) + 1] AS DOUBLE))
        END AS {CAT})
 FROM (SELECT *, {u(CAT, 1)} AS uc, {u(SUB, 1)} AS us, {u('unique_pages', 1)} AS up FROM {p}_drawn) t
 LEFT JOIN depts s ON s.dept = t.{DEPT}
-LEFT JOIN cond_cat k ON k.step = t.step AND k.dept = t.{DEPT} AND floor(t.uc * k.total) >= k.c_lo
-     AND floor(t.uc * k.total) < k.c_hi"""
+LEFT JOIN alias_cat k ON k.step = t.step AND k.dept = t.{DEPT} AND k.cell = floor(t.uc * k.size)"""
     CTES[f"{p}_prod"] = f"""
 SELECT t.* REPLACE (CASE WHEN list_contains(h.subcats, CAST(t.{SUB} AS INTEGER)) THEN t.{SUB}
          WHEN h.subcats IS NULL THEN t.{SUB}
-         ELSE coalesce(CAST(k.sub AS DOUBLE),
+         ELSE coalesce(CAST({at('k', 't.us')} AS DOUBLE),
                        CAST(h.subcats[CAST(floor(t.us * len(h.subcats)) AS INTEGER) + 1] AS DOUBLE)) END AS {SUB})
 FROM {p}_cat t LEFT JOIN hier h ON h.dept = t.{DEPT} AND h.cat = t.{CAT}
-LEFT JOIN cond_sub k ON k.step = t.step AND k.dept = t.{DEPT} AND k.cat = t.{CAT}
-     AND floor(t.us * k.total) >= k.c_lo AND floor(t.us * k.total) < k.c_hi"""
+LEFT JOIN alias_sub k ON k.step = t.step AND k.dept = t.{DEPT} AND k.cat = t.{CAT} AND k.cell = floor(t.us * k.size)"""
     CTES[f"{p}_pages"] = f"""
 SELECT * REPLACE (CASE WHEN nb_pages = 1 THEN 1e0
          WHEN nb_pages > 1 AND (unique_pages > nb_pages OR unique_pages = 1) THEN floor(up * (nb_pages - 1)) + 2e0

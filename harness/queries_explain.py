@@ -199,6 +199,12 @@ def _(s: Stage) -> DataFrame:
     return Pe.draw_categorical(_frame(s), s.frequencies, seed=SEED).select(*_SAMPLE, *C.SPACE_CATEGORICAL)
 
 
+@query("alias_tables", f"SELECT step, feature, CAST(cell AS INTEGER) AS cell, value, {r6('keep')} AS keep, CASE WHEN keep < 1 THEN other END AS other FROM alias")
+def _(s: Stage) -> DataFrame:
+    cells = Pe.alias_tables(s.frequencies, ["step", "feature"])
+    return cells.select("step", "feature", "cell", "value", "keep", F.when(F.col("keep") < 1, F.col("other")).alias("other"))
+
+
 @query("resample_hierarchy", f"SELECT {', '.join(_SAMPLE)}, {cells(C.CODED_COLUMNS)} FROM nb_prod")
 def _(s: Stage) -> DataFrame:
     drawn = Pe.draw_categorical(_frame(s), s.frequencies, C.CODED_COLUMNS, SEED)

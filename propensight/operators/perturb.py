@@ -15,7 +15,6 @@ from propensight.operators.sequences import ID_KEYS
 from propensight.operators.stats import FIXED_STEP
 
 DEPT, CAT, SUB = C.CODED_COLUMNS
-SLOTS = 64
 BLOCK = 250
 
 
@@ -77,59 +76,86 @@ def draw_normal(frame: DataFrame, stats: DataFrame, around: str | None = None, s
     return hashed.select(*kept, *[v.alias(f) for f, v in out.items()])
 
 
-def _by_slot(freq: DataFrame) -> DataFrame:
-    """Values copied to the slots of [0, 1) they can be drawn from, one slot of slack on both sides."""
-    low = F.greatest(F.floor(F.col("c_lo") * SLOTS / F.col("total")) - 1, F.lit(0))
-    high = F.least(F.floor(F.col("c_hi") * SLOTS / F.col("total")) + 1, F.lit(SLOTS - 1))
-    return freq.withColumn("_slot", F.explode(F.sequence(low, high)))
+def alias_tables(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Walker's tables of the distributions ``by``: as many cells as values, each of equal size, cell ``cell`` being its own ``value`` up to the
+    share ``keep`` and ``other`` beyond, so that a draw is one look at one cell.
 
-
-def _pick(frame: DataFrame, table: DataFrame, u: str, into: str, where: Column | None = None) -> DataFrame:
-    """Left join of the value of a step's distribution at column ``u``, under the name ``into``.
-
-    An equality join on step and slot leaves a handful of candidates, of which exactly one covers ``u``; the
-    slots also spread a popular step over the tasks when the table is too big to broadcast. The value is null
-    where the step has no distribution or ``where`` does not hold.
+    With ``n`` values of total count ``t``, a value of count ``c`` lacks ``t - n c`` of a cell or has the opposite to spare. Both kinds
+    stand in order of their values on one axis of running sums. A light value's rest is filled by the first heavy one whose sum is
+    beyond what lighter ones have used; a heavy value keeps what the first light value to pass its sum leaves of it, and the next heavy one
+    fills its own rest. All numbers are integers; a group is the values of one distribution.
     """
-    named = table.select(F.col("step").alias(f"{into}_step"), F.col("_slot").alias(f"{into}_slot"),
-                         F.col("c_lo").alias(f"{into}_lo"), F.col("c_hi").alias(f"{into}_hi"),
-                         F.col("total").alias(f"{into}_total"), F.col("value").alias(into))
-    rank = F.floor(F.col(u) * F.col(f"{into}_total"))
-    hit = ((F.col("step") == F.col(f"{into}_step")) & (F.floor(F.col(u) * SLOTS) == F.col(f"{into}_slot"))
-           & (rank >= F.col(f"{into}_lo")) & (rank < F.col(f"{into}_hi")))
-    return frame.join(named, hit if where is None else hit & where, "left")
+    whole, ordered = W.partitionBy(*by), W.partitionBy(*by).orderBy("value")
+    n, t = F.count("*").over(whole), F.sum("cnt").over(whole)
+    spare = F.col("cnt") * F.col("_n") - F.col("_t")
+    kinds = W.partitionBy(*by, "_heavy").orderBy("value")
+    rows = (counts.select(*by, "value", "cnt").withColumns({"_n": n, "_t": t, "cell": F.row_number().over(ordered) - 1})
+            .withColumn("_spare", spare).withColumn("_heavy", F.col("_spare") > 0)
+            .withColumns({"_end": F.sum(F.abs("_spare")).over(kinds.rowsBetween(W.unboundedPreceding, 0)),
+                          "_next": F.lead("value").over(kinds)}))
+    # From the far end of the axis the last one seen is the next one; the frames only grow, so a row costs the same in any group.
+    heavy, light = F.col("_heavy"), ~F.col("_heavy")
+    start = F.when(heavy, F.col("_end")).otherwise(F.col("_end") + F.col("_spare"))
+    back = W.partitionBy(*by).orderBy(start.desc(), heavy.cast("int").asc(), F.col("value").desc()).rowsBetween(W.unboundedPreceding, 0)
+    past = W.partitionBy(*by).orderBy(F.col("_end").desc(), heavy.cast("int").asc(), F.col("value").desc()).rowsBetween(W.unboundedPreceding, 0)
+    filled = rows.withColumns({"_by": F.last(F.when(heavy, F.col("value")), ignorenulls=True).over(back),
+                               "_used": F.last(F.when(light, F.col("_end")), ignorenulls=True).over(past)})
+    kept = F.when(heavy, F.col("_t") - (F.col("_used") - F.col("_end"))).otherwise(F.col("_t") + F.col("_spare"))
+    return filled.select(*by, "cell", "value", (kept / F.col("_t")).alias("keep"), F.when(heavy, F.col("_next")).otherwise(F.col("_by")).alias("other"))
+
+
+def alias_arrays(counts: DataFrame, by: list[str]) -> DataFrame:
+    """One row per distribution with its ``cells`` in order."""
+    return alias_tables(counts, by).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("cell", "value", "keep", "other"))).alias("cells"))
+
+
+def _drawn(cells: str, u: str) -> Column:
+    """The value at a position in [0, 1) of a distribution; null where there is none."""
+    place = F.col(u) * F.size(cells)
+    cell = F.get(cells, F.floor(place).cast("int"))
+    return F.when(place - F.floor(place) < cell["keep"], cell["value"]).otherwise(cell["other"])
 
 
 def draw_categorical(frame: DataFrame, freq: DataFrame, features: list[str] = C.SPACE_CATEGORICAL,
                      seed: int = Params.seed) -> DataFrame:
-    """Draws by training frequency, independently per column. A step without values keeps the value it has."""
-    kept = [c for c in frame.columns if c not in features]
-    drawn = frame.select("*", *[rng.uniform(draw_key(seed, f)).alias(f"_u_{f}") for f in features])
-    slots = _by_slot(freq)
-    for f in features:
-        drawn = _pick(drawn, slots.where(F.col("feature") == f), f"_u_{f}", f"_v_{f}")
-    return drawn.select(*kept, *[(F.coalesce(f"_v_{f}", F.col(f)) if f in frame.columns else F.col(f"_v_{f}")).alias(f)
-                                 for f in features])
+    """Draws by training frequency, independently per column. A step without values keeps the value it has.
 
+    The distributions of a step are one row, so all columns are drawn after one join, which finds one row for each of the frame.
+    """
+    kept = [c for c in frame.columns if c not in features]
+    cells = alias_arrays(freq.where(F.col("feature").isin(features)), ["step", "feature"])
+    steps = cells.groupBy("step").agg(*[F.first(F.when(F.col("feature") == f, F.col("cells")), ignorenulls=True).alias(f"_c_{f}") for f in features])
+    drawn = frame.select("*", *[rng.uniform(draw_key(seed, f)).alias(f"_u_{f}") for f in features]).join(steps, "step", "left")
+    new = {f: _drawn(f"_c_{f}", f"_u_{f}") for f in features}
+    return drawn.select(*kept, *[(F.coalesce(v, F.col(f)) if f in frame.columns else v).alias(f) for f, v in new.items()])
 
-def _conditional(allowed: DataFrame, freq: DataFrame, feature: str, by: list[str], value: str) -> DataFrame:
-    """Running counts of the allowed values of a parent at each step, from the step's frequencies."""
-    seen = freq.where(F.col("feature") == feature).select("step", F.col("value").alias(value), "cnt")
-    group = W.partitionBy("step", *by)
-    running = F.sum("cnt").over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0))
-    return allowed.join(seen, value).select(
-        F.col("step").alias("_step"), *[F.col(c).alias(f"_{c}") for c in by], F.col(value).alias("_new"),
-        (running - F.col("cnt")).alias("c_lo"), running.alias("c_hi"), F.sum("cnt").over(group).alias("total"))
 
+def _any_of(values: str, u: str) -> Column:
+    return F.get(values, F.floor(F.col(u) * F.size(values)).cast("int")).cast("double")
 
-def _redraw(frame: DataFrame, table: DataFrame, on: Column, u: str, needed: Column) -> DataFrame:
-    rank = F.floor(F.col(u) * F.col("total"))
-    hit = on & (F.col("step") == F.col("_step")) & (rank >= F.col("c_lo")) & (rank < F.col("c_hi")) & needed
-    return frame.join(table, hit, "left")
 
+def _under(frame: DataFrame, column: str, known: DataFrame, parents: list[str], freq: DataFrame, u: str) -> DataFrame:
+    """Descend one level of the tree: a value of ``column`` that its parents do not have is drawn among their children, by the
+    children's frequencies at the step, or evenly where they have none.
 
-def _any_of(values: str, u: str) -> Column:
-    return F.get(values, F.floor(F.col(u) * F.size(values)).cast("int")).cast("double")
+    ``known`` has one row per node (``parents`` and the sorted ``children``). All joins are equalities that find at most one row: the node, the edge to
+    the value, and the node's distribution at the step.
+    """
+    rest = [c for c in frame.columns if c != column]
+    to = [f"_to_{p}" for p in parents]
+    renamed = known.select(*[F.col(p).alias(t) for p, t in zip(parents, to, strict=True)], "children")
+    edges = renamed.select(*to, F.explode("children").alias("_child"))
+    seen = freq.where(F.col("feature") == column).select("step", F.col("value").alias("_child"), "cnt")
+    nodes = alias_arrays(edges.join(seen, "_child").select("step", *to, F.col("_child").alias("value"), "cnt"), ["step", *to])
+    same = lambda table: [F.col(p) == table[t] for p, t in zip(parents, to, strict=True)]
+    edges = edges.withColumn("_is_child", F.lit(True))
+    nodes = nodes.withColumnRenamed("step", "_step")
+    found = (frame.join(renamed, same(renamed), "left").drop(*to)
+             .join(edges, [*same(edges), F.col(column) == F.col("_child")], "left").drop(*to))
+    found = found.join(nodes, [*same(nodes), F.col("step") == F.col("_step"), F.col("children").isNotNull(), F.col("_is_child").isNull()], "left")
+    new = F.coalesce(_drawn("cells", u), _any_of("children", u))
+    wrong = F.col("children").isNotNull() & F.col("_is_child").isNull()
+    return found.select(*rest, F.when(wrong, new).otherwise(F.col(column)).alias(column))
 
 
 def resample_hierarchy(frame: DataFrame, hierarchy: DataFrame, freq: DataFrame, seed: int = Params.seed) -> DataFrame:
@@ -142,36 +168,20 @@ def resample_hierarchy(frame: DataFrame, hierarchy: DataFrame, freq: DataFrame,
     columns = frame.columns
     rest = [c for c in columns if c not in C.CODED_COLUMNS]
     us = [f"_u_{f}" for f in C.CODED_COLUMNS]
-    depts = hierarchy.groupBy(F.col("dept").cast("double").alias("_dept")).agg(
-        F.sort_array(F.collect_set("cat")).alias("_cats"))
-    pairs = hierarchy.select(F.col("dept").cast("double").alias("dept"), F.col("cat").cast("double").alias("cat"),
-                             F.col("subcats").alias("_subs"))
-
-    seen = freq.where(F.col("feature") == DEPT).join(depts, F.col("value") == F.col("_dept"), "left_semi")
-    column = W.partitionBy("step")
-    running = F.sum("cnt").over(column.orderBy("value").rowsBetween(W.unboundedPreceding, 0))
-    seen = seen.select("step", "value", (running - F.col("cnt")).alias("c_lo"), running.alias("c_hi"),
-                       F.sum("cnt").over(column).alias("total"))
+    pairs = hierarchy.select(F.col("dept").cast("double").alias(DEPT), F.col("cat").cast("double").alias(CAT),
+                             F.col("subcats").cast("array<double>").alias("children"))
+    depts = pairs.groupBy(DEPT).agg(F.sort_array(F.collect_set(CAT)).alias("children"))
+
+    known = depts.select(F.col(DEPT).alias("_own"))
+    seen = freq.where(F.col("feature") == DEPT).join(known, F.col("value") == F.col("_own"), "left_semi")
+    cells = alias_arrays(seen, ["step"])
     drawn = frame.select("*", *[rng.uniform(draw_key(seed, f), 1).alias(f"_u_{f}") for f in C.CODED_COLUMNS])
-    drawn = drawn.join(depts.select(F.col("_dept").alias("_own")), F.col(DEPT) == F.col("_own"), "left")
-    drawn = _pick(drawn, _by_slot(seen), f"_u_{DEPT}", "_new_dept", where=F.col("_own").isNull())
-    drawn = drawn.select(*rest, *us, CAT, SUB, F.coalesce("_new_dept", F.col(DEPT)).alias(DEPT))
-
-    wrong = ~F.array_contains("_cats", F.col(CAT).cast("int"))
-    table = _conditional(pairs, freq, CAT, ["dept"], "cat")
-    drawn = drawn.join(depts, F.col(DEPT) == F.col("_dept"), "left").drop("_dept")
-    drawn = _redraw(drawn, table, F.col(DEPT) == F.col("_dept"), f"_u_{CAT}", wrong)
-    category = F.when(wrong, F.coalesce("_new", _any_of("_cats", f"_u_{CAT}"))).otherwise(F.col(CAT))
-    drawn = drawn.select(*rest, *us, DEPT, category.alias(CAT), SUB)
-
-    wrong = ~F.array_contains("_subs", F.col(SUB).cast("int"))
-    triples = pairs.select("dept", "cat", F.explode(F.col("_subs").cast("array<double>")).alias("subcat"))
-    table = _conditional(triples, freq, SUB, ["dept", "cat"], "subcat")
-    drawn = drawn.join(pairs, (F.col(DEPT) == F.col("dept")) & (F.col(CAT) == F.col("cat")), "left").drop("dept", "cat")
-    same = (F.col(DEPT) == F.col("_dept")) & (F.col(CAT) == F.col("_cat"))
-    drawn = _redraw(drawn, table, same, f"_u_{SUB}", wrong)
-    sub = F.when(wrong, F.coalesce("_new", _any_of("_subs", f"_u_{SUB}"))).otherwise(F.col(SUB))
-    return drawn.select(*rest, DEPT, CAT, sub.alias(SUB)).select(*columns)
+    drawn = drawn.join(known, F.col(DEPT) == F.col("_own"), "left").join(cells, "step", "left")
+    again = F.when(F.col("_own").isNull(), F.coalesce(_drawn("cells", f"_u_{DEPT}"), F.col(DEPT))).otherwise(F.col(DEPT))
+    drawn = drawn.select(*rest, *us, CAT, SUB, again.alias(DEPT))
+    drawn = _under(drawn, CAT, depts, [DEPT], freq, f"_u_{CAT}")
+    drawn = _under(drawn, SUB, pairs, [DEPT, CAT], freq, f"_u_{SUB}")
+    return drawn.select(*columns)
 
 
 def resample_pages(frame: DataFrame, seed: int = Params.seed) -> DataFrame:

@@ -381,3 +381,43 @@ def test_blocks_are_fitted_where_they_were_made(small, capsys):
     assert merged < made                                       # from the top: merge, one exchange of factors, blocks
     assert plan[merged:made].count("Exchange hashpartitioning") == 1
     assert "Exchange" not in plan[made:plan.index("Generate explode(sequence", made)].replace("BroadcastExchange", "").split("Join")[0]
+
+
+# ---- alias tables
+
+@pytest.mark.parametrize("counts", [[1], [5, 5, 5], [1, 2, 3, 4], [100, 1, 1, 1], [1, 1, 1, 100], [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5], [7] * 50 + [1000, 999]])
+def test_alias_tables_hold_the_distribution(spark, counts):
+    rows = [("a", float(10 * i), c) for i, c in enumerate(counts)] + [("b", 1.0, 3)]
+    got = Pe.alias_tables(spark.createDataFrame(rows, "g string, value double, cnt bigint"), ["g"]).where("g = 'a'").orderBy("cell").collect()
+    share = dict.fromkeys((10.0 * i for i in range(len(counts))), 0.0)
+    assert [r["cell"] for r in got] == list(range(len(counts)))
+    for r in got:
+        assert 0 <= r["keep"] <= 1
+        share[r["value"]] += r["keep"] / len(counts)
+        if r["keep"] < 1:
+            share[r["other"]] += (1 - r["keep"]) / len(counts)
+    assert np.allclose(list(share.values()), np.array(counts) / sum(counts))
+
+
+def test_many_children_of_one_parent(spark, capsys):
+    n = 100_000
+    hierarchy = spark.range(1).select((F.col("id") + 1).cast("int").alias("dept"), (F.col("id") + 1).cast("int").alias("cat"), F.sequence(F.lit(1), F.lit(n)).alias("subcats"))
+    freq = spark.range(1, n + 1).select((F.col("id") * 0).cast("int").alias("step"), F.lit(SUB).alias("feature"), F.col("id").cast("double").alias("value"),
+                                        (F.col("id") % 7 + 1).alias("cnt"))
+    frame = spark.range(4000).select(F.col("id").cast("int").alias("sample"), (F.col("id") * 0).cast("int").alias("step"), F.lit("o").alias("owner"),
+                                     (F.col("id") * 0.0 + 1.0).alias(DEPT), (F.col("id") * 0.0 + 1.0).alias(CAT), (-1.0 - F.col("id")).alias(SUB))
+    out = Pe.resample_hierarchy(frame, hierarchy, freq, 3)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "c_lo" not in plan
+    values = [r[SUB] for r in out.collect()]
+    assert len(values) == 4000 and 1 <= min(values) and max(values) <= n and len(set(values)) > 3500
+    heavy = sum(v % 7 == 6 for v in values) / 4000
+    assert heavy == pytest.approx(0.25, abs=0.03)              # 7 of 28 parts
+
+
+def test_one_join_draws_all_columns(small, capsys):
+    frame = Pe.expand_samples(small.space.select("data_date", "id", "step", *C.SPACE_ALL), 3)
+    Pe.draw_categorical(frame, small.frequencies).explain()
+    plan = capsys.readouterr().out
+    assert sum(line.lstrip(" :+-*()0123456789").startswith(("BroadcastHashJoin", "SortMergeJoin")) for line in plan.splitlines()) == 1
