@@ -97,26 +97,21 @@ def _(s: Stage) -> DataFrame:
     return S.length_bucket(s.examples, BOUNDS).select("data_date", "id", "seq_length", "bucket")
 
 
-_SALT = "CAST(floor(CAST('0x' || substr(md5(concat_ws('|', '0', id)), 1, 8) AS BIGINT) / 4294967296e0 * 2) AS INTEGER)"
-
-
 @query("pad_batches", f"""
-SELECT data_date, id, bucket, salt, batch_no, max(seq_length) OVER (PARTITION BY data_date, bucket, salt, batch_no) AS padded_length,
-       max(seq_length) OVER (PARTITION BY data_date, bucket, salt, batch_no) - seq_length AS n_pad
-FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY data_date, bucket, salt ORDER BY id) - 1) / {P.batch_size}) AS INTEGER) AS batch_no
-      FROM (SELECT *, {_BUCKET} AS bucket, {_SALT} AS salt FROM seqs))""")
+SELECT data_date, id, bucket, batch_no, max(seq_length) OVER (PARTITION BY data_date, bucket, batch_no) AS padded_length,
+       max(seq_length) OVER (PARTITION BY data_date, bucket, batch_no) - seq_length AS n_pad
+FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY data_date, bucket ORDER BY id) - 1) / {P.batch_size}) AS INTEGER) AS batch_no
+      FROM (SELECT *, {_BUCKET} AS bucket FROM seqs))""")
 def _(s: Stage) -> DataFrame:
-    padded = S.pad_batches(s.examples, P.batch_size, BOUNDS, salts=2)
+    padded = S.pad_batches(s.examples, P.batch_size, BOUNDS)
     n_pad = F.size(F.filter("inputs_num", lambda v: F.forall(v, lambda x: x == C.PAD_NUMERIC)))
-    return padded.select("data_date", "id", "bucket", "salt", "batch_no", F.size("inputs_num").alias("padded_length"),
-                         n_pad.alias("n_pad"))
+    return padded.select("data_date", "id", "bucket", "batch_no", F.size("inputs_num").alias("padded_length"), n_pad.alias("n_pad"))
 
 
 @query("shuffle_examples", f"SELECT data_date, id, md5(concat_ws('|', '{SEED}', data_date, id)) AS order_key, "
-                           f"row_number() OVER (ORDER BY md5(concat_ws('|', '{SEED}', data_date, id)), id) AS place FROM seqs")
+                           f"row_number() OVER (ORDER BY md5(concat_ws('|', '{SEED}', data_date, id)), id) - 1 AS place FROM seqs")
 def _(s: Stage) -> DataFrame:
-    place = F.row_number().over(W.partitionBy("data_date").orderBy("order_key", "id")).cast("long").alias("place")
-    return S.shuffle_examples(s.examples, SEED).select("data_date", "id", "order_key", place)
+    return S.shuffle_examples(s.examples, SEED).select("data_date", "id", "order_key", "place")
 
 
 # ---- date planning

@@ -13,15 +13,12 @@ from propensight.config import Params
 from propensight.functions import rng
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.stats import FIXED_STEP
+from propensight.session import shuffle_width
 
 DEPT, CAT, SUB = C.CODED_COLUMNS
 BLOCK = 250
 
 
-def shuffle_width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def draw_key(seed: int, feature: str, step: Column | None = None) -> Column:
     return rng.key(seed, F.col("owner"), F.col("sample"), F.col("step") if step is None else step, feature)
 

@@ -10,6 +10,7 @@ from propensight import constants as C
 from propensight.config import Params
 from propensight.functions import rng
 from propensight.operators.features import ID_KEYS, TIEBREAK, TS, seconds
+from propensight.operators.numbering import global_numbers
 
 
 def _label(horizon: int, label_start: str) -> Column:
@@ -93,20 +94,17 @@ def _padded(col: str, missing: Column, pad: Column) -> Column:
     return F.concat(F.col(col), F.array_repeat(pad, missing))
 
 
-def pad_batches(examples: DataFrame, batch_size: int = Params.batch_size, bounds: list[int] = C.LENGTH_BOUNDS,
-                salts: int = 1024) -> DataFrame:
+def pad_batches(examples: DataFrame, batch_size: int = Params.batch_size, bounds: list[int] = C.LENGTH_BOUNDS) -> DataFrame:
     """Batches of similar length, each padded to its longest sequence.
 
-    Batches are cut within a bucket and a salt of the id, so that a popular bucket is spread over ``salts``
-    tasks; the last batch of every salt may be short. Raise ``salts`` with the number of ids.
+    The sequences of a date and bucket are numbered by id over ranges of rows, so a popular bucket is spread over the tasks and all its
+    batches but the last are full.
     """
-    salt = F.floor(rng.uniform(rng.key(0, F.col("id"))) * salts).cast("int")
-    bucketed = length_bucket(examples, bounds).withColumn("salt", salt)
-    group = ["data_date", "bucket", "salt"]
-    number = F.row_number().over(W.partitionBy(*group).orderBy("id")) - 1
-    numbered = bucketed.withColumn("batch_no", F.floor(number / batch_size).cast("int"))
-    longest = F.max("seq_length").over(W.partitionBy(*group, "batch_no"))
-    sized = numbered.withColumn("padded_length", longest)
+    group = ["data_date", "bucket"]
+    narrow = length_bucket(examples, bounds).select(*ID_KEYS, "bucket", "seq_length")
+    numbered = global_numbers(narrow, group, ["id"]).withColumn("batch_no", F.floor(F.col("number") / batch_size).cast("int"))
+    longest = F.max("seq_length").over(W.partitionBy(*group, "batch_no"))  # at most batch_size rows
+    sized = examples.join(numbered.select(*ID_KEYS, "bucket", "batch_no", longest.alias("padded_length")), ID_KEYS)
     missing = F.col("padded_length") - F.col("seq_length")
     pad_num = F.array_repeat(F.lit(C.PAD_NUMERIC).cast("float"), C.N_INPUT)
     pad_cat = F.array_repeat(F.lit(C.PAD_CODE), len(C.CODED_COLUMNS))
@@ -115,5 +113,6 @@ def pad_batches(examples: DataFrame, batch_size: int = Params.batch_size, bounds
 
 
 def shuffle_examples(examples: DataFrame, seed: int = Params.seed) -> DataFrame:
-    """Examples in a random order that depends on the seed only."""
-    return examples.withColumn("order_key", rng.key(seed, F.col("data_date"), F.col("id"))).orderBy("order_key", "id")
+    """Examples in a random order that depends on the seed only, with their place in it."""
+    keyed = examples.withColumn("order_key", rng.key(seed, F.col("data_date"), F.col("id")))
+    return global_numbers(keyed, [], ["order_key", "id"], "place").orderBy("order_key", "id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from propensight import constants as C
 from propensight.config import Params
-from propensight.functions import rng
 from propensight.functions.prefix import PrefixScorer, prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer, logit, sigmoid
-from propensight.operators.perturb import shuffle_width
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.space import model_inputs
-from propensight.operators.vocabulary import constant_table
+from propensight.session import shuffle_width
 
 STEP_KEYS = ID_KEYS + ["step"]
 CELLS = 1 << 22  # cells of masked steps made at once
@@ -49,36 +48,81 @@ def coalitions(rows: DataFrame, m: int) -> DataFrame:
             .withColumn("kernel_weight", F.get(weights, F.col("size"))))
 
 
-def sampled_coalitions(spark, m: int, budget: int, seed: int = Params.seed) -> DataFrame:
-    """At most ``budget`` coalitions for many groups, with weights that sum to 1.
+def unranked(rank: int, m: int, size: int) -> int:
+    """The ``rank``-th of the bit masks with ``size`` of ``m`` bits, in ascending order."""
+    mask = 0
+    for bit in reversed(range(m)):
+        if not size:
+            break
+        without = math.comb(bit, size)
+        if rank >= without:
+            rank -= without
+            mask |= 1 << bit
+            size -= 1
+    return mask
+
+
+def largest_remainder(weights: list[float], total: int, most: list[int]) -> list[int]:
+    """``total`` units in proportion to the weights, at most ``most`` each; what does not fit goes to the others."""
+    got = [0] * len(weights)
+    total = min(total, sum(most))
+    while total:
+        open_ = [i for i in range(len(weights)) if got[i] < most[i]]
+        all_ = sum(weights[i] for i in open_)
+        wish = {i: total * weights[i] / all_ for i in open_}
+        add = {i: min(int(wish[i]), most[i] - got[i]) for i in open_}
+        if not any(add.values()):  # less than one each: by the largest remainders
+            for i in sorted(open_, key=lambda i: (-wish[i], i))[:total]:
+                got[i] += 1
+            break
+        for i in open_:
+            got[i] += add[i]
+        total -= sum(add.values())
+    return got
+
+
+def coalition_plan(m: int, budget: int, seed: int = Params.seed) -> list[tuple[int, int, float]]:
+    """``budget`` coalitions of ``m`` groups with weights that sum to 1: (mask, size, weight).
 
-    Sizes are taken from both ends inwards as long as all coalitions of a size fit; the rest of the budget is drawn
-    by hash from the sizes left, in proportion to their kernel weight.
+    Sizes are taken from both ends inwards as long as all coalitions of a size fit. The rest of the budget goes to the sizes left in
+    proportion to their kernel weight, by largest remainder, as pairs of a coalition and its complement, which makes games of pairs of groups
+    exact; ranks are drawn without
+    repetition and unranked, so nothing is listed that is not used.
     """
-    size_weight = {s: shapley_kernel(m, s) * math.comb(m, s) for s in range(1, m)}
-    total = sum(size_weight.values())
-    full, left, remaining = [], budget, set(size_weight)
-    for s in range(1, m // 2 + 1):
-        pair = {s, m - s}
-        count = sum(math.comb(m, k) for k in pair)
-        if count > left:
-            break
-        full += pair
-        left -= count
-        remaining -= pair
-    rest = sum(size_weight[s] for s in remaining)
-    take = {s: int(left * size_weight[s] / rest) for s in remaining} if remaining else {}
-    plan = [(s, math.comb(m, s) if s in full else take.get(s, 0),
-             size_weight[s] / total) for s in range(1, m)]
-    plan = [(s, n, w / n) for s, n, w in plan if n > 0]
-    quota = constant_table(spark, plan, ["size", "quota", "kernel_weight"])
-    masks = spark.range(1, 2 ** m - 1).select(F.col("id").cast("int").alias("coalition"),
-                                              F.bit_count("id").cast("int").alias("size"))
-    place = F.row_number().over(W.partitionBy("size").orderBy(rng.key(seed, F.col("coalition")), "coalition"))
-    drawn = masks.withColumn("_place", place).join(F.broadcast(quota), "size").where(F.col("_place") <= F.col("quota"))
-    scale = W.partitionBy(F.lit(0))
-    return drawn.select("coalition", "size", (F.col("kernel_weight") / F.sum("kernel_weight").over(scale))
-                        .alias("kernel_weight"))
+    budget = min(budget, 2 ** m - 2)
+    weight = {s: shapley_kernel(m, s) * math.comb(m, s) for s in range(1, m)}
+    total, out, left = sum(weight.values()), [], budget
+    full = 2 ** m - 1
+    sizes = list(range(1, m // 2 + 1))
+    pairs = lambda s: math.comb(m - 1, s - 1) if 2 * s == m else math.comb(m, s)
+    both = lambda s: weight[s] if 2 * s == m else weight[s] + weight[m - s]
+    while sizes and 2 * pairs(sizes[0]) <= left:
+        s = sizes.pop(0)
+        left -= 2 * pairs(s)
+        for size in {s, m - s}:
+            out += [(unranked(r, m, size), size, weight[size] / total / math.comb(m, size)) for r in range(math.comb(m, size))]
+    if not sizes or not left:
+        scale = sum(w for _, _, w in out)
+        return [(mask, size, w / scale) for mask, size, w in out]
+    rest, draw = sum(both(s) for s in sizes) / total, random.Random(f"{seed}|{m}|{budget}")
+    most = [pairs(s) for s in sizes]
+    quota = largest_remainder([both(s) for s in sizes], left // 2, most)
+    # Of an odd budget one coalition stays without its complement.
+    alone = next(i for i, n in enumerate(quota) if n < most[i]) if left % 2 else -1
+    drawn = []
+    for i, (s, n) in enumerate(zip(sizes, quota, strict=True)):
+        number = 2 * n + (i == alone)
+        for j, rank in enumerate(draw.sample(range(most[i]), n + (i == alone))):
+            # Of size m / 2 a coalition and its complement have one size: the one without the last group stands for both.
+            mask = unranked(rank, m - 1 if 2 * s == m else m, s)
+            drawn += [(mask, s, both(s) / number), (full ^ mask, m - s, both(s) / number)][:1 if j == n else 2]
+    scale = rest / sum(w for _, _, w in drawn)
+    return out + [(mask, size, w * scale) for mask, size, w in drawn]
+
+
+def sampled_coalitions(spark, m: int, budget: int, seed: int = Params.seed) -> DataFrame:
+    """The planned coalitions as a table of at most ``budget`` rows."""
+    return spark.createDataFrame(coalition_plan(m, budget, seed), "coalition bigint, size int, kernel_weight double")
 
 
 def _present(groups: dict[str, list[str]], feature: str) -> Column:

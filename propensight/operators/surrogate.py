@@ -14,11 +14,11 @@ from propensight import constants as C
 from propensight.config import Params
 from propensight.functions.scoring import MeanPoolScorer, sigmoid
 from propensight.operators import model as M, moments as M_
-from propensight.operators.perturb import neighborhood, shuffle_width, with_stats
+from propensight.operators.perturb import neighborhood, with_stats
 from propensight.operators.sequences import ID_KEYS
 from propensight.operators.space import from_explainer_space
 from propensight.operators.stats import FIXED_STEP
-from propensight.session import materialize
+from propensight.session import materialize, shuffle_width
 
 SAMPLE_KEYS = ID_KEYS + ["sample"]
 BLOCK_KEYS = ID_KEYS + ["block"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from propensight import constants as C
+from propensight.operators.numbering import global_numbers
 
 
 def constant_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
@@ -20,13 +21,12 @@ def seed_table(spark: SparkSession, features: list[str], seed: tuple[str, int])
 def _grow(old: DataFrame, found: DataFrame) -> DataFrame:
     """Append the new ``(feature, value)`` pairs with the next codes, in ascending order of the value.
 
-    The numbering runs over the new values of a feature only, never over rows of data.
+    New values are numbered in ranges, so a catalogue of any size is no single task.
     """
     new = found.distinct().join(old, ["feature", "value"], "left_anti")
     last = old.groupBy("feature").agg(F.max("code").alias("_last"))
-    number = F.row_number().over(W.partitionBy("feature").orderBy("value"))
-    numbered = (new.withColumn("_n", number).join(last, "feature", "left")
-                .select("feature", "value", (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int").alias("code")))
+    numbered = (global_numbers(new, ["feature"], ["value"], "_n").join(last, "feature", "left")
+                .select("feature", "value", (F.coalesce("_last", F.lit(-1)) + F.col("_n") + 1).cast("int").alias("code")))
     return old.select("feature", "value", "code").unionByName(numbered)
 
 

@@ -60,7 +60,7 @@ def _dates(df: DataFrame) -> list[dt.date]:
 
 def _grown_vocabulary(spark: SparkSession, store: Store, extract: DataFrame) -> DataFrame:
     path = store.path("vocabulary")
-    old = T.read_vocabulary(spark, path) if T.path_exists(spark, path) else None
+    old = T.read_vocabulary(spark, path) if T.newest_version(spark, path) else None
     grown = materialize(V.grow_vocabulary(old, Fe.fill_missing(extract)), "vocabulary")
     T.write_vocabulary(grown, path)
     return grown
@@ -68,7 +68,7 @@ def _grown_vocabulary(spark: SparkSession, store: Store, extract: DataFrame) ->
 
 def _grown_slots(spark: SparkSession, store: Store, spec: DataFrame) -> DataFrame:
     path = store.path("slots")
-    old = T.read_slot_map(spark, path) if T.path_exists(spark, path) else None
+    old = T.read_slot_map(spark, path) if T.newest_version(spark, path) else None
     lists = [spec.select(F.lit(c).alias("feature"), F.explode(f"values_{c}").alias("value")) for c in C.INDICATOR_COLUMNS]
     grown = materialize(V.grow_slot_map(old, lists[0].unionByName(lists[1])), "slots")
     T.write_slot_map(grown, path)

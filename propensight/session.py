@@ -26,6 +26,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_width(df: DataFrame) -> int:
+    """Number of shuffle partitions of the session."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach. A private one is made only in local mode, where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -1,12 +1,15 @@
 """Stored tables: inputs, extracts, sequences, value lists, the feature spec, predictions, explanations.
 
 Dated tables are partitioned by their date. A rewrite replaces only the dates it contains, so a failed or
-repeated run leaves the others as they are, and reads of a list of dates prune to those folders.
+repeated run leaves the others as they are, and reads of a list of dates prune to those folders. Value lists are kept in
+versions: each is a new folder that counts once its commit record is in place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,32 +72,98 @@ def written_dates(spark: SparkSession, path: str, purpose: str | None = None) ->
     return df.select("data_date").distinct()
 
 
+COMMITS = "_commits"
+
 # Blanks, quotes, tabs and line breaks come back as they were.
 EXACT_TEXT = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a value list whose commit record is there, oldest first."""
+    root, fs = _file_system(spark, f"{path}/{COMMITS}")
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest committed version."""
+    versions = committed_versions(spark, path)
+    if not versions:
+        return None
+    record, fs = _file_system(spark, f"{path}/{COMMITS}/{versions[-1]:08d}")
+    with_lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(record), "UTF-8"))
+    try:
+        return f"{path}/{with_lines.readLine()}"
+    finally:
+        with_lines.close()
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str) -> None:
+    """Put the record of a version in place by a rename; a version that another writer has committed meanwhile is an error."""
+    record, fs = _file_system(spark, f"{path}/{COMMITS}/{version:08d}")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITS}/_{folder}")
+    out = fs.create(draft, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    if fs.exists(record) or not fs.rename(draft, record):
+        fs.delete(draft, False)
+        raise RuntimeError(f"version {version} of {path} was written by another job")
+
+
+def _write_version(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write to a new folder, then commit. Whatever stops in between, readers keep the version before."""
+    version = (committed_versions(spark, path) or [0])[-1] + 1
+    root, fs = _file_system(spark, f"{path}/{COMMITS}")
+    fs.mkdirs(root)
+    folder = f"version-{version:08d}-{uuid.uuid4().hex[:12]}"
+    write(f"{path}/{folder}")
+    _commit(spark, path, version, folder)
+
+
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
-    """Tab-separated text with a header, one folder per feature."""
+    """A new version: tab-separated text with a header, one folder per feature."""
     value, code = C.VOCABULARY_FILE_COLUMNS
-    (vocabulary.select("feature", F.col("value").alias(value), F.col("code").alias(code))
-     .hint("rebalance", "feature").write.mode("overwrite").partitionBy("feature")
-     .options(**EXACT_TEXT).option("encoding", "UTF-8").option("emptyValue", "").option("quoteAll", True)
-     .csv(path))
+
+    def write(folder: str) -> None:
+        (vocabulary.select("feature", F.col("value").alias(value), F.col("code").alias(code))
+         .hint("rebalance", "feature").write.mode("errorifexists").partitionBy("feature")
+         .options(**EXACT_TEXT).option("encoding", "UTF-8").option("emptyValue", "").option("quoteAll", True)
+         .csv(folder))
+
+    _write_version(vocabulary.sparkSession, path, write)
+
+
+def _newest(spark: SparkSession, path: str) -> str:
+    folder = newest_version(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no committed version in {path}")
+    return folder
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version."""
     value, code = C.VOCABULARY_FILE_COLUMNS
     df = (spark.read.options(**EXACT_TEXT).option("multiLine", True)
-          .schema(f"{value} string, {code} int, feature string").csv(path))
+          .schema(f"{value} string, {code} int, feature string").csv(_newest(spark, path)))
     return df.select("feature", F.col(value).alias("value"), F.col(code).alias("code"))
 
 
 def write_slot_map(slots: DataFrame, path: str) -> None:
-    slots.hint("rebalance", "feature").write.mode("overwrite").partitionBy("feature").json(path)
+    """A new version: one folder of JSON lines per feature."""
+    _write_version(slots.sparkSession, path, lambda folder: slots.hint("rebalance", "feature").write.mode("errorifexists")
+                   .partitionBy("feature").json(folder))
 
 
 def read_slot_map(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("value string, code int, feature string").json(path)
+    """The newest committed version."""
+    df = spark.read.schema("value string, code int, feature string").json(_newest(spark, path))
     return df.select("feature", "value", "code")
 
 

@@ -421,3 +421,57 @@ def test_one_join_draws_all_columns(small, capsys):
     Pe.draw_categorical(frame, small.frequencies).explain()
     plan = capsys.readouterr().out
     assert sum(line.lstrip(" :+-*()0123456789").startswith(("BroadcastHashJoin", "SortMergeJoin")) for line in plan.splitlines()) == 1
+
+
+# ---- coalitions of many groups
+
+@pytest.mark.parametrize("m, budget", [(4, 3), (5, 17), (6, 62), (10, 100), (18, 999), (40, 2000), (41, 2001)])
+def test_the_whole_budget_is_spent(m, budget):
+    plan = Sh.coalition_plan(m, budget)
+    masks = [p[0] for p in plan]
+    assert len(plan) == min(budget, 2 ** m - 2) == len(set(masks))
+    assert all(0 < mask < 2 ** m - 1 and mask.bit_count() == size for mask, size, _ in plan)
+    assert sum(w for _, _, w in plan) == pytest.approx(1) and min(w for _, _, w in plan) > 0
+    lonely = sum((2 ** m - 1) ^ mask not in set(masks) for mask in masks)
+    assert lonely == len(plan) % 2
+    if m >= 40:
+        ends = sum(w for _, size, w in plan if size in (1, m - 1))
+        kernel = {s: Sh.shapley_kernel(m, s) * math.comb(m, s) for s in range(1, m)}
+        assert ends == pytest.approx((kernel[1] + kernel[m - 1]) / sum(kernel.values()))
+
+
+def test_unranking_lists_all_masks():
+    assert [Sh.unranked(r, 6, 3) for r in range(20)] == sorted(x for x in range(64) if x.bit_count() == 3)
+    assert Sh.unranked(math.comb(62, 31) - 1, 62, 31).bit_count() == 31
+
+
+def solved(spark, m, game, budget):
+    plan = spark.createDataFrame(Sh.coalition_plan(m, budget), "coalition bigint, size int, kernel_weight double")
+    masks = [r["coalition"] for r in plan.collect()] + [0, 2 ** m - 1]
+    rows = [(dt.date(2024, 1, 1), "a", 0, mask, game(mask)) for mask in masks]
+    values = spark.createDataFrame(rows, "data_date date, id string, step int, coalition bigint, value double")
+    got = {r["feature"]: r["phi"] for r in Sh.shapley_regression(values, plan, {f"g{i}": [] for i in range(m)}).collect()}
+    return np.array([got[f"g{i}"] for i in range(m)])
+
+
+def test_forty_groups(spark):
+    rng = np.random.default_rng(0)
+    own, pair = rng.normal(size=40), rng.normal(size=(40, 40)) * 0.05
+    bits = lambda mask: np.array([mask >> i & 1 for i in range(40)])
+    additive = solved(spark, 40, lambda mask: float(own @ bits(mask)), 600)
+    assert np.allclose(additive, own)
+    game = lambda mask: float(own @ bits(mask) + bits(mask) @ pair @ bits(mask))
+    got = solved(spark, 40, game, 2000)
+    assert got.sum() == pytest.approx(game(2 ** 40 - 1) - game(0))
+    exact = own + (pair.sum(axis=0) + pair.sum(axis=1)) / 2     # a pair's worth is shared evenly
+    assert np.abs(got - exact).max() < 1e-6                    # pairs of complements are exact for games of pairs
+
+
+def test_error_of_a_budget_against_all_coalitions(spark):
+    rng = np.random.default_rng(2)
+    value = np.cumsum(rng.normal(size=1024)) * 0.05
+    game = lambda mask: float(value[mask])
+    exact = solved(spark, 10, game, 1022)
+    gaps = [np.abs(solved(spark, 10, game, n) - exact).max() for n in (200, 700)]
+    spread = np.abs(exact).max()
+    assert gaps[0] < 0.5 * spread and gaps[1] < 0.25 * spread

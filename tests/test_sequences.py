@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensight import constants as C
+from propensight.operators.numbering import global_numbers
 from propensight.operators import calendar as Cal, features as Fe, sequences as S
 
 
@@ -51,16 +52,32 @@ def test_length_buckets(spark, length, bucket):
 
 
 def test_batches(small):
-    padded = S.pad_batches(small.examples, 4, [0, 20, 40], salts=2)
-    rows = padded.select("bucket", "salt", "batch_no", "padded_length", "seq_length", "inputs_num", "inputs_cat").collect()
+    padded = S.pad_batches(small.examples, 4, [0, 20, 40])
+    rows = padded.select("bucket", "batch_no", "padded_length", "seq_length", "inputs_num", "inputs_cat").collect()
     assert len(rows) == small.examples.count()
     groups = {}
     for r in rows:
-        groups.setdefault((r["bucket"], r["salt"], r["batch_no"]), []).append(r)
+        groups.setdefault((r["bucket"], r["batch_no"]), []).append(r)
         assert len(r["inputs_num"]) == len(r["inputs_cat"]) == r["padded_length"]
         assert all(v == [C.PAD_NUMERIC] * C.N_INPUT for v in r["inputs_num"][r["seq_length"]:])
-    for g in groups.values():
+    for (bucket, n), g in groups.items():
         assert len(g) <= 4 and max(r["seq_length"] for r in g) == g[0]["padded_length"]
+        assert len(g) == 4 or (bucket, n + 1) not in groups    # only the last one may be short
+
+
+def test_numbers_run_through_ranges(spark, capsys):
+    rows = [(None if g == "c" else g, v, i) for i, (g, v) in enumerate([("a", k * 7 % 900) for k in range(900)] + [("b", k) for k in range(50)]
+                                                                       + [("c", k) for k in range(20)])]
+    df = spark.createDataFrame(rows, "g string, v int, extra int")
+    got = global_numbers(df, ["g"], ["v"])
+    assert got.columns == ["g", "v", "extra", "number"]
+    want = {(g, v): n for key in ("a", "b", None) for n, (g, v) in enumerate(sorted((r[:2] for r in rows if r[0] == key), key=lambda r: r[1]))}
+    assert {(r["g"], r["v"]): r["number"] for r in got.collect()} == want
+    assert [r["number"] for r in global_numbers(df, [], ["g", "v"]).orderBy("g", "v").collect()] == list(range(970))
+    assert global_numbers(df.limit(0), ["g"], ["v"]).count() == 0
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "row_number" not in plan and "min(_at" in plan[plan.index("Window"):]     # the only window runs over sums per range
 
 
 def test_steps_unfold_sequences(small):

@@ -93,3 +93,25 @@ def test_machine_local_folders_are_for_local_mode_only():
         with pytest.raises(RuntimeError, match="checkpoint"):
             require_local(master)
     require_local("local[8]")
+
+
+@pytest.mark.parametrize("write, read", [(T.write_vocabulary, T.read_vocabulary), (T.write_slot_map, T.read_slot_map)])
+def test_a_stop_before_the_commit_keeps_all_codes(spark, tmp_path, monkeypatch, write, read):
+    path = str(tmp_path / "list")
+    rows = lambda n: spark.createDataFrame([("f", f"v{i}", i) for i in range(n)] + [("g", "x", 0)], "feature string, value string, code int")
+    with pytest.raises(FileNotFoundError):
+        read(spark, path)
+    write(rows(3), path)
+    with monkeypatch.context() as stopped:
+        def stop(*args):
+            raise KeyboardInterrupt
+        stopped.setattr(T, "_commit", stop)
+        with pytest.raises(KeyboardInterrupt):
+            write(rows(2), path)
+    assert sorted(read(spark, path).collect()) == sorted(rows(3).collect())
+    assert T.committed_versions(spark, path) == [1]
+    write(rows(5), path)
+    assert sorted(read(spark, path).collect()) == sorted(rows(5).collect()) and T.committed_versions(spark, path) == [1, 2]
+    with pytest.raises(RuntimeError, match="another job"):
+        T._commit(spark, path, 2, "version-of-another")
+    assert sorted(read(spark, path).collect()) == sorted(rows(5).collect())
