@@ -20,7 +20,8 @@ Only pairs and ids are shuffled, texts for the ends of surviving pairs. Those id
 them, so the scan drops other texts before the shuffle; else both sides are shuffled.
 
 Null, empty and blank texts have an empty set and are linked with nothing. Rows with null id are not linked (component null, kept).
-Repeated rows are copies of each other. Other columns are not read; `keep_one` keeps them.
+Equal rows count once. Different texts under one id are linked as texts of their own, each named by a 64-bit hash of id and text. Sets are
+compared as sets of 64-bit hashes of their shingles (two shingles are taken for one with a probability of about 5e-20). Other columns are not read; `keep_one` keeps them.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from propensight.llm.common import table, utf8
+from propensight.llm.common import shielded, table, utf8
 from propensight.llm.shingling import WORDS, shingle_sets
 from propensight.session import materialize
 
@@ -211,9 +212,30 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.join(least, "label").select("node", "component")
 
 
-def first_texts(docs: DataFrame) -> DataFrame:
-    """One row per id: its repeated rows are copies."""
-    return docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """Ids of more than one row."""
+    counts = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    return materialize(counts.filter("n > 1").select("doc_id"), "repeated_ids")
+
+
+def keyed(docs: DataFrame, repeated: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a ``node_key`` that names one text: the id, or a hash of id and text where an id has several rows. Equal rows of such an
+    id are one; rows without an id are left out."""
+    known = docs.filter("doc_id is not null").join(repeated.select(F.col("doc_id").alias("again")), F.col("doc_id") == F.col("again"), "left")
+    key = F.when(F.col("again").isNull(), F.col("doc_id").cast("bigint")).otherwise(F.xxhash64("doc_id", "text"))
+    rows = known.withColumn("node_key", key)
+    return (rows.filter("again is null").select(*columns, "node_key")
+            .unionAll(rows.filter("again is not null").dropDuplicates(["node_key"]).select(*columns, "node_key")))
+
+
+def linked_keys(docs: DataFrame, repeated: DataFrame, like: int, k: int, leader_rounds: int) -> DataFrame:
+    """``node_key, n_shingles, component, doc_id, first`` where ``first`` is the least (id, key) of the component."""
+    rows = keyed(docs, repeated, ["doc_id", "text"])
+    found = materialize(linked(rows.select(F.col("node_key").alias("doc_id"), "text"), like, k, leader_rounds).select(
+        F.col("doc_id").alias("node_key"), "n_shingles", F.col("component_id").alias("component")), "linked_keys")
+    named = found.join(rows.select("doc_id", "node_key"), "node_key")
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "node_key")).alias("first"))
+    return materialize(named.join(first, "component"), "components_of_keys")
 
 
 def mixed_lists(placed: DataFrame) -> DataFrame:
@@ -223,16 +245,29 @@ def mixed_lists(placed: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``; ``like`` per cent of the union of two sets links them."""
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``; ``like`` per cent of the union of two sets links them.
+
+    Rows that share an id are linked by their own texts.
+    """
+    repeated = repeated_ids(docs)
+    if repeated.isEmpty():
+        return linked(docs, like, k, leader_rounds)
+    found = linked_keys(docs, repeated, like, k, leader_rounds)
+    keys = keyed(docs, repeated, ["doc_id", "text"]).join(found.select("node_key", "n_shingles", F.col("first.doc_id").alias("component_id")), "node_key")
+    rows = docs.filter("doc_id is not null").select("doc_id", F.col("text").alias("own")).join(
+        keys.withColumnRenamed("doc_id", "other_id"), (F.col("doc_id") == F.col("other_id")) & F.col("own").eqNullSafe(F.col("text")))
+    known = rows.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return known.unionAll(linked(docs.filter("doc_id is null"), like, k, leader_rounds))
+
+
+def linked(docs: DataFrame, like: int, k: int, leader_rounds: int) -> DataFrame:
+    """The same for rows without repeated ids."""
     floor = floor_of(like, k)
     rows = materialize(sketches(docs, k), "sketches")
     nodes = materialize(rows.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").cast("bigint").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     lists = materialize(inverted_lists(nodes, k, floor), "lists")
     placed = lists.withColumn("component", F.col("node"))
-    # Of rows that share an id only one text stands for it.
-    unique = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
-    whole = docs if unique else first_texts(docs)
     found: list[DataFrame] = []
     tested: list[DataFrame] = []
     for turn in range(leader_rounds + 1):
@@ -253,9 +288,9 @@ def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEA
             pairs = pairs.join(t, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested.append(pairs)
-        new = verified(materialize(estimated(pairs, nodes, k, floor), "likely"), whole, like)
+        new = verified(materialize(estimated(pairs, nodes, k, floor), "likely"), docs, like)
         if turn == leader_rounds:
-            new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), whole, BLOCK, like))
+            new = new.unionAll(links_of_large_lists(apart.filter(F.col("members") > LARGE), docs, BLOCK, like))
         new = materialize(new, "links")
         if new.isEmpty():
             if turn < leader_rounds and pairs.isEmpty() and mixed_lists(placed).isEmpty():
@@ -275,19 +310,21 @@ def link(docs: DataFrame, like: int = LIKE, k: int = K, leader_rounds: int = LEA
 
 
 def keep_one(docs: DataFrame, like: int = LIKE) -> DataFrame:
-    """The document with the least id of each component, one row of each repeated id, and all rows without an id."""
-    gone = materialize(link(docs, like).filter("not kept").select("doc_id").distinct(), "gone")
-    repeated = materialize(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null")
-                           .select("doc_id"), "repeated_ids")
+    """The document with the least id of each component, and all rows without an id. Of rows that share an id equal ones are one, linked
+    ones are in one component, and unlike ones all stay."""
 
     def small(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    left = docs.join(small(gone), "doc_id", "left_anti")
+    repeated = repeated_ids(docs)
     if repeated.isEmpty():
-        return left.select(*docs.columns)
-    once = left.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(small(repeated), "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+        gone = materialize(link(docs, like).filter("not kept").select("doc_id").distinct(), "gone")
+        return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    found = linked_keys(docs, repeated, like, K, LEADER_ROUNDS)
+    gone = materialize(found.filter(F.col("node_key") != F.col("first.node_key")).select("node_key"), "gone")
+    rows, restored = shielded(docs, ("doc_id", "text"))
+    left = keyed(rows, repeated, rows.columns).join(small(gone), "node_key", "left_anti").select(*rows.columns)
+    return restored(left.unionAll(rows.filter("doc_id is null")))
 
 
 def op9_near_dups(spark, sf_dir: str) -> DataFrame:
