@@ -32,6 +32,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that `materialize` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def utf8(text: Column) -> Column:
     """The bytes of a text, none for null."""
     return F.coalesce(text, F.lit("")).cast("binary")

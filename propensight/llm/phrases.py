@@ -3,14 +3,15 @@
 1. Texts are folded and cut into pieces and words. A task packs its documents into chunks of about ``CHUNK`` bytes. The relation
    of occurrences of a chunk is its positions in order, pieces apart by a free position, each with the local number of its
    word; the chunk lists its different words with their counts. It is written.
-2. Group count: the lists of all chunks are summed by (language, word); words seen ``least`` times or more get a number.
-3. Semi-join: the frequent groups go back to the chunks that hold them, once per chunk whatever their number of occurrences.
+2. Group count: the lists of all chunks are summed by (language, word), later by the two phrases joined; groups seen ``least`` times or
+   more get a number.
+3. Semi-join: the frequent groups go back to the chunks that hold them, once per chunk whatever their number of occurrences. For words
+   this needs no further shuffle: sums and numbers are taken in windows over the entries, which spill where a word is in very many chunks.
 4. Merge join: the sorted relation of frequent phrases of k words is joined with itself at the next position of the piece, which gives
    the occurrences of phrases of k + 1 words whose first and last k words are frequent. They are grouped within the chunk, and the new
    sorted relation is written. Steps 2 to 4 repeat up to ``longest`` words.
 
-A group is in a chunk's list once, so no key of any shuffle holds more rows than there are chunks, however frequent a word is; joins
-by group are ordinary ones that adaptive execution splits. Before the semi-join the lists are thinned by a bit field of ``BITS`` bits over hashes
+A group is in a chunk's list once, so no key of any shuffle holds more rows than there are chunks, however frequent a word is. Before the semi-join the lists are thinned by a bit field of ``BITS`` bits over hashes
 of the frequent groups, which is all that comes to the driver (8 MB at any size); the join after it is exact. Texts longer than a chunk are cut
 between pieces. A frequent phrase carries the counts of its heads and tails from level to level, so cuts need no further join, and what a longer
 phrase covers follows from the two phrases it was joined from.
@@ -25,24 +26,27 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from propensight.llm.common import LOWER, UPPER, table, utf8
+from propensight.llm.common import LOWER, UPPER, discard, table, utf8
 from propensight.session import materialize
 
 LEAST, LONGEST, FIRST = 30, 4, 2000
 SCALE, COVERED = 2_000_000, 80
-CHUNK = 8 << 20
+CHUNK = 4 << 20
+ROWS = 1 << 16  # of an Arrow batch
 BITS, FIELD = 1 << 26, 1 << 15  # the second is the size of Spark's bitmaps
+CHUNK_BITS, AT_BITS = 14, 29  # of a word's number: chunks of a partition, entries of a chunk
 
 END = b"\xff"  # a byte that no UTF-8 text holds
 FOLDED = bytes.maketrans(UPPER.encode() + b".,;:!?\n\x0b\x0c\r\t", LOWER.encode() + END * 10 + b" ")
 
 
-def packed(relation: np.ndarray) -> bytes:
-    return pa.compress(relation.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
+def packed(numbers: np.ndarray, kind: type = np.int32) -> bytes:
+    return pa.compress(numbers.astype(kind).tobytes(), codec="zstd", asbytes=True)
 
 
-def unpacked(data: bytes, rows: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=4 * rows, codec="zstd"), np.int32) if rows else np.empty(0, np.int32)
+def unpacked(data: bytes, rows: int, kind: type = np.int32) -> np.ndarray:
+    size = np.dtype(kind).itemsize * rows
+    return np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd"), kind) if rows else np.empty(0, kind)
 
 
 def parts(text: bytes, size: int) -> list[bytes]:
@@ -86,12 +90,17 @@ def word_relations(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
     def chunk(number: int, texts: dict[str, list[bytes]]) -> pa.RecordBatch:
         langs, words, n, relation = words_of(texts)
-        keys = lists({"lang": pa.array(langs, pa.string()), "word": pa.array(words, pa.binary()).cast(pa.string()), "n": pa.array(n)})
-        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(relation)]), pa.array([len(words)]),
-                                           pa.array([packed(relation)], pa.binary()), keys], names=["chunk", "size", "groups", "relation", "keys"])
+        # One text for a language and a word, so that rows stay narrow.
+        names = [f"{len(lang)}:{lang}{w.decode()}" for lang, w in zip(langs, words, strict=True)]
+        keys = lists({"name": pa.array(names, pa.string()), "n": pa.array(n)})
+        known = sorted(set(langs))
+        owner = np.searchsorted(known, langs) if known else np.empty(0, int)
+        totals = lists({"lang": pa.array(known, pa.string()), "n": pa.array(np.bincount(owner, n, len(known)).astype(np.int64))})
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(relation)]), pa.array([len(words)]), pa.array([packed(relation)], pa.binary()),
+                                           keys, totals], names=["chunk", "size", "groups", "relation", "keys", "totals"])
 
     def run(batches):
-        number, held, texts = TaskContext.get().partitionId() << 32, 0, {}
+        number, held, texts = TaskContext.get().partitionId() << CHUNK_BITS, 0, {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 for part in parts(text.as_py(), size):
@@ -104,8 +113,8 @@ def word_relations(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             yield chunk(number, texts)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), utf8(F.col("text")).alias("text")).filter(F.length("text") > 0)
-    return materialize(rows.mapInArrow(run, "chunk bigint, size bigint, groups bigint, relation binary, "
-                                        "keys array<struct<lang:string,word:string,n:bigint>>"), "words")
+    return materialize(rows.mapInArrow(run, "chunk bigint, size bigint, groups bigint, relation binary, keys array<struct<name:string,n:bigint>>, "
+                                        "totals array<struct<lang:string,n:bigint>>"), "words")
 
 
 def places(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -130,26 +139,32 @@ def bit_field(frequent: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def thinned(relations: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``chunk, at, p, q`` of the groups that the bit field does not rule out."""
-    shared = relations.sparkSession.sparkContext.broadcast(bit_field(frequent))
+def groups_of(relations: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
+    """``chunk, at, p, q, n`` of the groups of all chunks, or of those that the bit field of ``frequent`` does not rule out."""
+    shared = relations.sparkSession.sparkContext.broadcast(None if frequent is None else bit_field(frequent))
 
     def run(batches):
         field = shared.value
         for batch in batches:
-            for chunk, keys in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                p, q = (keys.values.field(c).to_numpy() for c in ("p", "q"))
-                at = places(p, q)
-                at = np.flatnonzero(field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(at), pa.array(p[at]), pa.array(q[at])],
-                                                 names=["chunk", "at", "p", "q"])
-
-    return relations.select("chunk", "keys").mapInArrow(run, "chunk bigint, at bigint, p bigint, q bigint")
+            for chunk, groups, before, *parts_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                numbers = unpacked(parts_[0], before, np.int64)
+                p, q, n = (unpacked(x, groups) for x in parts_[1:])
+                p, q = numbers[p], numbers[q]
+                at = np.arange(groups)
+                if field is not None:
+                    place = places(p, q)
+                    at = np.flatnonzero(field[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                for i in range(0, len(at), ROWS):
+                    some = at[i:i + ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), chunk)), pa.array(some), pa.array(p[some]), pa.array(q[some]),
+                                                      pa.array(n[some].astype(np.int64))], names=["chunk", "at", "p", "q", "n"])
+
+    return relations.select("chunk", "groups", "before", "numbers", "p", "q", "n").mapInArrow(run, "chunk bigint, at bigint, p bigint, q bigint, n bigint")
 
 
 def joined(relation: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Merge join of the sorted frequent occurrences with themselves at the next position: the groups ``p, q``, their counts, and the
-    new relation."""
+    """Merge join of the sorted frequent occurrences (those whose group has a number) with themselves at the next position: the groups
+    ``p, q`` joined, their counts, and the new relation."""
     there = np.append(numbers, -1)[relation] >= 0
     pos = np.flatnonzero(there)
     pos = pos[:-1][pos[1:] == pos[:-1] + 1]
@@ -157,16 +172,18 @@ def joined(relation: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.nd
     keys, group, n = np.unique(first * len(numbers) + second, return_inverse=True, return_counts=True)
     out = np.full(len(relation), -1, np.int32)
     out[pos] = group
-    return numbers[keys // len(numbers)], numbers[keys % len(numbers)], n, out
+    return keys // max(1, len(numbers)), keys % max(1, len(numbers)), n, out
 
 
-RELATION = "chunk bigint, size bigint, groups bigint, relation binary, keys array<struct<p:bigint,q:bigint,n:bigint>>"
+RELATION = "chunk bigint, size bigint, groups bigint, before bigint, relation binary, numbers binary, p binary, q binary, n binary"
 
 
 def longer(relations: DataFrame, kept: DataFrame) -> DataFrame:
-    """Relations of phrases one word longer, from those of ``relations`` whose groups are in ``kept`` (``chunk, at, number``)."""
-    kinds = pa.schema([("chunk", pa.int64()), ("size", pa.int64()), ("groups", pa.int64()), ("relation", pa.binary()),
-                       ("keys", pa.list_(pa.struct([("p", pa.int64()), ("q", pa.int64()), ("n", pa.int64())])))])
+    """Relations of phrases one word longer, from those of ``relations`` whose groups are in ``kept`` (``chunk, at, number``).
+
+    A chunk's groups are pairs of places in its list of ``numbers``.
+    """
+    kinds = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in RELATION.split(", ")])
 
     def extend(own: pa.Table, groups: pa.Table) -> pa.Table:
         if not own.num_rows or not groups.num_rows:
@@ -177,22 +194,35 @@ def longer(relations: DataFrame, kept: DataFrame) -> DataFrame:
         p, q, n, out = joined(unpacked(own["relation"][0].as_py(), size), numbers)
         if not len(p):
             return kinds.empty_table()
-        return pa.table([own["chunk"].combine_chunks(), own["size"].combine_chunks(), pa.array([len(p)]),
-                         pa.array([packed(out)], pa.binary()), lists({"p": pa.array(p), "q": pa.array(q), "n": pa.array(n)})], schema=kinds)
+        cells = [own["chunk"][0].as_py(), size, len(p), len(numbers), packed(out), packed(numbers, np.int64), packed(p), packed(q), packed(n)]
+        return pa.table([pa.array([c], f.type) for c, f in zip(cells, kinds, strict=True)], schema=kinds)
 
     held = relations.select(F.col("chunk").alias("chunk"), "size", "groups", "relation")  # a column of its own: both sides come from one table
     return materialize(held.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(extend, RELATION), "phrases")
 
 
-def frequent_words(relations: DataFrame, least: int) -> DataFrame:
-    counts = relations.select(F.inline("keys")).groupBy("lang", "word").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return materialize(counts.select(F.monotonically_increasing_id().alias("number"), "lang", F.col("word").alias("phrase"),
-                                     F.col("word").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails")), "frequent")
+def frequent_words(relations: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Frequent words with a number each, and ``entry, number`` of all their entries in chunks, from one shuffle of the entries.
+
+    An entry is a chunk and a place in its list as one number. A word's number is its first entry, so it does not depend on tasks.
+    """
+    word = Window.partitionBy("name")
+    entry = F.shiftleft("chunk", AT_BITS).bitwiseOR(F.col("at").cast("bigint"))
+    entries = relations.select("chunk", F.posexplode("keys").alias("at", "key")).select(entry.alias("entry"), "key.*")
+    counted = entries.withColumns({"a": F.sum("n").over(word), "number": F.min("entry").over(word)}).filter(F.col("a") >= least)
+    kept = materialize(counted.select("entry", "number", F.when(F.col("entry") == F.col("number"), F.struct("name", "a")).alias("named")), "entries")
+    name, size = F.col("named.name"), F.substring_index("named.name", ":", 1)
+    start = F.length(size) + 2
+    lang, phrase = name.substr(start, size.cast("int")), name.substr(start + size.cast("int"), F.length(name))
+    words = materialize(kept.filter("named is not null").select(
+        "number", lang.alias("lang"), phrase.alias("phrase"), phrase.alias("last"), "named.a", F.array("named.a").alias("heads"),
+        F.array("named.a").alias("tails")), "frequent")
+    return words, kept.select("entry", "number")
 
 
 def frequent_phrases(relations: DataFrame, before: DataFrame, least: int) -> DataFrame:
     """Groups of ``relations`` with their phrases; ``heads`` and ``tails`` are the counts of their first and last 1, 2, ... words."""
-    counts = relations.select(F.inline("keys")).groupBy("p", "q").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    counts = groups_of(relations).select("p", "q", "n").groupBy("p", "q").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
     head = before.select(F.col("number").alias("p"), "lang", "phrase", "heads")
     tail = before.select(F.col("number").alias("q"), "last", "tails")
     return materialize(counts.join(head, "p").join(tail, "q").select(
@@ -214,15 +244,20 @@ def weakest_cut(df: DataFrame, words: int) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: int = CHUNK) -> DataFrame:
     """``lang, words, phrase, a, l, r, n, score`` of all candidates of 2 to ``longest`` words that no longer one covers."""
     relations = word_relations(docs, size)
-    totals = relations.select(F.inline("keys")).groupBy("lang").agg(F.sum("n").alias("n"))
-    levels = [frequent_words(relations, least)]
-    single = relations.select("chunk", F.posexplode("keys").alias("at", "key")).select("chunk", "at", "key.lang", "key.word")
-    kept = single.join(levels[0].select("lang", F.col("phrase").alias("word"), "number"), ["lang", "word"])
+    totals = materialize(relations.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    words, entries = frequent_words(relations, least)
+    kept = entries.select(F.shiftright("entry", AT_BITS).alias("chunk"), F.col("entry").bitwiseAND((1 << AT_BITS) - 1).alias("at"), "number")
+    levels, dead = [words], [relations, entries]
     for k in range(2, longest + 1):
-        relations = longer(relations, kept.select("chunk", "at", "number"))
+        relations = longer(relations, kept)
+        for table_ in dead:  # the new relations are written, nothing reads these again
+            discard(table_)
         levels.append(frequent_phrases(relations, levels[-1], least))
+        dead = [relations]
         if k < longest:
-            kept = thinned(relations, levels[-1]).join(levels[-1].select("p", "q", "number"), ["p", "q"])
+            kept = groups_of(relations, levels[-1]).select("chunk", "at", "p", "q").join(
+                levels[-1].select("p", "q", "number"), ["p", "q"]).select("chunk", "at", "number")
+    discard(relations)
     out = None
     for k in range(2, longest + 1):
         own = weakest_cut(levels[k - 1], k)
