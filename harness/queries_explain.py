@@ -167,6 +167,31 @@ def _(s: Stage) -> DataFrame:
     return St.value_frequencies(s.space)
 
 
+def _days(s: Stage) -> DataFrame:
+    """The sequences dealt to five days, so that partial states of several days are merged."""
+    return s.space.withColumn("data_date", F.date_sub("data_date", F.pmod(F.col("id").cast("int"), F.lit(5))))
+
+
+@query("column_stats_by_day", f"SELECT {_STATS} FROM stats")
+def _(s: Stage) -> DataFrame:
+    return St.merged_moments(St.daily_moments(_days(s)))
+
+
+@query("value_frequencies_by_day", f"SELECT step, feature, value, cnt, CAST(c_lo AS BIGINT) AS c_lo, CAST(c_hi AS BIGINT) AS c_hi, "
+                                   f"CAST(total AS BIGINT) AS total, {r6('cnt / total')} AS share FROM freq")
+def _(s: Stage) -> DataFrame:
+    return St.merged_frequencies(St.daily_value_counts(_days(s)))
+
+
+@query("daily_moments", f"""
+SELECT CAST(d AS DATE) AS data_date, step, feature, count(*) AS n, {r6('avg(x)')} AS mean, {r6('var_pop(x) * count(*)', 3)} AS squares, {r6('min(x)')} AS min, {r6('max(x)')} AS max
+FROM (SELECT data_date - CAST(CAST(id AS INTEGER) % 5 AS INTEGER) AS d, step, 'product_price' AS feature, product_price AS x FROM space UNION ALL
+      SELECT data_date - CAST(CAST(id AS INTEGER) % 5 AS INTEGER), -1, 'inactivity', inactivity FROM space WHERE step = 0) GROUP BY 1, 2, 3""")
+def _(s: Stage) -> DataFrame:
+    states = St.daily_moments(_days(s)).where(F.col("feature").isin("product_price", "inactivity"))
+    return states.withColumn("squares", F.round("squares", 3))
+
+
 @query("categorical_unit_scale", f"""
 SELECT step, feature, kind, {r6("CASE WHEN kind = 'cat' THEN 0 ELSE mean END")} AS mean,
        {r6("CASE WHEN kind = 'cat' OR std = 0 THEN 1 ELSE std END")} AS std FROM stats""")

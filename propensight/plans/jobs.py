@@ -192,6 +192,32 @@ def build_statistics(examples: DataFrame, store: Store) -> None:
         df.write.mode("overwrite").parquet(store.path(f"explainer/{name}"))
 
 
+def add_daily_statistics(spark: SparkSession, store: Store, dates: list[dt.date], purpose: str = "training") -> list[dt.date]:
+    """Store partial statistics of the dates that have none yet; only the sequences of these dates are read. Returns them."""
+    path = store.path("daily/moments")
+    lacking = sorted(set(dates) - set(_dates(_written(spark, path))))
+    if lacking:
+        space = Sp.to_explainer_space(S.step_rows(T.read_sequences(spark, store.path("sequences"), lacking, purpose)))
+        T.write_dated(St.daily_value_counts(space), store.path("daily/values"), ["data_date"])
+        T.write_dated(St.daily_moments(space), path, ["data_date"])
+    return lacking
+
+
+def merge_daily_statistics(spark: SparkSession, store: Store, dates: list[dt.date]) -> dict[str, DataFrame]:
+    """Statistics and frequencies of the dates together, from their partial statistics alone."""
+    return {"stats": St.merged_moments(T.read_dated(spark, store.path("daily/moments"), dates)),
+            "frequencies": St.merged_frequencies(T.read_dated(spark, store.path("daily/values"), dates))}
+
+
+def explainer_statistics(spark: SparkSession, store: Store, available: DataFrame, **calendar) -> dict[str, DataFrame]:
+    """Statistics over the explainer calendar: days that came since the last call are added, older ones are not read again."""
+    days = _dates(Cal.explainer_calendar(available, **calendar))
+    written = set(_dates(_written(spark, store.path("sequences"), "training")))
+    days = [d for d in days if d in written]
+    add_daily_statistics(spark, store, days)
+    return merge_daily_statistics(spark, store, days)
+
+
 def _statistics(spark: SparkSession, store: Store, name: str) -> DataFrame:
     return spark.read.parquet(store.path(f"explainer/{name}"))
 

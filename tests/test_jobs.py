@@ -1,10 +1,11 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from harness import fixtures as X
-from propensight.operators import extract as E
+from propensight.operators import extract as E, sequences as S, space as Sp, stats as St
 from propensight.plans import jobs as J
 from propensight.session import materialize
 from propensight.sources import tables as T
@@ -74,3 +75,30 @@ def test_too_many_missing_days(spark, small, tmp_path):
     late = X.Params(history=14, horizon=2, training_history=60)
     with pytest.raises(ValueError, match="no data"):
         J.prepare(inputs, J.Store(str(tmp_path)), EXEC, "train", late)
+
+
+def test_a_new_day_is_added_without_reading_old_ones(spark, small, tmp_path, monkeypatch):
+    store = J.Store(str(tmp_path))
+    available = E.available_dates(small.events)
+    days = [small.cutoff + dt.timedelta(days=k) for k in range(3)]
+    for k, day in enumerate(days):
+        own = small.examples.withColumn("data_date", F.lit(day)).withColumn("inactivity", F.col("inactivity") + 100.0 * k)
+        T.write_sequences(own, store.path("sequences"), "training")
+        if k == 1:
+            assert J.add_daily_statistics(spark, store, days[:2]) == days[:2]
+    assert J.add_daily_statistics(spark, store, days[:2]) == []
+    whole = T.read_sequences(spark, store.path("sequences"), days)
+    space = Sp.to_explainer_space(S.step_rows(whole))
+    want = {n: df.toPandas() for n, df in (("stats", St.column_stats(space)), ("frequencies", St.value_frequencies(space)))}
+
+    read, real = [], T.read_sequences
+    monkeypatch.setattr(T, "read_sequences", lambda spark, path, dates, purpose: read.append(dates) or real(spark, path, dates, purpose))
+    assert J.add_daily_statistics(spark, store, days) == days[2:] and read == [days[2:]]
+    merged = J.merge_daily_statistics(spark, store, days)
+    for name, keys in (("stats", ["step", "feature"]), ("frequencies", ["step", "feature", "value"])):
+        a, b = (df.sort_values(keys).reset_index(drop=True) for df in (merged[name].toPandas(), want[name]))
+        assert len(a) == len(b) > 0 and list(a.columns) == list(b.columns)
+        for c in a.columns:
+            assert np.allclose(a[c], b[c], rtol=1e-9) if a[c].dtype.kind == "f" else (a[c] == b[c]).all()
+    planned = J.explainer_statistics(spark, store, available, execution_date=EXEC, share=1.0, history=20, horizon=2)
+    assert read == [days[2:]] and planned["stats"].count() > 0
