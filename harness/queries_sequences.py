@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harness import fixtures as X
 from harness.ctes import CUT, FIXED_SCORE, P, SEED, STEP_SCORE, _pbin, d, effective, r6
@@ -258,7 +258,10 @@ def _(s: Stage) -> DataFrame:
 
 @query("hyperparameter_sweep")
 def _(s: Stage) -> DataFrame:
-    return M.hyperparameter_sweep(s.examples, s.examples, [{"reg_param": 0.01}, {"reg_param": 1.0}, {"reg_param": -1.0}])
+    """Fitted on the first share of the cutoffs, ranked on the others."""
+    parts = Cal.split_by_date(s.examples_many.select("data_date").distinct(), 0.8)
+    part = lambda name: s.examples_many.join(F.broadcast(parts.where(F.col("part") == name)), "data_date", "left_semi")
+    return M.hyperparameter_sweep(part("train"), part("evaluate"), [{"reg_param": 0.01}, {"reg_param": 1.0}, {"reg_param": -1.0}])
 
 
 @query("classification_losses", f"""

@@ -98,6 +98,13 @@ class Stage:
     def examples(self) -> DataFrame:
         return materialize(S.sequence_examples(self.features, self.params.max_len, self.params.horizon), "sequences")
 
+    @cached_property
+    def examples_many(self) -> DataFrame:
+        """Sequences of all cutoffs."""
+        vocabulary = materialize(V.grow_vocabulary(None, Fe.fill_missing(self.extract_many)), "vocabulary-many")
+        features = Fe.event_features(self.extract_many, vocabulary, self.slots)
+        return materialize(S.sequence_examples(features, self.params.max_len, self.params.horizon), "sequences-many")
+
     @property
     def steps(self) -> DataFrame:
         return S.step_rows(self.examples)

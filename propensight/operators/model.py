@@ -17,6 +17,7 @@ from propensight import constants as C
 from propensight.functions.scoring import MeanPoolScorer
 from propensight.operators.evaluate import classification_losses
 from propensight.operators.sequences import ID_KEYS
+from propensight.session import materialize
 
 FAILED_LOSS = 1e9
 
@@ -32,15 +33,22 @@ def pool_sequences(examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
     return pooled.select(*keys, *label, F.concat(last, mean, "_total", rest).alias("pooled"))
 
 
-def fit_classifier(examples: DataFrame, reg_param: float = 0.01, elastic_net: float = 0.0,
-                   max_iter: int = 50) -> PipelineModel:
+def pooled_table(examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
+    """Pooled sequences, written once for all passes of a fit and all fits of a sweep."""
+    return materialize(pool_sequences(examples, keys), "pooled")
+
+
+def fit_pooled(pooled: DataFrame, reg_param: float = 0.01, elastic_net: float = 0.0, max_iter: int = 50) -> PipelineModel:
     """Two-class logistic classifier with cross-entropy loss on standardised pooled sequences."""
     stages = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
               LogisticRegression(featuresCol="scaled", labelCol="label", regParam=reg_param,
                                  elasticNetParam=elastic_net, maxIter=max_iter, family="binomial")]
-    train = pool_sequences(examples).select(array_to_vector("pooled").alias("features"),
-                                            F.col("label").cast("double").alias("label"))
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(pooled.select(array_to_vector("pooled").alias("features"), F.col("label").cast("double").alias("label")))
+
+
+def fit_classifier(examples: DataFrame, reg_param: float = 0.01, elastic_net: float = 0.0,
+                   max_iter: int = 50) -> PipelineModel:
+    return fit_pooled(pooled_table(examples), reg_param, elastic_net, max_iter)
 
 
 def score(model: PipelineModel | MeanPoolScorer | Callable, examples: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
@@ -53,7 +61,10 @@ def score(model: PipelineModel | MeanPoolScorer | Callable, examples: DataFrame,
         return model.score_steps(examples, keys)
     if not isinstance(model, PipelineModel):
         return score_with_function(examples, model, keys)
-    pooled = pool_sequences(examples, keys)
+    return score_pooled(model, pool_sequences(examples, keys), keys)
+
+
+def score_pooled(model: PipelineModel, pooled: DataFrame, keys: list[str] = ID_KEYS) -> DataFrame:
     scored = model.transform(pooled.withColumn("features", array_to_vector("pooled")))
     label = ["label"] if "label" in pooled.columns else []
     return scored.select(*keys, *label, F.get(vector_to_array("probability"), F.lit(1)).alias("purchase_proba"))
@@ -73,13 +84,17 @@ def score_with_function(examples: DataFrame, predict: Callable[[pd.DataFrame], p
 
 
 def hyperparameter_sweep(train: DataFrame, evaluation: DataFrame, grid: list[dict]) -> DataFrame:
-    """Evaluation loss of every parameter set, best first; a fit that fails counts as a huge loss."""
-    rows = []
+    """Loss of every parameter set on sequences it was not fitted on, best first; a fit that fails counts as a huge loss.
+
+    Both parts are pooled once.
+    """
+    spark, rows = train.sparkSession, []
+    fitted, held_out = pooled_table(train), pooled_table(evaluation)
     for params in grid:
         try:
-            scored = score(fit_classifier(train, **params), evaluation).withColumnRenamed("purchase_proba", "proba")
+            scored = score_pooled(fit_pooled(fitted, **params), held_out).withColumnRenamed("purchase_proba", "proba")
             loss = classification_losses(scored).first()["cross_entropy"]
         except (IllegalArgumentException, TypeError, ValueError):  # parameters that the fit refuses; a lost cluster is an error
             loss = None
         rows.append((json.dumps(params, sort_keys=True), FAILED_LOSS if loss is None or loss != loss else float(loss)))
-    return train.sparkSession.createDataFrame(rows, "params string, loss double").orderBy("loss", "params")
+    return spark.createDataFrame(rows, "params string, loss double").orderBy("loss", "params")

@@ -121,27 +121,39 @@ def check_model(spark: SparkSession, store: Store, execution_date: dt.date, max_
     return Cal.needs_retrain(model_runs(spark, store), execution_date, max_age).first()["retrain"]
 
 
-def train(spark: SparkSession, store: Store, execution_date: dt.date, params: Params = Params(), **fit) -> DataFrame:
-    """Fit on the first share of the prepared days, store the model, and return its losses on the others.
+def split_days(spark: SparkSession, store: Store, execution_date: dt.date, params: Params) -> tuple[list[dt.date], list[dt.date]]:
+    """Days to fit on and days held out.
 
     Days count from the training history up to the last one whose labels were complete at the execution date, whatever
     else is stored.
     """
-    path = store.path("sequences")
     day, end = F.col("data_date"), F.lit(execution_date)
-    known = T.written_dates(spark, path, "training").where(
+    known = T.written_dates(spark, store.path("sequences"), "training").where(
         (day <= F.date_sub(end, params.horizon)) & (day > F.date_sub(end, params.training_history + 1)))
     parts = Cal.split_by_date(known, params.train_share).collect()
-    days = lambda part: [r["data_date"] for r in parts if r["part"] == part]
-    if not days("train") or not days("evaluate"):
+    first, rest = ([r["data_date"] for r in parts if r["part"] == part] for part in ("train", "evaluate"))
+    if not first or not rest:
         raise ValueError(f"{len(parts)} prepared days up to {execution_date} do not give training and held-out days")
-    model = M.fit_classifier(T.read_sequences(spark, path, days("train")), **fit)
+    return first, rest
+
+
+def train(spark: SparkSession, store: Store, execution_date: dt.date, params: Params = Params(), **fit) -> DataFrame:
+    """Fit on the first share of the prepared days, store the model, and return its losses on the others."""
+    path = store.path("sequences")
+    days, held_out = split_days(spark, store, execution_date, params)
+    model = M.fit_classifier(T.read_sequences(spark, path, days), **fit)
     model.write().overwrite().save(store.path(f"models/{RUN_PREFIX}{execution_date:%Y%m%d}"))
-    held_out = days("evaluate")
     scored = M.score(model, T.read_sequences(spark, path, held_out)).withColumnRenamed("purchase_proba", "proba")
     return Ev.classification_losses(scored)
 
 
+def sweep(spark: SparkSession, store: Store, execution_date: dt.date, grid: list[dict], params: Params = Params()) -> DataFrame:
+    """Loss of every parameter set on the held-out days, best first; `train` takes the best as its arguments."""
+    path = store.path("sequences")
+    days, held_out = split_days(spark, store, execution_date, params)
+    return M.hyperparameter_sweep(T.read_sequences(spark, path, days), T.read_sequences(spark, path, held_out), grid)
+
+
 def latest_model(spark: SparkSession, store: Store, execution_date: dt.date) -> PipelineModel:
     """The newest model that is not later than the date."""
     stamp = F.regexp_extract("name", "([0-9]{8})$", 1)

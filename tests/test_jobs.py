@@ -27,7 +27,11 @@ def test_from_events_to_explanations(spark, small, tmp_path):
     until = one.where(F.to_date("event_timestamp") <= F.col("data_date"))
     assert stored.count() == until.select("id").distinct().count()
 
+    ranked = J.sweep(spark, store, EXEC, [{"reg_param": 0.1}, {"reg_param": 10.0}, {"reg_param": -1.0}], PARAMS).collect()
     losses = J.train(spark, store, EXEC, PARAMS, reg_param=0.1).first()
+    by = {r["params"]: r["loss"] for r in ranked}
+    assert by['{"reg_param": 0.1}'] == pytest.approx(losses["cross_entropy"])  # the same days are held out
+    assert [r["loss"] for r in ranked] == sorted(by.values()) and ranked[-1]["loss"] > 1e6
     assert 0 < losses["cross_entropy"] < 5
     assert not J.check_model(spark, store, EXEC + dt.timedelta(days=5), 5)
 
