@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from propensight.llm.common import shielded, table
-from propensight.session import materialize
+from propensight.session import materialize, shuffle_width
 
 PART = 16.0  # largest mean drawn from one table
 TERMS = 96  # entries of a table; beyond it lies less than 1e-40 at mean 16
@@ -67,15 +67,20 @@ def poisson_mix(docs: DataFrame, weights: dict | None = None, temperature: float
     """``docs`` with each row as often as drawn (``copy`` from 1 to ``n_copies``), in the order of ``shuffle_key``."""
     rates = materialize(target_rates(docs, weights, temperature, budget), "mix_rates")
     identity = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    draw = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, j: n + F.size(
-        F.filter("cumulative", lambda c: c <= uniform(F.lit(str(seed)), identity, j.cast("string")))))
+    # One number per part, hashed once and then compared with the whole table.
+    numbers = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda j: uniform(F.lit(str(seed)), identity, j.cast("string")))
+    draw = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("cumulative", lambda c: c <= u)))
     rows, restored = shielded(docs.drop("copy", "n_copies", "shuffle_key"), ("doc_id", "text", "source"))
     counted = (rows
                .join(rates, F.col("source").eqNullSafe(F.col("mix_source")), "left")
                .withColumn("n_copies", draw.cast("long")).filter("n_copies > 0"))
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), identity, F.col("copy").cast("string")))
-    return restored(copies.withColumn("shuffle_key", key), "n_copies", "copy", "shuffle_key").orderBy("shuffle_key")
+    # Keys are even, so their first digits deal them to partitions that follow each other; a sort would draw all copies twice to sample them.
+    width = shuffle_width(docs)
+    part = F.floor(F.conv(F.substring("shuffle_key", 1, 13), 16, 10).cast("long").cast("double") / F.lit(UNIT) * width).cast("int")
+    keyed = copies.withColumn("shuffle_key", key).repartitionById(width, part)
+    return restored(keyed.sortWithinPartitions("shuffle_key"), "n_copies", "copy", "shuffle_key")
 
 
 def op8_mix(spark, sf_dir: str) -> DataFrame:
