@@ -46,13 +46,17 @@ def brute(rows):
     for doc, text in rows:
         a, b = tokens(text or "")
         a_end, b_end = ([(i, int(e)) for (i, _), e in zip(x, np.cumsum([len(s) for _, s in x]), strict=True)] for x in (a, b))
-        both = {e for _, e in a_end} & {e for _, e in b_end}
-        own = [(i, j) for i, e in a_end if e in both for j, f in b_end if f == e] if len(a) < 400 else [
-            (i, dict((f, j) for j, f in b_end)[e]) for i, e in a_end if e in both]
-        groups, low = [], 0
-        for e in sorted(both):
-            groups.append(",".join(str(i) for i, x in a_end if low < x <= e) + "|" + ",".join(str(j) for j, x in b_end if low < x <= e))
-            low = e
+        last_a, last_b = ({e: i for i, e in x} for x in (a_end, b_end))
+        both = sorted(last_a.keys() & last_b.keys())
+        own = [(last_a[e], last_b[e]) for e in both]
+        groups, i, j = [], 0, 0
+        for e in both:
+            first_i, first_j = i, j
+            while i < len(a_end) and a_end[i][1] <= e:
+                i += 1
+            while j < len(b_end) and b_end[j][1] <= e:
+                j += 1
+            groups.append(",".join(str(x) for x, _ in a_end[first_i:i]) + "|" + ",".join(str(x) for x, _ in b_end[first_j:j]))
         links.update(own)
         per.append((doc, len(a), len(b), len(groups), own, hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""))
     most = {}

@@ -58,16 +58,16 @@ def test_empty_table(spark):
 
 
 def test_iteration_goes_on_until_nothing_changes(spark):
-    """A ring of hosts: after a dozen rounds a seventh of the trust would still be missing."""
+    """A ring of hosts: after a dozen rounds 0.38 of the trust of the first would still be missing."""
     n = 6
     rows = [(i, f"http://h{i}.io/a", f"<a href='https://h{(i + 1) % n}.io/p'>x</a>") for i in range(n)] + [(9, "http://h0.io/b", "")]
     seeds = spark.createDataFrame([(f"h{i}.io", float(i == 0), float(i == 3)) for i in range(n)], "host string, trust double, distrust double")
     edges = urls.host_edges(spark.createDataFrame(rows, SCHEMA))
-    got = {r.host: (r.trust, r.distrust) for r in urls.spread(seeds, edges, 1e-3).collect()}
+    got = {r.host: (r.trust, r.distrust) for r in urls.spread(seeds, edges, 0.01).collect()}
     whole = 1 / (1 - urls.DAMPING ** n)
     for i in range(n):
-        assert abs(got[f"h{i}.io"][0] - whole * urls.DAMPING ** i) < 0.01
-        assert abs(got[f"h{i}.io"][1] - whole * urls.DAMPING ** ((3 - i) % n)) < 0.01
+        assert abs(got[f"h{i}.io"][0] - whole * urls.DAMPING ** i) < 0.07
+        assert abs(got[f"h{i}.io"][1] - whole * urls.DAMPING ** ((3 - i) % n)) < 0.07
 
 
 def test_linked_hosts_and_twin(spark, tmp_path):
