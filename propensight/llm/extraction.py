@@ -1,39 +1,36 @@
-"""Main text of web pages by name rules, and by what the pages of a host have in common.
-
-The method of equivalence classes (tokens with equal occurrence vectors, nested into a template, slots from the gaps) is **not** built:
-tokens are filtered one by one by their support, and the main slots come from the names of elements.
-
-1. Tokens are the elements of a page (by path with class and id) and its blocks of text (by path and text). Support, occurrences and a
-   digest of the vector of occurrences add up over pages, so no host is gathered in one task. Pages of a host with the same main text
-   count once.
-2. A token in at least ``SUPPORT`` of a host's pages, and in ``MIN_PAGES`` of them, is in the host's template. The digest is compared
-   with that of the root only: equal means that the token is in every page.
-3. Texts that are tokens of the template are not content; inside an article only those are left out that every page has (at least
-   ``FULL_PAGES`` pages), so passages that many articles share stay. Elements in menus, headers, footers, sidebars, notices, adverts,
-   forms and comments (by element, class or id) go.
-   A name does not count if another class of the element names content, nor for an element that holds most of the text of a page
-   without other content. The main slots are those of `article` or `main`; without one, those of the lowest common ancestor of the
-   elements with a content name; without a name, of the deepest template element that holds most of the host's open text. Texts of the
-   template that are not in every page go outside of the main slots only.
-
-Pages with null html have an empty text, pages without a host's template (few pages, null url) are read by the rules of
-3 alone. Repeated rows give equal rows. Columns besides page_id, url and html are not read.
+"""Main text of web pages: the slots of a template that is deduced from the pages of a host.
+
+1. Tokens of a page are its elements, opened and closed, and its blocks of text. Tokens with equal occurrence vectors over a host's pages
+   are classes; the ordered and nested ones make the host's template (`equivalence`). What varies between its tokens are the slots.
+2. Names rank the blocks of a page: 3 inside `article` or `main`, 2 inside elements whose class or id names content, 1 elsewhere, 0 in
+   menus, headers, footers, sidebars, notices, adverts, forms and comments. The level of a host is the best rank most of its pages have.
+3. The main slots of a host are those that hold text of that level. Where names say nothing (level 1) they are the slots inside the deepest
+   template element that holds at least ``MAIN_SHARE`` of the host's varying text.
+4. The text of a page are the blocks of the level in the main slots. A text that is a token of a valid class is template and not content;
+   inside the main slots only texts of the root class (once in every page, at least ``FULL_PAGES`` of them) go, so passages that many
+   articles share stay.
+
+Inside `article` or `main` a name rejects an element only if all its words are of menus or layout (`share-buttons`, not `related-work`),
+and headings in its header stay; paragraphs and headings are never rejected by their names.
+
+A host with fewer than ``MIN_PAGES`` different pages has no template: vectors over so few pages are equal by chance. Its pages, pages with a
+null url, and pages without text in the main slots are read by the ranks of 2 alone. Null html is an empty text. Repeated rows
+give equal rows. Columns besides page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from propensight.llm.common import table
-from propensight.llm.markup import Element, read, words
+from propensight.llm.equivalence import CLOSE, OPEN, STREAM, Template, beside, deduce, roles
+from propensight.llm.markup import Element, digest, read, words
 from propensight.llm.urls import host_of
 from propensight.session import materialize
 
 SUPPORT, MIN_PAGES, FULL_PAGES = 0.5, 4, 10
 MAIN_SHARE = 0.7
-TEMPLATE_BYTES = 64 << 20  # templates are broadcast up to this measured size
 # Elements and words of class or id that are not the article.
 BAD_TAGS = frozenset("nav header footer aside form script style noscript template iframe button select dialog menu svg object canvas".split())
 BAD_WORDS = frozenset((
@@ -41,7 +38,12 @@ BAD_WORDS = frozenset((
     "promotion promotions sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer foot header masthead topbar "
     "comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices notification notifications "
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
-    "widget widgets toolbar pagination pager paywall disclaimer copyright skip aside alert alerts").split())
+    "widget widgets toolbar pagination pager paywall disclaimer copyright skip aside alert alerts teaser teasers responses").split())
+LAYOUT_WORDS = frozenset((
+    "box boxes container wrapper wrap block section area inner outer row col column list links link items item bar panel buttons button "
+    "icons posts post articles stories content entry card cards form text title heading label top bottom left right main site page user "
+    "slot unit zone my the js is has").split())
+HEADER_WORDS = frozenset("header head masthead".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -64,37 +66,87 @@ def common_ancestor(elements: list[Element]) -> Element:
     return lowest[0]
 
 
-def digest(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def only_bad(names: str) -> bool:
+    """A class or id whose words are all of menus and the like, or of layout."""
+    each = [set(words(n)) for n in names.split()]
+    return any(BAD_WORDS & w and w <= BAD_WORDS | LAYOUT_WORDS for w in each)
 
 
 class Page:
-    """Elements and blocks with what their names say."""
+    """The stream of a page: tokens, characters of texts, and the rank that names give each text."""
 
     def __init__(self, page: str):
-        self.elements, self.blocks = read(page, BAD_WORDS)
-        hinted = {e for e in self.elements if e.tag not in ("html", "body") and says_bad(e.names)}
-        mains = [e for e in self.elements if e.tag in ("article", "main") or "main" in words(e.names) and "role" in e.names]
+        elements, stream = read(page, BAD_WORDS)
+        blocks = [(e, t) for e, t in stream if t]
+        hinted = {e for e in elements if e.tag not in ("html", "body") and says_bad(e.names)}
+        mains = [e for e in elements if e.tag in ("article", "main") or "main" in words(e.names) and "role" in e.names]
         open_ = [e for e in mains if e not in hinted]
         if not open_:
-            hinted -= self.swallowing(hinted)
+            hinted -= self.swallowing(blocks, hinted)
             open_ = [e for e in mains if e not in hinted]
-        bad = hinted | {e for e in self.elements if e.tag in BAD_TAGS}
-        free = [e for e in open_ if not any(x in bad for x in e.above())]
-        self.mains = set(free or open_)
-        articles = {e for e in self.mains if e.tag == "article"}
-        holders = {x for e in self.mains for x in e.above()}
-        if articles:
-            self.mains = articles
-        # What holds the main element is not judged by its name.
-        self.bad = bad - holders
-        self.free = [(e, t) for e, t in self.blocks if not self.is_bad(e)]
-
-    def swallowing(self, hinted: set[Element]) -> set[Element]:
+        tagged = {e for e in elements if e.tag in BAD_TAGS}
+        shut = self.below(elements, hinted | tagged)
+        chosen = set([e for e in open_ if e not in shut] or open_)
+        holders = {x for e in chosen for x in e.above()}
+        # Articles inside `main` are the main elements; beside a `main` with text of its own they are not.
+        within = {e for e in chosen if e.tag != "article" and any(e in x.above() for x in chosen if x.tag == "article")}
+        areas = {e for e in chosen if e.tag != "article"}
+        if areas - within and any(areas.intersection(e.above()) for e, _ in blocks):
+            articles = {e for e in chosen if e.tag == "article" and areas.intersection(e.above())}
+        else:
+            articles = {e for e in chosen if e.tag == "article"}
+        mains_ = (articles | areas - within) if articles else (areas or chosen)
+        inside = self.below(elements, mains_)
+        bad = (hinted | tagged) - holders
+        weak = {e for e in bad if e in inside and e not in tagged and (e.tag in HEADINGS or e.tag == "p" or not only_bad(e.names))}
+        bad -= weak
+        free = self.free(elements, bad, inside)
+        named = [e for e in elements if e in free and names_content(e)]
+        used = {x for e, _ in blocks if e in free for x in e.above()} if not mains_ else set()
+        own = [e for e in named if e in used]
+        if own and not mains_:
+            slot = common_ancestor(own)
+            region = self.below(elements, set(own) if slot.tag in ("html", "body", "") else {slot})
+        else:
+            region = set()
+        self.tokens, self.chars, self.ranks, self.texts = [], [], [], []
+        for e, t in stream:
+            self.tokens.append(e.key if t == "" else ~e.key if t is None else digest(t, e.key) >> 1)
+            self.chars.append(len(t or ""))
+            self.texts.append(t)
+            self.ranks.append(OPEN if t == "" else CLOSE if t is None else 0 if e not in free else 3 if e in inside else 2 if e in region else 1)
+        self.best = max([r for r in self.ranks if r > 0], default=0)
+
+    @staticmethod
+    def below(elements: list[Element], tops: set[Element]) -> set[Element]:
+        """``tops`` and all elements inside them; parents come before their children."""
+        found: set[Element] = set()
+        for e in elements:
+            if e in tops or e.parent in found:
+                found.add(e)
+        return found
+
+    @staticmethod
+    def free(elements: list[Element], bad: set[Element], inside: set[Element]) -> set[Element]:
+        """Elements in no bad one. Headings in a header inside the main element are free."""
+        free: set[Element] = set()
+        headed: set[Element] = set()
+        for e in elements:
+            if e.parent is None or e.parent in free:
+                if e not in bad:
+                    free.add(e)
+                elif e in inside and (e.tag == "header" or HEADER_WORDS.intersection(words(e.names))):
+                    headed.add(e)
+            elif e.parent in headed and (e.tag == "header" or e not in bad):
+                (free if e.tag in HEADINGS else headed).add(e)
+        return free
+
+    @staticmethod
+    def swallowing(blocks: list[tuple[Element, str]], hinted: set[Element]) -> set[Element]:
         """Elements that only a name rejects although they hold most of the page's text and nothing outside is named content."""
         size: dict[Element, int] = {}
         whole = 0
-        for e, t in self.blocks:
+        for e, t in blocks:
             above = list(e.above())
             if any(x.tag in BAD_TAGS for x in above):
                 continue
@@ -105,110 +157,114 @@ class Page:
                 size[x] = size.get(x, 0) + len(t)
         return {x for x, n in size.items() if 2 * n > whole}
 
-    def is_bad(self, e: Element) -> bool:
-        heading = False
-        for x in e.above():
-            if x.tag in HEADINGS:
-                heading = True
-            if x in self.bad and not (heading and x.tag == "header" and any(y in self.mains for y in x.above())):
-                return True
-        return False
-
-    def in_main(self, e: Element) -> bool:
-        return any(x in self.mains for x in e.above())
-
-    def tokens(self) -> list[tuple[int, int, int, bool]]:
-        """Digest, occurrences, characters of free text inside, and whether it is a text."""
-        inside: dict[Element, int] = {}
-        for e, t in self.free:
-            for x in e.above():
-                inside[x] = inside.get(x, 0) + len(t)
-        found: dict[tuple[int, bool], list[int]] = {}
-        for key, size, is_text in ([(digest(e.path), inside.get(e, 0), False) for e in self.elements]
-                                   + [(digest(f"{e.path}\n{t}"), len(t), True) for e, t in self.blocks]):
-            entry = found.setdefault((key, is_text), [0, 0])
-            entry[0] += 1
-            entry[1] += size
-        return [(k, n, size, is_text) for (k, is_text), (n, size) in found.items()]
-
     def main_digest(self) -> int:
-        return digest("\n".join(t for e, t in self.free if not self.mains or self.in_main(e)))
+        return digest("\n".join(t for t, r in zip(self.texts, self.ranks, strict=True) if t and r == self.best)) - (1 << 63)
 
     def text(self, template: dict | None) -> str:
         """Blocks of the main slots in page order."""
-        anywhere, everywhere, main = (template["anywhere"], template["everywhere"], template["main"]) if template else ((), (), None)
-        rows = [(e, t, digest(f"{e.path}\n{t}") if anywhere else 0) for e, t in self.free]
-        if self.mains:
-            return " ".join(t for e, t, k in rows if self.in_main(e) and k not in everywhere)
-        # Only outside the main slot does a text of half the pages go; inside, one of every page.
-        own = {x for e, _, k in rows if k not in anywhere for x in e.above() if names_content(x)}
-        if own:
-            slot = common_ancestor(list(own))
-            inner = own if slot.tag in ("html", "body", "") else {slot}
-            inside = [(t, k, any(x in inner for x in e.above())) for e, t, k in rows if slot in e.above()]
-            return " ".join(t for t, k, kept in inside if k not in (everywhere if kept else anywhere))
-        named = main is not None and any(x.tag not in ("html", "body", "") and digest(x.path) == main for x in self.elements)
-        inside = [t for e, t, k in rows if main is not None and any(digest(x.path) == main for x in e.above())
-                  and k not in (everywhere if named else anywhere)]
-        return " ".join(inside or [t for _, t, k in rows if k not in anywhere])
-
-
-TOKENS = "array<struct<token:bigint,n:int,chars:int,is_text:boolean>>"
-
-
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """``host, main, tokens`` of each page."""
-    kind = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int32()), ("chars", pa.int32()), ("is_text", pa.bool_())]))
-
+        if template is None:
+            return " ".join(t for t, r in zip(self.texts, self.ranks, strict=True) if t and r == self.best and r)
+        host: Template = template["classes"]
+        named = roles(self.tokens, self.ranks, template["roots"])
+        level = template["level"]
+        if self.best <= level:
+            slots, _ = host.walk(named)
+            kept, depth, main = [], 0, template["main"]
+            for token, slot, rank, t in zip(named, slots, self.ranks, self.texts, strict=True):
+                if main is not None and token in (main, ~main):
+                    depth += 1 if token == main else -1
+                if t and rank >= level and token not in host.everywhere and (slot in template["slots"] if main is None else depth > 0):
+                    kept.append(t)
+            if kept:
+                return " ".join(kept)
+        dropped = host.texts if self.best == 1 else host.everywhere
+        return " ".join(t for t, r, k in zip(self.texts, self.ranks, named, strict=True) if t and r and r == self.best and k not in dropped)
+
+
+def streams(pages: DataFrame) -> DataFrame:
+    """A row of ``STREAM`` for each different main text of a host."""
     def run(batches):
         for batch in batches:
             read_ = [Page(h) for h in batch.column(1).to_pylist()]
-            tokens = [[dict(zip(("token", "n", "chars", "is_text"), t, strict=True)) for t in p.tokens()] for p in read_]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.main_digest() for p in read_], pa.int64()), pa.array(tokens, kind)],
-                                             names=["host", "main", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([p.main_digest() for p in read_], pa.int64()), pa.array([p.best for p in read_], pa.int32()),
+                 pa.array([p.tokens for p in read_], pa.list_(pa.int64())), pa.array([p.chars for p in read_], pa.list_(pa.int32())),
+                 pa.array([p.ranks for p in read_], pa.list_(pa.int32()))], names=["host", "main", "best", "token", "chars", "rank"])
 
     rows = pages.filter("html is not null and url is not null").select(host_of(F.col("url")).alias("host"), "html")
-    return rows.mapInArrow(run, f"host string, main bigint, tokens {TOKENS}")
+    each = rows.mapInArrow(run, STREAM)
+    one = F.struct("best", "token", "chars", "rank")
+    # Of pages with one main text the same is taken on every run.
+    return each.groupBy("host", "main").agg(F.min_by(one, F.xxhash64("token", "chars", "rank")).alias("s")).select("host", "main", "s.*")
+
+
+def held(rows: DataFrame) -> DataFrame:
+    """``host, token, rank, chars, once``: varying text by slot (``once`` null) and inside each template element."""
+    def run(batches):
+        for batch in batches:
+            found: dict[tuple, int] = {}
+            last, template, root = None, None, frozenset()
+            for host, tokens, chars, ranks, members, own in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (
+                    "host", "token", "chars", "rank", "members", "roots")), strict=True):
+                if host != last:
+                    last, template, root = host, Template(members), frozenset(own or ())
+                named = roles(tokens, ranks, root)
+                slots, _ = template.walk(named)
+                open_: list[list[int]] = []
+                for token, slot, n, rank in zip(named, slots, chars, ranks, strict=True):
+                    if rank == OPEN:
+                        open_.append([token, 0])
+                    elif rank == CLOSE:
+                        inner, total = open_.pop()
+                        if open_:
+                            open_[-1][1] += total
+                        if total and inner in template.once:
+                            key = (host, inner, 1, True)
+                            found[key] = found.get(key, 0) + total
+                    elif rank > 0 and token not in template.texts:
+                        open_[-1][1] += n
+                        key = (host, slot, rank, None)
+                        found[key] = found.get(key, 0) + n
+            columns = list(zip(*[(*k, n) for k, n in found.items()], strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (
+                pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()), strict=True)], names=["host", "token", "rank", "once", "chars"])
+
+    each = rows.mapInArrow(run, "host string, token bigint, rank int, once boolean, chars bigint")
+    return each.groupBy("host", "token", "rank", "once").agg(F.sum("chars").alias("chars"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host with enough pages: texts of the template that occur in many pages (``anywhere``) or in each (``everywhere``), and the
-    ``main`` element where names say nothing."""
-    distinct = page_tokens(pages).groupBy("host", "main").agg(F.first("tokens").alias("tokens"))
-    each = distinct.select("host", "main", F.explode("tokens").alias("t")).select("host", "main", "t.*")
-    # An empty path is in every page: its support is the number of pages.
-    vectors = each.groupBy("host", "token", "is_text").agg(
-        F.count("*").alias("support"), F.bit_xor(F.xxhash64("main", "n")).alias("vector"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
-    whole = vectors.filter((F.col("token") == digest("")) & ~F.col("is_text")).select(
-        "host", F.col("support").alias("pages"), F.col("vector").alias("root"), F.col("chars").alias("all_chars"))
-    valid = vectors.join(whole.filter(F.col("pages") >= MIN_PAGES), "host").filter(
-        (F.col("support") >= F.ceil(F.col("pages") * SUPPORT)) & (F.col("support") >= MIN_PAGES))
-    text, once = F.col("is_text"), (~F.col("is_text")) & (F.col("most") == 1)
-    full = (F.col("vector") == F.col("root")) & (F.col("pages") >= FULL_PAGES)
-    holds = once & (F.col("chars") >= F.col("all_chars") * MAIN_SHARE) & (F.col("chars") > 0)
-    # A host's valid tokens number at most a page's tokens over SUPPORT.
-    return valid.groupBy("host").agg(
-        F.collect_list(F.when(text, F.col("token"))).alias("anywhere"),
-        F.collect_list(F.when(text & full, F.col("token"))).alias("everywhere"),
-        F.min_by("token", F.when(holds, F.struct(F.col("chars"), F.col("token")))).alias("main"))
+    """Per host with enough pages: ``roots``, ``members`` of valid classes, ``level``, main ``slots`` or the ``main`` element."""
+    seen = materialize(streams(pages), "streams")
+    roots, members = deduce(seen, SUPPORT, MIN_PAGES, FULL_PAGES)
+    known = members.join(roots, "host", "left")
+    level = seen.groupBy("host", "best").agg(F.count("*").alias("n")).groupBy("host").agg(F.max_by("best", F.struct("n", "best")).alias("level"))
+    rows = beside(seen, members, "members").filter("members is not null")
+    text = materialize(held(beside(rows, roots, "roots")).join(level, "host"), "held")
+    slots = text.filter("once is null").groupBy("host").agg(
+        F.collect_list(F.when(F.col("rank") == F.col("level"), F.col("token"))).alias("slots"), F.sum("chars").alias("whole"))
+    mains = text.filter("once and level = 1").join(slots, "host").filter(F.col("chars") >= F.col("whole") * MAIN_SHARE).groupBy("host").agg(
+        F.min_by("token", F.struct("chars", "token")).alias("main"))
+    return known.join(level, "host").join(slots.drop("whole"), "host", "left").join(mains, "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` per page."""
     pages = pages.select("page_id", "url", "html")
     known = materialize(templates(pages), "templates")
-    size = known.agg(F.coalesce(F.sum(F.length("host") + 8 * (F.size("anywhere") + F.size("everywhere")) + 64), F.lit(0))).first()[0]
     rows = pages.withColumn("host", F.when(F.col("url").isNotNull(), host_of(F.col("url"))))
-    joined = rows.join(F.broadcast(known) if size <= TEMPLATE_BYTES else known, "host", "left").select(
-        "page_id", "url", "html", "anywhere", "everywhere", "main")
+    joined = beside(rows, known, "members").select("page_id", "url", "html", "host", "roots", "members", "level", "slots", "main")
 
     def run(batches):
+        last, template = None, None
         for batch in batches:
             out = []
-            for page, *parts in zip(*(batch.column(j).to_pylist() for j in range(2, 6)), strict=True):
-                template = None
-                if parts[0] is not None:
-                    template = {"anywhere": set(parts[0]), "everywhere": set(parts[1]), "main": parts[2]}
+            for page, host, roots, members, level, slots, main in zip(*(batch.column(j).to_pylist() for j in range(2, 9)), strict=True):
+                if host is None or members is None:
+                    last, template = None, None
+                elif host != last:
+                    last, template = host, {"roots": frozenset(roots or ()), "classes": Template(members), "level": level,
+                                            "slots": frozenset(slots or ()), "main": main}
                 out.append(Page(page).text(template) if page else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()),
                                               pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])

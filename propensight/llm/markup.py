@@ -1,10 +1,12 @@
-"""A tolerant reader of HTML: elements with their paths, and blocks of text."""
+"""A tolerant reader of HTML: elements with a hash of their paths, blocks of text, and the order of both."""
 
 from __future__ import annotations
 
 import html
 import re
 
+import xxhash
+
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)
     |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S | re.X)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -20,15 +22,20 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 CLOSED_BY |= {"thead": CLOSED_BY["tbody"], "tfoot": CLOSED_BY["tbody"]}
 LISTS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "optgroup": {"select"}}
 SCOPE = {"table"}
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th blockquote figcaption pre caption".split())  # where inline elements are words of a text
+
+
+def digest(text: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
 
 
 class Element:
-    __slots__ = ("parent", "tag", "names", "path")
+    __slots__ = ("parent", "tag", "names", "key")
 
     def __init__(self, parent: Element | None, tag: str, names: str):
         self.parent, self.tag, self.names = parent, tag, names
-        label = f"{tag}.{names}" if names else tag
-        self.path = f"{parent.path}/{label}" if parent else label
+        # Not negative, so that the complement is free for the end of the element; digits in names (`post-17`) do not count.
+        self.key = digest(f"{tag}.{' '.join(words(names))}", parent.key) >> 1 if parent else 0
 
     def above(self):
         e = self
@@ -37,12 +44,14 @@ class Element:
             e = e.parent
 
 
-def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Element, str]]]:
-    """All elements, and the blocks: the element each is in and its text, white space as single blanks, references decoded.
+def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Element, str | None]]]:
+    """All elements, and the stream of the page: each element that is not inline where it starts (with an empty text) and ends (with
+    None), and the blocks of text with the element they are in, white space as single blanks, references decoded.
 
-    Inline elements do not end a block unless a word of their class or id is in ``splits``."""
+    Inline elements do not end a block unless a word of their class or id is in ``splits`` and they stand in no paragraph."""
     root = Element(None, "", "")
-    elements, blocks = [root], []
+    elements, stream = [root], [(root, "")]
+    split: set[Element] = set()
     stack: list[Element] = [root]
     piece: list[str] = []
     owner = root
@@ -51,16 +60,17 @@ def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Eleme
         nonlocal piece
         text = " ".join("".join(piece).split())
         if text:
-            blocks.append((owner, text))
+            stream.append((owner, text))
         piece = []
 
     def is_inline(e: Element) -> bool:
-        return e.tag in INLINE and not splits.intersection(words(e.names))
+        return e.tag in INLINE and e not in split
 
     def pop_to(i: int) -> None:
         nonlocal owner
         if any(not is_inline(e) for e in stack[i:]):
             flush()
+        stream.extend((e, None) for e in reversed(stack[i:]) if not is_inline(e))
         del stack[i:]
         owner = next(e for e in reversed(stack) if not is_inline(e))
 
@@ -103,6 +113,8 @@ def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Eleme
             continue
         names = " ".join(" ".join(next(filter(None, a.groups()[1:]), "").split()) for a in _ATTRIBUTE.finditer(m[3] or m[6] or ""))
         element = Element(stack[-1], tag, names)
+        if tag in INLINE and splits.intersection(words(names)) and owner.tag not in RUNNING:
+            split.add(element)
         if not is_inline(element):
             flush()
         if tag in VOID:
@@ -114,9 +126,12 @@ def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Eleme
             continue
         stack.append(element)
         if not is_inline(element):
+            stream.append((element, ""))
             owner = element
+    pop_to(1) if len(stack) > 1 else flush()
     flush()
-    return elements, blocks
+    stream.append((root, None))
+    return elements, stream
 
 
 def words(names: str) -> list[str]:

@@ -1,7 +1,7 @@
 import html
 import re
 
-from propensight.llm import extraction as X
+from propensight.llm import equivalence as Q, extraction as X
 from propensight.llm.common import table
 
 SCHEMA = "page_id long, url string, html string, host string"
@@ -88,3 +88,87 @@ def test_shared_passages_without_names_stay(spark):
                       f"<p>{'Text %d ' % i * 30}</p></section><div>Rights</div></body>")
     got = texts(spark, [(i, f"http://r.example/{i}", page(i)) for i in range(30)])
     assert got[1] == "Shared passage. " + ("Text 1 " * 30).strip() and got[2] == "Own. " + ("Text 2 " * 30).strip()
+
+
+def test_pages_alone(spark):
+    pages = {"<main><h1>T</h1><p>Body text one.</p></main><article>teaser</article>": "T Body text one.",
+             "<article><div class='entry-header'><h1>Title</h1></div><p>body</p></article>": "Title body",
+             "<article><p class='social-policy'>a</p><section id='related-work'><h2>b</h2><p>c</p></section><div class='widget-tutorial'>d</div>"
+             "<h2 id='notices'>e</h2><div class='share-buttons'>Share</div></article>": "a b c d e",
+             "<article><p>The market <span class='share'>share</span> rose</p></article>": "The market share rose",
+             "<main><article><p>Text</p></article><div class='user-responses'>Nice</div></main>": "Text",
+             "<div>" * 3000 + "deep" + "</div>" * 3000: "deep"}
+    got = texts(spark, [(i, f"http://s{i}.example/", p) for i, p in enumerate(pages)])
+    assert got == dict(enumerate(pages.values()))
+
+
+def nameless(i):
+    items = "".join(f"<li>Link {k}</li>" for k in range(3 + i % 2))
+    extra = f"<div>Only here {i}</div>" if i % 5 == 0 else ""
+    parts = "".join(f"<p>{'part %d of %d ' % (k, i) * 6}</p>" for k in range(2 + i % 4))
+    return (f"<body><div><ul>{items}</ul></div><div>{extra}<div>Our site</div><section><div>Story number {i}</div><div>{parts}</div></section></div>"
+            f"<div><div>Seen by {i * 7} people</div><div>All rights</div></div></body>")
+
+
+def test_slots_of_pages_without_any_name(spark):
+    got = texts(spark, [(i, f"http://plain.example/{i}", nameless(i)) for i in range(24)])
+    for i in range(24):
+        parts = " ".join(("part %d of %d " % (k, i) * 6).strip() for k in range(2 + i % 4))
+        assert got[i] == f"Story number {i} {parts}"
+
+
+def brute_classes(streams):
+    """Vectors, classes and their order by plain counting, over token lists of one host."""
+    roots = None
+    for _ in range(2):
+        named = [Q.roles(t, r, roots or frozenset()) for t, r in streams]
+        every = set().union(*named)
+        vector = {t: tuple(n.count(t) for n in named) for t in every}
+        groups = {}
+        for t, v in vector.items():
+            if sum(c > 0 for c in v) >= max(X.MIN_PAGES, len(streams) * X.SUPPORT):
+                groups.setdefault(v, set()).add(t)
+        groups = {v: g for v, g in groups.items() if len(g) >= Q.LARGE}
+        if roots is None:
+            one = groups[(1,) * len(streams)]
+            orders = {tuple(t for t in n if t in one) for n in named}
+            roots = frozenset(one) if len(orders) == 1 else frozenset()
+
+    def spans(n, g):
+        at = [j for j, t in enumerate(n) if t in g]
+        return [at[j:j + len(g)] for j in range(0, len(at), len(g))]
+
+    ordered = {}
+    for v, g in groups.items():
+        ways = {tuple(n[j] for j in s) for n in named for s in spans(n, g)}
+        if len(ways) == 1 and len(set(next(iter(ways)))) == len(g):
+            ordered[v] = g
+    return roots, named, groups, ordered
+
+
+def test_classes_are_those_of_plain_counting(spark):
+    rows = [(i, f"http://plain.example/{i}", nameless(i), "h") for i in range(24)]
+    streams = X.streams(spark.createDataFrame(rows, SCHEMA)).cache()
+    roots, members = Q.deduce(streams, X.SUPPORT, X.MIN_PAGES, X.FULL_PAGES)
+    pages = [(list(r.token), list(r.rank)) for r in streams.collect()]
+    want_roots, named, groups, ordered = brute_classes(pages)
+    assert set(roots.first().roots) == want_roots and len(want_roots) > 10
+    got = {}
+    for m in members.first().members:
+        got.setdefault(m["class"], set()).add(m.token)
+    found = {frozenset(g) for g in got.values()}
+    assert found and all(g in {frozenset(x) for x in ordered.values()} or len(g) == 2 and {~t for t in g} == g for g in found)
+    whole = next(g for v, g in ordered.items() if set(v) == {1})
+    assert frozenset(whole) in found and len(whole) > len(want_roots)
+    for n in named:  # nested: between the tokens of one occurrence no other class is cut in two
+        walked, broken = Q.Template([m.asDict() for m in members.first().members]).walk(n)
+        assert not broken and len(walked) == len(n)
+
+
+def test_template_table_edges(spark):
+    rows = [(i, f"http://e.example/{i}", h) for i, h in enumerate([None, "", "<p>", "x" * 200_000, nameless(1), nameless(1)])]
+    rows += [(None, None, None), (9, None, nameless(2)), (9, None, nameless(2)), (10, "no scheme", nameless(3))]
+    got = X.extract(spark.createDataFrame([(*r, "h") for r in rows], SCHEMA)).collect()
+    assert len(got) == len(rows)
+    by = {r.page_id: r for r in got}
+    assert by[0].text == by[1].text == by[2].text == "" and by[3].n_chars == 200_000 and by[4].text == by[5].text
