@@ -17,8 +17,6 @@ What is kept per host are tokens of at least a share ``support`` of its pages, s
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,29 +25,26 @@ from pyspark.sql import DataFrame, functions as F
 from propensight.session import materialize
 
 LARGE = 2
-TEMPLATE_BYTES = 64 << 20  # templates are broadcast up to this measured size
+TEMPLATE_BYTES = 32 << 20  # templates are broadcast up to this measured size
+CACHED = 256  # hosts whose template a task keeps at hand
 ROOT = 0
 OPEN, CLOSE = -1, -2  # in place of the rank of a text
 STREAM = "host string, main bigint, best int, token array<bigint>, chars array<int>, rank array<int>"
 MEMBER = "struct<token:bigint,class:bigint,size:int,once:boolean,full:boolean,is_text:boolean>"
 
 
-def mixed(token: int, gap: int) -> int:
-    return xxhash.xxh64_intdigest(struct.pack("<q", token), gap & (2 ** 64 - 1)) >> 1
-
-
-def roles(tokens: list[int], ranks: list[int], roots: frozenset[int]) -> list[int]:
+def roles(tokens: np.ndarray, ranks: np.ndarray, roots: np.ndarray) -> np.ndarray:
     """Tokens told apart by the root token before them; an element opened and closed in one gap keeps complementary roles."""
-    if not roots:
+    if not len(roots):
         return tokens
-    out, gap = [], ROOT
-    for token, rank in zip(tokens, ranks, strict=True):
-        if token in roots:
-            gap = token
-            out.append(token)
-        else:
-            out.append(~mixed(~token, gap) if rank == CLOSE else mixed(token, gap))
-    return out
+    is_root = np.isin(tokens, roots)
+    gap = tokens[np.maximum.accumulate(np.where(is_root, np.arange(len(tokens)), 0))]  # the root opens every page
+    closes = ranks == CLOSE
+    x = np.where(closes, ~tokens, tokens).view(np.uint64) ^ (gap.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    named = ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).view(np.int64)
+    return np.where(is_root, tokens, np.where(closes, ~named, named))
 
 
 class Template:
@@ -101,24 +96,65 @@ class Template:
         return out
 
 
-def beside(pages: DataFrame, small: DataFrame, column: str) -> DataFrame:
-    """``pages`` and a host's array ``column``; the table of arrays is broadcast only if its measured size allows it."""
-    size = small.agg(F.coalesce(F.sum(48 * F.size(column) + F.length("host") + 16), F.lit(0))).first()[0]
-    return pages.join(F.broadcast(small) if size <= TEMPLATE_BYTES else small, "host", "left")
+class Hosts:
+    """A table with one row per host, for tasks that read pages: broadcast as it is if its measured size allows it, else joined."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.columns = table, [c for c in table.columns if c != "host"]
+        sizes = [F.when(F.col(c).isNull(), 0).otherwise(F.size(c) * (40 if c == "members" else 8)) for c, k in table.dtypes if k.startswith("array")]
+        size = table.agg(F.coalesce(F.sum(sum(sizes, F.length("host") + 32)), F.lit(0))).first()[0]
+        self.shared = table.sparkSession.sparkContext.broadcast(table.toArrow()) if size <= TEMPLATE_BYTES else None
+
+    def beside(self, pages: DataFrame) -> DataFrame:
+        return pages if self.shared else pages.join(self.table, "host", "left")
+
+    def finder(self, make):
+        """A function of a batch, a row and its host that gives ``make`` of the host's row, or None without one. Free of Spark's objects."""
+        shared, columns = self.shared, self.columns
+        known: dict = {}
+        places: dict = {}
+
+        def find(batch, j: int, host: str):
+            if host in known:
+                return known[host]
+            if len(known) >= CACHED:
+                known.clear()
+            if shared:
+                if not places:
+                    places.update({h: i for i, h in enumerate(shared.value.column("host").to_pylist())})
+                rows, at = shared.value, places.get(host)
+            else:
+                rows, at = batch, j
+            row = None if at is None else {c: rows.column(c)[at].as_py() for c in columns}
+            known[host] = None if row is None or all(v is None for v in row.values()) else make(row)
+            return known[host]
+
+        return find
+
+
+def lists(column) -> list[np.ndarray]:
+    """The lists of an Arrow column without nulls as views."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def as_array(tokens) -> np.ndarray:
+    return np.array(tokens or (), np.int64)
 
 
-def vectors(streams: DataFrame, roots: DataFrame | None) -> DataFrame:
+def vectors(streams: DataFrame, roots: Hosts | None) -> DataFrame:
     """``host, token, is_text, support, vector, most``."""
-    rows = streams.withColumn("roots", F.lit(None).cast("array<bigint>")) if roots is None else beside(streams, roots, "roots")
+    rows, find = (streams, None) if roots is None else (roots.beside(streams), roots.finder(lambda r: as_array(r["roots"])))
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
-            for host, main, tokens, ranks, own in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                                        for c in ("host", "main", "token", "rank", "roots")), strict=True):
-                named = np.array(roles(tokens, ranks, frozenset(own or ())), np.int64)
+            hosts, mains = batch.column("host").to_pylist(), batch.column("main").to_pylist()
+            for j, (host, main, tokens, ranks) in enumerate(zip(hosts, mains, lists(batch.column("token")), lists(batch.column("rank")), strict=True)):
+                own = find(batch, j, host) if find else None
+                named = tokens if own is None else roles(tokens, ranks, own)
                 token, first, n = np.unique(named, return_index=True, return_counts=True)
-                out.append((host, main, token, n, np.array(ranks)[first] >= 0))
+                out.append((host, main, token, n, ranks[first] >= 0))
             if out:
                 sizes = [len(x[2]) for x in out]
                 yield pa.RecordBatch.from_arrays(
@@ -133,7 +169,7 @@ def vectors(streams: DataFrame, roots: DataFrame | None) -> DataFrame:
         F.max("n").alias("most"))
 
 
-def classes(streams: DataFrame, roots: DataFrame | None, support: float, min_pages: int, full_pages: int) -> DataFrame:
+def classes(streams: DataFrame, roots: Hosts | None, support: float, min_pages: int, full_pages: int) -> DataFrame:
     """``host, members``: tokens of large and frequent classes. Hosts with fewer than ``min_pages`` different pages have none."""
     found = materialize(vectors(streams, roots), "vectors")
     whole = found.filter((F.col("token") == ROOT) & ~F.col("is_text") & (F.col("support") >= min_pages)).select(
@@ -146,21 +182,24 @@ def classes(streams: DataFrame, roots: DataFrame | None, support: float, min_pag
         "host", "root", member.cast(MEMBER).alias("m")).groupBy("host").agg(F.first("root").alias("root"), F.collect_list("m").alias("members"))
 
 
-def validity(streams: DataFrame, roots: DataFrame | None, known: DataFrame) -> DataFrame:
-    """``host, class, valid``: whether each class is ordered in the same way in all pages and nested."""
-    rows = beside(streams, known.select("host", "members"), "members").filter("members is not null")
-    rows = rows.withColumn("roots", F.lit(None).cast("array<bigint>")) if roots is None else beside(rows, roots, "roots")
+def validity(streams: DataFrame, known: DataFrame) -> DataFrame:
+    """``host, class, valid``: whether each class of ``known`` (``host, roots, members``) is ordered alike in all pages and nested."""
+    hosts = Hosts(known)
+    rows = hosts.beside(streams)
+    find = hosts.finder(lambda r: (as_array(r["roots"]), Template(r["members"])))
 
     def run(batches):
         for batch in batches:
-            last, template, out = None, None, []
-            for host, tokens, ranks, members, root in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                                            for c in ("host", "token", "rank", "members", "roots")), strict=True):
-                if host != last:
-                    last, template = host, Template(members)
-                named = roles(tokens, ranks, frozenset(root or ()))
+            out = []
+            for j, (host, tokens, ranks) in enumerate(zip(batch.column("host").to_pylist(), lists(batch.column("token")),
+                                                          lists(batch.column("rank")), strict=True)):
+                own = find(batch, j, host)
+                if own is None:
+                    continue
+                root, template = own
+                named = [t for t in roles(tokens, ranks, root).tolist() if t in template.class_of]
                 orders = template.orders(named)
-                broken = template.walk([t for t in named if orders.get(template.class_of.get(t)) is not None])[1]
+                broken = template.walk([t for t in named if orders[template.class_of[t]] is not None])[1]
                 out += [(host, c, order, c not in broken) for c, order in orders.items()]
             columns = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
@@ -174,11 +213,12 @@ def validity(streams: DataFrame, roots: DataFrame | None, known: DataFrame) -> D
 def deduce(streams: DataFrame, support: float, min_pages: int, full_pages: int) -> tuple[DataFrame, DataFrame]:
     """Per host the tokens of its root class by which roles are told apart, and the members of its valid classes."""
     first = materialize(classes(streams, None, support, min_pages, full_pages), "classes")
-    root_only = first.select("host", "root", F.filter("members", lambda m: m["class"] == F.col("root")).alias("members"))
-    sound = validity(streams, None, root_only).filter("valid").select("host")
+    none = F.lit(None).cast("array<bigint>").alias("roots")
+    root_only = first.select("host", none, F.filter("members", lambda m: m["class"] == F.col("root")).alias("members"))
+    sound = validity(streams, root_only).filter("valid").select("host")
     roots = materialize(root_only.join(sound, "host").select("host", F.transform("members", lambda m: m["token"]).alias("roots")), "roots")
-    known = materialize(classes(streams, roots, support, min_pages, full_pages), "roles")
-    valid = validity(streams, roots, known)
+    known = materialize(classes(streams, Hosts(roots), support, min_pages, full_pages).drop("root").join(roots, "host", "left"), "roles")
+    valid = validity(streams, known)
     each = known.select("host", F.explode("members").alias("m")).select("host", "m.*").join(valid, ["host", "class"])
     whole = each.filter("valid").drop("valid")
     # Roles of an element opened and closed in one gap are complements of each other.

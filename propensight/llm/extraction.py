@@ -20,11 +20,14 @@ give equal rows. Columns besides page_id, url and html are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from propensight.llm.common import table
-from propensight.llm.equivalence import CLOSE, OPEN, STREAM, Template, beside, deduce, roles
+from propensight.llm.equivalence import CLOSE, OPEN, STREAM, Hosts, Template, as_array, deduce, lists, roles
 from propensight.llm.markup import Element, digest, read, words
 from propensight.llm.urls import host_of
 from propensight.session import materialize
@@ -48,6 +51,7 @@ CONTENT_WORDS = frozenset("article content post entry story main body text".spli
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+@lru_cache(maxsize=1 << 14)
 def says_bad(names: str) -> bool:
     """A word of menus, sidebars and the like, unless another class names content: `post has-sidebar` is a post, `comment-content` no content."""
     each = [set(words(n)) for n in names.split()]
@@ -55,7 +59,7 @@ def says_bad(names: str) -> bool:
 
 
 def names_content(e: Element) -> bool:
-    return e.tag not in ("html", "body", "") and bool(CONTENT_WORDS.intersection(words(e.names)))
+    return bool(e.names) and e.tag not in ("html", "body", "") and bool(CONTENT_WORDS.intersection(words(e.names)))
 
 
 def common_ancestor(elements: list[Element]) -> Element:
@@ -66,6 +70,7 @@ def common_ancestor(elements: list[Element]) -> Element:
     return lowest[0]
 
 
+@lru_cache(maxsize=1 << 14)
 def only_bad(names: str) -> bool:
     """A class or id whose words are all of menus and the like, or of layout."""
     each = [set(words(n)) for n in names.split()]
@@ -78,8 +83,8 @@ class Page:
     def __init__(self, page: str):
         elements, stream = read(page, BAD_WORDS)
         blocks = [(e, t) for e, t in stream if t]
-        hinted = {e for e in elements if e.tag not in ("html", "body") and says_bad(e.names)}
-        mains = [e for e in elements if e.tag in ("article", "main") or "main" in words(e.names) and "role" in e.names]
+        hinted = {e for e in elements if e.names and e.tag not in ("html", "body") and says_bad(e.names)}
+        mains = [e for e in elements if e.tag in ("article", "main") or "role" in e.names and "main" in words(e.names)]
         open_ = [e for e in mains if e not in hinted]
         if not open_:
             hinted -= self.swallowing(blocks, hinted)
@@ -165,7 +170,7 @@ class Page:
         if template is None:
             return " ".join(t for t, r in zip(self.texts, self.ranks, strict=True) if t and r == self.best and r)
         host: Template = template["classes"]
-        named = roles(self.tokens, self.ranks, template["roots"])
+        named = roles(np.array(self.tokens, np.int64), np.array(self.ranks), template["roots"]).tolist()
         level = template["level"]
         if self.best <= level:
             slots, _ = host.walk(named)
@@ -198,17 +203,21 @@ def streams(pages: DataFrame) -> DataFrame:
     return each.groupBy("host", "main").agg(F.min_by(one, F.xxhash64("token", "chars", "rank")).alias("s")).select("host", "main", "s.*")
 
 
-def held(rows: DataFrame) -> DataFrame:
+def held(seen: DataFrame, hosts: Hosts) -> DataFrame:
     """``host, token, rank, chars, once``: varying text by slot (``once`` null) and inside each template element."""
+    rows = hosts.beside(seen)
+    find = hosts.finder(lambda r: (as_array(r["roots"]), Template(r["members"])))
+
     def run(batches):
         for batch in batches:
             found: dict[tuple, int] = {}
-            last, template, root = None, None, frozenset()
-            for host, tokens, chars, ranks, members, own in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (
-                    "host", "token", "chars", "rank", "members", "roots")), strict=True):
-                if host != last:
-                    last, template, root = host, Template(members), frozenset(own or ())
-                named = roles(tokens, ranks, root)
+            for j, (host, tokens, chars, ranks) in enumerate(zip(batch.column("host").to_pylist(), *(
+                    lists(batch.column(c)) for c in ("token", "chars", "rank")), strict=True)):
+                own = find(batch, j, host)
+                if own is None:
+                    continue
+                root, template = own
+                named, chars, ranks = roles(tokens, ranks, root).tolist(), chars.tolist(), ranks.tolist()
                 slots, _ = template.walk(named)
                 open_: list[list[int]] = []
                 for token, slot, n, rank in zip(named, slots, chars, ranks, strict=True):
@@ -237,10 +246,9 @@ def templates(pages: DataFrame) -> DataFrame:
     """Per host with enough pages: ``roots``, ``members`` of valid classes, ``level``, main ``slots`` or the ``main`` element."""
     seen = materialize(streams(pages), "streams")
     roots, members = deduce(seen, SUPPORT, MIN_PAGES, FULL_PAGES)
-    known = members.join(roots, "host", "left")
+    known = materialize(members.join(roots, "host", "left"), "template")
     level = seen.groupBy("host", "best").agg(F.count("*").alias("n")).groupBy("host").agg(F.max_by("best", F.struct("n", "best")).alias("level"))
-    rows = beside(seen, members, "members").filter("members is not null")
-    text = materialize(held(beside(rows, roots, "roots")).join(level, "host"), "held")
+    text = materialize(held(seen, Hosts(known)).join(level, "host"), "held")
     slots = text.filter("once is null").groupBy("host").agg(
         F.collect_list(F.when(F.col("rank") == F.col("level"), F.col("token"))).alias("slots"), F.sum("chars").alias("whole"))
     mains = text.filter("once and level = 1").join(slots, "host").filter(F.col("chars") >= F.col("whole") * MAIN_SHARE).groupBy("host").agg(
@@ -253,19 +261,16 @@ def extract(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html")
     known = materialize(templates(pages), "templates")
     rows = pages.withColumn("host", F.when(F.col("url").isNotNull(), host_of(F.col("url"))))
-    joined = beside(rows, known, "members").select("page_id", "url", "html", "host", "roots", "members", "level", "slots", "main")
+    hosts = Hosts(known)
+    find = hosts.finder(lambda r: {"roots": as_array(r["roots"]), "classes": Template(r["members"]), "level": r["level"],
+                                   "slots": frozenset(r["slots"] or ()), "main": r["main"]})
+    joined = hosts.beside(rows.select("page_id", "url", "html", "host")).select("page_id", "url", "html", "host", *([] if hosts.shared else hosts.columns))
 
     def run(batches):
-        last, template = None, None
         for batch in batches:
             out = []
-            for page, host, roots, members, level, slots, main in zip(*(batch.column(j).to_pylist() for j in range(2, 9)), strict=True):
-                if host is None or members is None:
-                    last, template = None, None
-                elif host != last:
-                    last, template = host, {"roots": frozenset(roots or ()), "classes": Template(members), "level": level,
-                                            "slots": frozenset(slots or ()), "main": main}
-                out.append(Page(page).text(template) if page else "")
+            for j, (page, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                out.append(Page(page).text(None if host is None else find(batch, j, host)) if page else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()),
                                               pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

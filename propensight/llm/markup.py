@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import xxhash
 
@@ -35,7 +36,7 @@ class Element:
     def __init__(self, parent: Element | None, tag: str, names: str):
         self.parent, self.tag, self.names = parent, tag, names
         # Not negative, so that the complement is free for the end of the element; digits in names (`post-17`) do not count.
-        self.key = digest(f"{tag}.{' '.join(words(names))}", parent.key) >> 1 if parent else 0
+        self.key = digest(f"{tag}.{' '.join(words(names))}" if names else tag, parent.key) >> 1 if parent else 0
 
     def above(self):
         e = self
@@ -111,7 +112,8 @@ def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Eleme
         if tag == "br":
             piece.append(" ")
             continue
-        names = " ".join(" ".join(next(filter(None, a.groups()[1:]), "").split()) for a in _ATTRIBUTE.finditer(m[3] or m[6] or ""))
+        attributes = m[3] or m[6]
+        names = " ".join(" ".join(next(filter(None, a.groups()[1:]), "").split()) for a in _ATTRIBUTE.finditer(attributes)) if attributes else ""
         element = Element(stack[-1], tag, names)
         if tag in INLINE and splits.intersection(words(names)) and owner.tag not in RUNNING:
             split.add(element)
@@ -134,6 +136,7 @@ def read(page: str, splits=frozenset()) -> tuple[list[Element], list[tuple[Eleme
     return elements, stream
 
 
+@lru_cache(maxsize=1 << 14)
 def words(names: str) -> list[str]:
     """Lower-case words of class and id, also inside hyphens, underscores and camel case."""
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())

@@ -1,6 +1,8 @@
 import html
 import re
 
+import numpy as np
+
 from propensight.llm import equivalence as Q, extraction as X
 from propensight.llm.common import table
 
@@ -121,7 +123,7 @@ def brute_classes(streams):
     """Vectors, classes and their order by plain counting, over token lists of one host."""
     roots = None
     for _ in range(2):
-        named = [Q.roles(t, r, roots or frozenset()) for t, r in streams]
+        named = [Q.roles(np.array(t), np.array(r), np.array(sorted(roots or ()), np.int64)).tolist() for t, r in streams]
         every = set().union(*named)
         vector = {t: tuple(n.count(t) for n in named) for t in every}
         groups = {}
@@ -172,3 +174,10 @@ def test_template_table_edges(spark):
     assert len(got) == len(rows)
     by = {r.page_id: r for r in got}
     assert by[0].text == by[1].text == by[2].text == "" and by[3].n_chars == 200_000 and by[4].text == by[5].text
+
+
+def test_templates_too_large_to_broadcast_are_joined(spark, monkeypatch):
+    rows = [(i, f"http://plain.example/{i}", nameless(i)) for i in range(24)] + [(99, "http://alone.example/", nameless(99))]
+    wide = texts(spark, rows)
+    monkeypatch.setattr(Q, "TEMPLATE_BYTES", -1)
+    assert texts(spark, rows) == wide and wide[3].startswith("Story number 3 part 0 of 3")
