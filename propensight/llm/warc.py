@@ -1,12 +1,12 @@
 """Deterministic sharded WARC writer, and a reader for what it wrote.
 
 Records are range-sorted by a key of 40 hex digits: the digest of the payload for those that may be revisited, so equal payloads
-are neighbours, the one with the largest page_id first; a digest of payload digest and page_id for all others. Shards are equal
+are neighbours, the one with the largest page_id first; a digest of payload digest and page_id for all others and for revisits. Shards are equal
 ranges of the key, which is uniform: bounds and bytes of the files depend on the rows alone, not on how they were partitioned.
 Within a shard files roll once their compressed size reaches ``roll_bytes``.
 
-Payloads that many pages share would fill one shard. Those held by at least a ``HOT_PART``th of all records (so fewer than
-``HOT_PART`` payloads, which bounds the broadcast) are known beforehand: their revisits carry no payload and are spread over all shards.
+The response of a shared payload is known beforehand from an aggregate of narrow rows, one per payload with copies, joined back without a
+hint: revisits carry no payload and are spread over all shards by the digest of payload digest and page_id, however many there are.
 
 A task writes each file under a temporary name and renames it when it is complete; a second attempt writes the same bytes. Names, sizes
 and digests of the files are written as a manifest under a temporary name, renamed at the end. A reader takes what
@@ -32,7 +32,6 @@ from propensight.llm.common import table, utf8
 from propensight.session import shared_dir
 
 REVISIT_BYTES = 1000
-HOT_PART = 1000
 SHARD_BYTES = 256 << 20  # of payload
 ROLL_BYTES = 64 << 20  # of a compressed file
 LEVEL = 6
@@ -41,8 +40,14 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, shard int, seq int, records bigint, bytes bigint, sha256 string"
 
 
-def place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+def qualified(spark, folder: str) -> str:
+    """The folder with its file system: a path without scheme is on the session's default one, as for Spark's own writers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def place(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(f"file://{uri[5:]}" if uri.startswith("file:/") and not uri.startswith("file://") else uri)
 
 
 def sha1_label(data: bytes) -> str:
@@ -55,7 +60,7 @@ def record_id(*parts) -> str:
 
 def line(name: str, value) -> bytes:
     """One header; characters that would end it are escaped."""
-    text = re.sub(r"[\x00-\x1f\x7f%]" if name == "WARC-Target-URI" else r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}" if m[0] != "%" else "%", str(value))
+    text = re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", str(value))
     return f"{name}: {text}\r\n".encode("utf-8", "surrogatepass")
 
 
@@ -123,12 +128,14 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_by
     payload = utf8(F.col("html"))
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload")).withColumns(
         {"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("bigint")})
-    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    folder = qualified(pages.sparkSession, folder)
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
-    hot = rows.filter(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(
-        F.count("*").alias("n"), F.max("page_id").alias("response_id"), F.max_by("url", "page_id").alias("response_url")).filter(
-        (F.col("n") > 1) & (F.col("n") * HOT_PART > count) & F.col("response_id").isNotNull()).drop("n")
-    known = rows.join(F.broadcast(hot), "digest", "left")  # fewer than HOT_PART rows
+    # The largest page_id, of equal ones the smallest url; complements turn the order without overflow.
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), F.bitwise_not("page_id").alias("id"), "url"))
+    shared = rows.filter(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).filter(
+        "n > 1 and not first.none").select("digest", F.bitwise_not("first.id").alias("response_id"), F.col("first.url").alias("response_url"))
+    known = rows.join(shared, "digest", "left")
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     alone = (F.col("size") < REVISIT_BYTES) | revisit
     keyed = known.withColumn("revisit", revisit).withColumn(
@@ -201,7 +208,7 @@ RECORD = ("page_id bigint, payload_bytes bigint, payload_digest string, record_t
 
 def read(spark, manifest: str) -> DataFrame:
     """Rows of ``RECORD`` from the files that the manifest lists. Files and records are checked against their digests."""
-    folder = manifest.rsplit("/", 1)[0]
+    folder = qualified(spark, manifest.rsplit("/", 1)[0])
     listed = spark.read.parquet(manifest).select("file", "bytes", "records", "sha256")
     files = listed.repartition(max(1, min(listed.count(), 10_000)), "file")
     names = [c.split()[0] for c in RECORD.split(", ")]

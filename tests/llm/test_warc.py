@@ -51,12 +51,31 @@ def test_round_trip_and_same_bytes_for_any_partitioning(spark, tmp_path):
     assert not list((tmp_path / "a" / "_temporary").iterdir())
 
 
-def test_known_hot_payloads_give_the_same_rows(spark, tmp_path, monkeypatch):
-    df = spark.createDataFrame(pages(), SCHEMA)
-    monkeypatch.setattr(W, "HOT_PART", 1)  # no payload is hot
-    cold = rows_of(W.read(spark, W.write(df, str(tmp_path / "cold"), shard_bytes=20_000)))
-    monkeypatch.setattr(W, "HOT_PART", 1000)
-    assert rows_of(W.read(spark, W.write(df, str(tmp_path / "hot"), shard_bytes=20_000))) == cold == brute(pages())
+def test_same_bytes_whether_responses_are_broadcast_or_joined(spark, tmp_path):
+    df = spark.createDataFrame([r for r in pages() for _ in range(3)], SCHEMA)
+    one = W.write(df, str(tmp_path / "a"), shard_bytes=20_000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        W.write(df, str(tmp_path / "b"), shard_bytes=20_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert files(tmp_path / "a") == files(tmp_path / "b")
+    assert rows_of(W.read(spark, one)) == brute([r for r in pages() for _ in range(3)])
+
+
+def test_copies_do_not_fill_a_shard(spark, tmp_path):
+    body = "<p>" + "z" * 5000
+    rows = [(i, f"http://h/{i}", body, "d") for i in range(4000)]
+    W.write(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "c"), shard_bytes=2_000_000)
+    shards = {}
+    for f in spark.read.parquet(str(tmp_path / "c" / "_manifest")).collect():
+        shards[f.shard] = shards.get(f.shard, 0) + f.records
+    assert len(shards) == 11 and max(shards.values()) < 600 and sum(shards.values()) == 4000
+
+
+def test_place_is_on_the_default_file_system(spark, tmp_path):
+    assert W.qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and W.place(f"file:{tmp_path}")[1] == str(tmp_path)
 
 
 def test_damage_is_noticed(spark, tmp_path):
