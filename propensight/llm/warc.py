@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from propensight.llm.common import table, utf8
-from propensight.session import shared_dir
+from propensight.session import materialize, shared_dir
 
 REVISIT_BYTES = 1000
 SHARD_BYTES = 256 << 20  # of payload
@@ -135,7 +135,7 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_by
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), F.bitwise_not("page_id").alias("id"), "url"))
     shared = rows.filter(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).filter(
         "n > 1 and not first.none").select("digest", F.bitwise_not("first.id").alias("response_id"), F.col("first.url").alias("response_url"))
-    known = rows.join(shared, "digest", "left")
+    known = rows.join(materialize(shared, "responses"), "digest", "left")  # written, so that Spark knows its size and need not shuffle payloads for it
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     alone = (F.col("size") < REVISIT_BYTES) | revisit
     keyed = known.withColumn("revisit", revisit).withColumn(
