@@ -1,6 +1,6 @@
 """Language identification with error-correcting output codes.
 
-Each language has a codeword. For each bit a binary classifier over character trigrams (log odds of the languages whose bit
+Each language has a codeword. For each bit a binary classifier over byte trigrams (log odds of the languages whose bit
 is 1 against the others) gives a margin; the decoder adds, over the bits, the logistic loss of the margin against the codeword,
 weighted by how often the bit is right, and takes the language with the least loss. Up to ``EXHAUSTIVE`` languages the code
 has every split of them, beyond that ``8 log2`` random columns of which the ones farthest apart are kept.
