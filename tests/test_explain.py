@@ -475,3 +475,24 @@ def test_error_of_a_budget_against_all_coalitions(spark):
     gaps = [np.abs(solved(spark, 10, game, n) - exact).max() for n in (200, 700)]
     spread = np.abs(exact).max()
     assert gaps[0] < 0.5 * spread and gaps[1] < 0.25 * spread
+
+
+def test_settings_of_a_width_share_the_order_of_columns(monkeypatch):
+    rng = np.random.default_rng(5)
+    x, y, distance = rng.normal(size=(20, 18)), rng.random(20), rng.random(20)
+    options = {"labels": (1,), "top_labels": None, "selection": "highest_weights", "rank_alpha": 0.01, "regressor": Mm.ridge(1.0)}
+    settings = list(itertools.product([0.25, 0.75], [2, 5, 9], [20]))
+    fits = Su._Fits(("day", "a"), settings, 1, Su.kernel_of, options)
+    parts = Su._parts(pd.DataFrame({"data_date": "day", "id": "a", "sample": range(20), "x": list(x), "p1": y, "distance": distance}),
+                      [20], [0.25, 0.75], math.sqrt(18), Su.kernel_of)
+    for row in parts.itertuples(index=False):
+        fits.add(row)
+    seen = []
+    real = Mm.by_weight
+    monkeypatch.setattr(Mm, "by_weight", lambda *a: seen.append(1) or real(*a))
+    got = list(fits.fitted(settings))
+    assert len(got) == 6 and len(seen) == 2
+    for one, (width, k, _) in zip(got, settings, strict=True):
+        xc, yc, _, _ = Mm.centred(fits.state[width], 1)
+        kept = Mm.selected(xc, yc[:, 0], x[0], k, "highest_weights", 0.01)
+        assert np.array_equal(one["x0"], x[0][kept]) and np.allclose(one["weight"], Mm.ridge(1.0)(xc[:, kept], yc)[:, 0])
