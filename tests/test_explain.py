@@ -496,3 +496,29 @@ def test_settings_of_a_width_share_the_order_of_columns(monkeypatch):
         xc, yc, _, _ = Mm.centred(fits.state[width], 1)
         kept = Mm.selected(xc, yc[:, 0], x[0], k, "highest_weights", 0.01)
         assert np.array_equal(one["x0"], x[0][kept]) and np.allclose(one["weight"], Mm.ridge(1.0)(xc[:, kept], yc)[:, 0])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shapley_regression_is_one_aggregation(spark):
+    rng = np.random.default_rng(3)
+    m, plan = 6, Sh.coalition_plan(6, 30)
+    masks = [0, 63] + [mask for mask, _, _ in plan]
+    weights = spark.createDataFrame(plan, "coalition bigint, size int, kernel_weight double")
+    value = {(s, mask): float(rng.normal()) for s in range(3) for mask in masks}
+    rows = [(dt.date(2024, 1, 1), None if s == 2 else "a", s, mask, v) for (s, mask), v in value.items()]
+    schema = "data_date date, id string, step int, coalition bigint, value double"
+    solved_ = Sh.shapley_regression(spark.createDataFrame(rows, schema), weights, {f"g{i}": [] for i in range(m)})
+    assert "InPandas" not in plan_of(solved_)
+    got = {(r["step"], r["feature"]): r["phi"] for r in solved_.collect()}
+    z = np.array([[mask >> i & 1 for i in range(m)] for mask, _, _ in plan], float)
+    w = np.sqrt([weight for _, _, weight in plan])
+    for s in range(3):
+        low, high = value[s, 0], value[s, 63]
+        target = np.array([value[s, mask] for mask, _, _ in plan]) - low - z[:, -1] * (high - low)
+        head = np.linalg.lstsq(w[:, None] * (z[:, :-1] - z[:, -1:]), w * target, rcond=None)[0]
+        assert np.allclose([got[s, f"g{i}"] for i in range(m)], [*head, high - low - head.sum()])
+    with pytest.raises(Exception, match="planned coalitions"):
+        Sh.shapley_regression(spark.createDataFrame(rows[:-1], schema), weights, {f"g{i}": [] for i in range(m)}).collect()
