@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensight import constants as C
-from propensight.functions.prefix import prefix_scorer
+from propensight.functions.prefix import FunctionPrefix, prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer
 from propensight.operators import model as Mo, moments as Mm, perturb as Pe, shapley as Sh, surrogate as Su
 
@@ -522,3 +522,18 @@ def test_shapley_regression_is_one_aggregation(spark):
         assert np.allclose([got[s, f"g{i}"] for i in range(m)], [*head, high - low - head.sum()])
     with pytest.raises(Exception, match="planned coalitions"):
         Sh.shapley_regression(spark.createDataFrame(rows[:-1], schema), weights, {f"g{i}": [] for i in range(m)}).collect()
+
+
+def test_a_function_gets_matrices_of_one_block():
+    seen = []
+
+    def predict(batch):
+        seen.extend(batch["inputs_num"])
+        return batch["inputs_num"].map(lambda x: x.sum()) + batch["inputs_cat"].map(lambda x: x[-1][0]) + batch["inactivity"]
+
+    scorer, rng = FunctionPrefix(predict, records=2), np.random.default_rng(0)
+    num, cat = rng.normal(size=(5, 4)), np.arange(10).reshape(5, 2)
+    state = scorer.step(scorer.step(scorer.start(), num[:1], cat[:1]), num[1:2], cat[1:2])
+    p = scorer.finish(scorer.step(state, num[2:], cat[2:]), 3, np.array([0.5, 0.6, 0.7]))
+    assert np.allclose(p, num[:2].sum() + num[2:].sum(axis=1) + cat[2:, 0] + [0.5, 0.6, 0.7])
+    assert all(isinstance(x, np.ndarray) and x.shape == (3, 4) for x in seen) and seen[0].base is seen[1].base
