@@ -537,3 +537,28 @@ def test_a_function_gets_matrices_of_one_block():
     p = scorer.finish(scorer.step(state, num[2:], cat[2:]), 3, np.array([0.5, 0.6, 0.7]))
     assert np.allclose(p, num[:2].sum() + num[2:].sum(axis=1) + cat[2:, 0] + [0.5, 0.6, 0.7])
     assert all(isinstance(x, np.ndarray) and x.shape == (3, 4) for x in seen) and seen[0].base is seen[1].base
+
+
+def test_slopes_make_no_row_per_sample_and_column(spark):
+    rng = np.random.default_rng(4)
+    day, width = dt.date(2024, 1, 1), 18
+    own = {i: (rng.normal(size=(9, width)), rng.random(9), rng.random(9)) for i in ("a", "b", None)}
+    rows = [(day, i, s, x[s].tolist(), float(p[s]), float(d[s])) for i, (x, p, d) in own.items() for s in range(9)]
+    design = spark.createDataFrame(rows, "data_date date, id string, sample int, x array<double>, p1 double, distance double").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        fitted = Su.single_feature_fit(design, 1, 0.75)
+        plan = plan_of(fitted)
+        assert plan.index("Generate") < plan.index("Exchange")  # columns become rows after the shuffle
+        got = {(r["id"], r["step"], r["feature"]): r for r in fitted.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 3 * width
+    for i, (x, p, d) in own.items():
+        w = np.sqrt(np.exp(-d * d / (0.75 ** 2 * (Su.WIDTH + 1))))
+        xc, pc = x - w @ x / w.sum(), p - w @ p / w.sum()
+        slope = (w * pc) @ xc / (w @ (xc * xc) + 1.0)
+        for j in range(width):
+            r = got[(i, *Su._column_of(j, width))]
+            assert (r["weight"], r["x0"]) == pytest.approx((slope[j], x[0, j]))
+            assert r["intercept"] == pytest.approx((w @ p - (w @ x[:, j]) * slope[j]) / w.sum())
