@@ -55,6 +55,19 @@ def test_flat_columns(examples):
     assert wide.columns == ["data_date", "id", *names] and wide.first()["product_qty_t0"] == -3.0
 
 
+def test_the_flat_form_makes_no_row_per_cell(spark, examples, capsys):
+    space = Sp.to_explainer_space(Sp.pad_steps(examples, 4))
+    rows = space.unionByName(space.withColumn("id", F.lit(None).cast("string")).where("step <> 1")).unionByName(space)
+    Sp.flatten_wide(rows, 4).explain()
+    plan = capsys.readouterr().out
+    assert "pivot" not in plan and "Expand" not in plan
+    cells = {(r["id"], r["name"]): r["value"] for r in Sp.flatten_steps(rows).collect()}
+    wide = Sp.flatten_wide(rows, 4).collect()
+    assert len(wide) == 2
+    for r in wide:
+        assert {n: r[n] for n in Sp.flat_names(4)} == {n: cells.get((r["id"], n)) for n in Sp.flat_names(4)}
+
+
 def test_statistics_leave_padding_out_but_keep_real_values(examples):
     space = Sp.to_explainer_space(Sp.pad_steps(examples, 5))
     stats = {(r["step"], r["feature"]): r for r in St.column_stats(space).collect()}
