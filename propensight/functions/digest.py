@@ -1,0 +1,70 @@
+"""MD5 of many texts at once in NumPy, so that a draw costs no call and no text of its own."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+
+ROWS = 1024  # texts worked on at once, so that their words stay in the processor's cache
+_START = [0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476]
+_ADD = [np.uint32(int(abs(math.sin(i + 1)) * 2 ** 32)) for i in range(64)]
+_TURN = [np.uint32(s) for four in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for s in four * 4]
+_BACK = [np.uint32(32) - s for s in _TURN]
+
+
+def _compressed(words: np.ndarray, state: list[np.ndarray]) -> list[np.ndarray]:
+    """The state after one block of 16 words."""
+    a, b, c, d = state
+    for i in range(64):
+        if i < 16:
+            mixed, place = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            mixed, place = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            mixed, place = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            mixed, place = c ^ (b | ~d), 7 * i % 16
+        mixed += a
+        mixed += _ADD[i]
+        mixed += words[place]
+        turned = mixed << _TURN[i]
+        turned |= mixed >> _BACK[i]
+        turned += b
+        a, d, c, b = d, c, b, turned
+    return [x + y for x, y in zip((a, b, c, d), state, strict=True)]
+
+
+def _padded(text: np.ndarray, begin: np.ndarray, length: np.ndarray, endings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of every text with each ending, padded as MD5 asks, one column per text, and the number of blocks of each."""
+    whole = length + np.array([len(e) for e in endings])[:, None]
+    blocks = (whole + 8) // 64 + 1
+    held = np.zeros((*whole.shape, 64 * blocks.max()), np.uint8)
+    for n in np.unique(length):
+        at = np.flatnonzero(length == n)
+        held[:, at, :n] = text[begin[at, None] + np.arange(n)]
+        for own, ending in zip(held, endings, strict=True):
+            own[at, n:n + len(ending) + 1] = np.frombuffer(ending + b"\x80", np.uint8)
+    words = held.view("<u4").reshape(whole.size, -1)
+    words[np.arange(whole.size), blocks.ravel() * 16 - 2] = whole.ravel() * 8
+    return np.ascontiguousarray(words.T, np.uint32), blocks.ravel()
+
+
+def md5_parts(texts: pa.Array, endings: list[bytes]) -> np.ndarray:
+    """The MD5 of every text followed by each ending: four numbers of 32 bits, the eight hex digits each, as ``(part, ending, text)``."""
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    text = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    out = np.empty((4, len(endings), len(texts)), np.uint32)
+    for first in range(0, len(texts), ROWS):
+        ends = at[first:first + ROWS + 1]
+        words, blocks = _padded(text, ends[:-1], np.diff(ends), endings)
+        state = [np.full(words.shape[1], s, np.uint32) for s in _START]
+        for i in range(len(words) // 16):
+            new = _compressed(words[16 * i:16 * i + 16], state)
+            state = new if i < blocks.min() else [np.where(i < blocks, n, s) for n, s in zip(new, state, strict=True)]
+        for part, found in zip(out, state, strict=True):
+            part[:, first:first + ROWS] = found.byteswap().reshape(len(endings), -1)
+    return out
