@@ -571,3 +571,34 @@ def test_slopes_make_no_row_per_sample_and_column(spark):
             r = got[(i, *Su._column_of(j, width))]
             assert (r["weight"], r["x0"]) == pytest.approx((slope[j], x[0, j]))
             assert r["intercept"] == pytest.approx((w @ p - (w @ x[:, j]) * slope[j]) / w.sum())
+
+
+def test_selected_features_are_those_of_the_joint_fit_refitted(spark):
+    rng = np.random.default_rng(6)
+    day, width, k = dt.date(2024, 1, 1), 18, 4
+    rows, own = [], {}
+    for i, n in (("a", 9), ("b", 40)):                          # fewer samples than columns, and more
+        x = rng.normal(size=(n, width))
+        x[:, 3] = x[:, 0] - x[:, 1] + 0.1 * rng.normal(size=n)  # alone it says little beside the other two
+        x[:, 9] = x[:, 5]                                       # columns with the same cells go by position
+        y = 1 / (1 + np.exp(-(2 * x[:, 0] + 2 * x[:, 1] + x[:, 5] + 0.3 * x[:, 12])))
+        own[i] = x, y, distance = x, y, rng.random(n)
+        rows += [(day, i, s // 16, s, x[s].tolist(), float(y[s]), float(distance[s])) for s in range(n)]
+    design = spark.createDataFrame(rows, "data_date date, id string, block int, sample int, x array<double>, p1 double, distance double")
+    got = {(r["id"], r["step"], r["feature"]): r for r in Su.select_features(design, 1, k, 0.75).collect()}
+    assert len(got) == 2 * k
+    differ = 0
+    for i, (x, y, distance) in own.items():
+        w = np.sqrt(np.exp(-distance ** 2 / (0.75 ** 2 * width)))
+        xc, yc = x - w @ x / w.sum(), y - w @ y / w.sum()
+        joint = np.linalg.solve(xc.T @ (w[:, None] * xc) + 0.01 * np.eye(width), xc.T @ (w * yc))
+        kept = np.sort(np.argsort(-np.round(np.abs(joint * x[0]), 9), kind="stable")[:k])
+        beta = np.linalg.solve(xc[:, kept].T @ (w[:, None] * xc[:, kept]) + np.eye(k), xc[:, kept].T @ (w * yc))
+        order = sorted(range(k), key=lambda j: (-round(abs(beta[j] * x[0, kept[j]]), 9), Su._column_of(kept[j], width)))
+        place = {j: n for n, j in enumerate(order, 1)}
+        alone = (w * yc) @ xc / (w @ (xc * xc) + 1.0)
+        differ += set(np.argsort(-np.abs(alone * x[0]))[:k]) != set(kept)
+        for j, column in enumerate(kept):
+            r = got[(i, *Su._column_of(column, width))]
+            assert (r["weight"], r["x0"], r["place"]) == (pytest.approx(beta[j]), pytest.approx(x[0, column]), place[j])
+    assert differ                                               # slopes of single columns choose others
