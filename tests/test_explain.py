@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensight import constants as C
-from propensight.functions.prefix import FunctionPrefix, prefix_scorer
+from propensight.functions.prefix import FunctionPrefix, of_steps, prefix_scorer
 from propensight.functions.scoring import MeanPoolScorer
 from propensight.operators import model as Mo, moments as Mm, perturb as Pe, shapley as Sh, surrogate as Su
 
@@ -548,6 +548,46 @@ def test_a_function_gets_matrices_of_one_block():
     assert all(isinstance(x, np.ndarray) and x.shape == (3, 4) for x in seen) and seen[0].base is seen[1].base
 
 
+def test_the_past_is_given_to_a_function_once():
+    rng, rows, asked = np.random.default_rng(1), [], []
+    weights = rng.normal(size=4)
+
+    def row_by_row(x):
+        rows.append(len(x))
+        return x @ weights
+
+    def predict(batch):
+        score = of_steps(batch["inputs_num"], row_by_row, float)
+        asked.append("block" in batch["inputs_num"].array.__dict__)  # nothing is written out
+        plain = batch["inputs_num"].map(lambda x: x.sum())
+        assert np.array_equal(plain, [x.sum() for x in batch["inputs_num"].to_numpy()])
+        some = batch[batch["inactivity"] > 0.55]["inputs_num"]
+        assert np.array_equal(some.iloc[-1], batch["inputs_num"].iloc[-1]) and some.iloc[-1].shape == (4, 4)
+        both = pd.concat([batch["inputs_num"], some], ignore_index=True)
+        assert len(both) == len(batch) + len(some) and np.array_equal(both.iloc[0], batch["inputs_num"].iloc[0])
+        nested = pd.Series([x.tolist() for x in batch["inputs_num"]])
+        assert np.allclose(score, of_steps(nested, lambda x: x @ weights, float))
+        batch["inputs_num"].iloc[0][:] = 0                           # reaches no other batch
+        return pd.Series(score.reshape(len(batch), -1).mean(axis=1) + plain.to_numpy())
+
+    scorer, num, cat = FunctionPrefix(predict, records=3), rng.normal(size=(8, 4)), np.arange(16).reshape(8, 2)
+    state = scorer.start()
+    for t in range(3):
+        state = scorer.step(state, num[t:t + 1], cat[t:t + 1])
+    p = scorer.finish(scorer.step(state, num[3:], cat[3:]), 4, np.array([0.5, 0.6, 0.7, 0.8, 0.9]))
+    past = num[:3] @ weights
+    assert np.allclose(p, [(past.sum() + x @ weights) / 4 + num[:3].sum() + x.sum() for x in num[3:]])
+    assert asked == [False, False] and sorted(rows) == [2, 3, 3, 3]  # two batches: three shared steps each, then one per record
+
+
+def test_values_leave_a_task_as_one_row_per_step(small):
+    values = Sh.prefix_values(small.space, small.background, prefix_scorer(lambda batch: batch["inactivity"] * 0 + 0.5))
+    plan = plan_of(values)
+    assert plan.index("Generate") < plan.index("FlatMapGroupsInPandas")  # coalitions become rows after the task
+    assert values.columns == ["data_date", "id", "step", "coalition", "mean_proba", "value"]
+    assert values.count() == small.space.count() * 128 and values.where("mean_proba <> 0.5").count() == 0
+
+
 def test_slopes_make_no_row_per_sample_and_column(spark):
     rng = np.random.default_rng(4)
     day, width = dt.date(2024, 1, 1), 18
